@@ -6,7 +6,9 @@ Every reader distinguishes JSON types before casting, because ``try_variant_get`
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 INTEGER_TEXT = r"[\s\p{Z}]*[+-]?\d+(?:_\d+)*[\s\p{Z}]*"
@@ -16,13 +18,25 @@ FLOAT_TEXT = (
 )
 
 
+def with_members(df: DataFrame, holder: str, members: Mapping[str, str]) -> DataFrame:
+    """Add kind and text of each member of a VARIANT column: ``{prefix: JSON path}``.
+
+    They become columns of their own so that the many conditions on a member read an attribute instead of
+    repeating the lookup (repeated lookups outgrow what generated code can hold).
+    """
+    out = {}
+    for name, path in members.items():
+        value = F.try_variant_get(holder, path, "variant")
+        out[f"{name}__kind"] = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+        out[f"{name}__text"] = F.try_variant_get(holder, path, "string")
+    return df.withColumns(out)
+
+
 class JsonValue:
-    """One member of a VARIANT object as a set of lazily combined Column expressions."""
+    """Conditions and conversions on one member added by ``with_members``."""
 
-    def __init__(self, holder: Column, name: str):
-        self.variant = F.try_variant_get(holder, f"$.{name}", "variant")
-        self.kind = F.coalesce(F.schema_of_variant(self.variant), F.lit("VOID"))
-        self.text = F.try_variant_get(holder, f"$.{name}", "string")
+    def __init__(self, name: str):
+        self.kind, self.text = F.col(f"{name}__kind"), F.col(f"{name}__text")
 
     def is_null(self) -> Column:
         return self.kind == "VOID"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.text import full_match, sorted_map_json, spaced_json, strip
-from plumbline.functions.variants import JsonValue
+from plumbline.functions.variants import JsonValue, with_members
 
 # Accepted event types and the entity type each one describes.
 EVENT_TYPES = {
@@ -37,6 +37,7 @@ RAW_CAST_ERROR = "RAW_FIELD_CAST_ERROR"
 TYPED_CAST_ERROR = "TYPED_FIELD_CAST_ERROR"
 
 # Error texts. JSON syntax errors get one text of our own.
+COMPOSITE = "campos com valor composto: "
 NOT_JSON = "a mensagem não é um JSON válido"
 NOT_OBJECT = "a mensagem JSON deve ser um objeto"
 NO_EVENT_ID = "event_id é obrigatório"
@@ -85,25 +86,23 @@ def _not_json_text(field: str, kind: str) -> str:
     return f"{field} deve ser {kind}"
 
 
-def _required(value: JsonValue, field: str) -> Column:
-    return F.when(value.missing(), f"payload.{field} é obrigatório")
+def _required(field: str) -> Column:
+    return F.when(F.col(f"{field}__missing"), f"payload.{field} é obrigatório")
 
 
-def _integer_error(value: JsonValue, field: str) -> Column:
-    return F.coalesce(
-        _required(value, field), F.when(value.as_integer().isNull(), _not_json_text(field, "inteiro"))
-    )
+def _integer_error(field: str) -> Column:
+    return F.coalesce(_required(field), F.when(F.col(f"{field}__number").isNull(), _not_json_text(field, "inteiro")))
 
 
-def _float_error(value: JsonValue, field: str) -> Column:
-    return F.when(value.as_double().isNull(), _not_json_text(field, "numérico"))
+def _float_error(field: str) -> Column:
+    return F.when(F.col(f"{field}__number").isNull(), _not_json_text(field, "numérico"))
 
 
-def _percentage_error(value: JsonValue, field: str) -> Column:
+def _percentage_error(field: str) -> Column:
     # NaN sorts above 100, so it is rejected here as well.
     return F.coalesce(
-        _float_error(value, field),
-        F.when(~value.as_double().between(0, 100), f"{field} deve estar entre 0 e 100"),
+        _float_error(field),
+        F.when(~F.col(f"{field}__number").between(0, 100), f"{field} deve estar entre 0 e 100"),
     )
 
 
@@ -118,6 +117,7 @@ def _time_parts(text: Column) -> tuple[Column, Column]:
     extended = F.regexp_replace(extended, r"\A(.{10}).(\d{2})(\d{2})(?=[+-])", "$1T$2:$3")
     extended = F.regexp_replace(extended, r"\A(.{10}).(\d{2})(?=[+-])", "$1T$2:00")
     extended = F.regexp_replace(extended, r"\A(.{10}).", "$1T")
+    extended = F.regexp_replace(extended, r"\A(.{10}T\d{2}:\d{2})(?=[+-])", "$1:00")
     extended = F.regexp_replace(extended, r"[.,](\d{1,6})\d*(?=[+-])", ".$1")
     extended = F.regexp_replace(extended, r"([+-]\d{2}):?(\d{2})\z", "$1:$2")
     extended = F.regexp_replace(extended, r"(T.*[+-]\d{2})\z", "$1:00")
@@ -129,79 +129,95 @@ def _time_parts(text: Column) -> tuple[Column, Column]:
     return instant, error
 
 
-def judge(messages: DataFrame, received_at: Column) -> DataFrame:
+TEXT_FIELDS = ["event_type", "schema_version", "entity_type", "entity_id", "source"]
+ID_FIELDS = ["event_id", "simulation_run_id"]
+INTEGER_FIELDS = ["ano", "ano_meta"]
+NUMBER_FIELDS = ["taxa_alfabetizacao", "meta_alfabetizacao", "percentual_participacao", "proficiencia"]
+OTHER_FIELDS = ["rede", "id_municipio", "sigla_uf", "alfabetizado"]
+PAYLOAD_FIELDS = [*INTEGER_FIELDS, *NUMBER_FIELDS, *OTHER_FIELDS]
+
+
+def judge(messages: DataFrame) -> DataFrame:
     """Messages ``(value, attributes, message_id, publish_time)`` with parsed fields and ``error_code``/``error_message``.
 
     Checks run in contract order and the first failing one names the error; NULL means the message is valid.
+    The result feeds several outputs: stage or persist it before branching, or the parsing is repeated per branch.
+    The receipt time is added by the row builders, so the expensive part of a micro-batch plan never changes and
+    its generated code is reused from batch to batch.
     """
-    parsed = messages.withColumns(
+    return _verdict(_converted(_members(messages)))
+
+
+def _members(messages: DataFrame) -> DataFrame:
+    """Parse each message once; every JSON member the contract reads becomes a kind and a text column."""
+    parsed = messages.select(
+        F.coalesce("value", F.lit("")).alias("raw_message"),
+        F.try_parse_json(F.coalesce("value", F.lit(""))).alias("__json"),
+        sorted_map_json("attributes").alias("attributes_json"),
+        *[F.col("attributes").getItem(n).alias(f"__attribute_{n}") for n in ID_FIELDS],
+        "message_id",
+        "publish_time",
+    )
+    paths = {f"m_{n}": f"$.{n}" for n in [*ID_FIELDS, *TEXT_FIELDS, "event_time", "payload"]}
+    paths |= {f"p_{n}": f"$.payload.{n}" for n in PAYLOAD_FIELDS}
+    out = with_members(parsed, "__json", paths).withColumns(
         {
-            "raw_message": F.coalesce("value", F.lit("")),
-            "__json": F.try_parse_json(F.coalesce("value", F.lit(""))),
-            "attributes_json": sorted_map_json("attributes"),
-            "received_at": received_at,
+            "__kind": F.coalesce(F.schema_of_variant("__json"), F.lit("NONE")),
+            "payload_json": spaced_json(F.to_json(F.try_variant_get("__json", "$.payload", "variant"))),
         }
     )
-    parsed = parsed.withColumn("__kind", F.coalesce(F.schema_of_variant("__json"), F.lit("NONE")))
-    body = F.col("__json")
-    is_object = F.col("__kind").startswith("OBJECT")
+    return out.drop("__json")
 
-    def member(name: str) -> JsonValue:
-        return JsonValue(body, name)
 
-    def fallback(name: str) -> Column:
-        value, attribute = member(name), F.col("attributes").getItem(name)
-        return F.when(~is_object | value.falsy(), attribute).otherwise(value.as_text())
+def _converted(parsed: DataFrame) -> DataFrame:
+    """Trimmed envelope texts, typed payload numbers and the event time, each computed once."""
+    m = {n: JsonValue(f"m_{n}") for n in [*ID_FIELDS, *TEXT_FIELDS, "event_time", "payload"]}
+    p = {n: JsonValue(f"p_{n}") for n in PAYLOAD_FIELDS}
 
-    names = ["event_type", "schema_version", "entity_type", "entity_id", "source"]
-    values = {n: member(n) for n in names}
-    time = member("event_time")
-    payload = member("payload")
+    def any_id(name: str) -> Column:
+        unusable = ~F.col("__kind").startswith("OBJECT") | m[name].falsy()
+        return F.when(unusable, F.col(f"__attribute_{name}")).otherwise(m[name].as_text())
 
     def trimmed(name: str) -> Column:
-        return F.when(values[name].falsy(), "").otherwise(strip(values[name].as_text()))
-
-    staged = parsed.select(
-        "raw_message", "attributes_json", "message_id", "publish_time", "received_at", "__kind",
-        fallback("event_id").alias("__any_event_id"),
-        fallback("simulation_run_id").alias("__any_run_id"),
-        *[values[n].scalar_text().alias(f"__raw_{n}") for n in names],
-        *[trimmed(n).alias(f"__{n}") for n in names],
-        F.when(time.is_string(), time.text).alias("__time_text"),
-        payload.variant.alias("__payload"),
-        payload.is_object().alias("__payload_ok"),
-        # A scalar column cannot take an object or array: noticed here instead of failing the write.
-        F.concat_ws(
-            ", ",
-            *[
-                F.when(v.is_nested(), n)
-                for n, v in {"event_id": member("event_id"), "simulation_run_id": member("simulation_run_id"), **values}.items()
-            ],
-        ).alias("__uncastable"),
+        return F.when(m[name].falsy(), "").otherwise(strip(m[name].as_text()))
+
+    # A scalar column cannot take an object or array: noticed here instead of failing the write.
+    nested = [F.when(m[n].is_nested(), n) for n in [*ID_FIELDS, *TEXT_FIELDS]]
+    first = parsed.select(
+        "raw_message", "attributes_json", "message_id", "publish_time", "__kind", "payload_json",
+        any_id("event_id").alias("__any_event_id"),
+        any_id("simulation_run_id").alias("__any_run_id"),
+        *[m[n].scalar_text().alias(f"__raw_{n}") for n in TEXT_FIELDS],
+        *[trimmed(n).alias(f"__{n}") for n in TEXT_FIELDS],
+        F.when(m["event_time"].is_string(), m["event_time"].text).alias("__time_text"),
+        m["payload"].is_object().alias("__payload_ok"),
+        F.concat_ws(", ", *nested).alias("__uncastable"),
+        *[p[n].missing().alias(f"{n}__missing") for n in PAYLOAD_FIELDS],
+        *[p[n].as_integer().alias(f"{n}__number") for n in INTEGER_FIELDS],
+        *[p[n].as_double().alias(f"{n}__number") for n in NUMBER_FIELDS],
+        *[p[n].as_text().alias(f"{n}__any_text") for n in OTHER_FIELDS],
+        *[p[n].is_nested().alias(f"{n}__nested") for n in OTHER_FIELDS],
+        p["percentual_participacao"].is_null().alias("percentual_participacao__null"),
+        p["alfabetizado"].is_boolean().alias("alfabetizado__boolean"),
     )
     entity_type = F.lower("__entity_type")
-    staged = staged.withColumns(
+    instant, time_error = _time_parts(F.col("__time_text"))
+    return first.withColumns(
         {
             "__event_id": strip(F.coalesce("__any_event_id", F.lit(""))),
             "__run_id": strip(F.coalesce("__any_run_id", F.lit(""))),
             "__entity_type": entity_type,
             "__entity_id": F.when(entity_type == "uf", F.upper("__entity_id")).otherwise(F.col("__entity_id")),
+            "__event_time": instant,
+            "__time_error": time_error,
         }
     )
-    return _with_payload(staged)
 
 
-def _with_payload(staged: DataFrame) -> DataFrame:
-    holder = F.col("__payload")
-    fields = ["ano", "ano_meta", "rede", "id_municipio", "sigla_uf", "taxa_alfabetizacao", "meta_alfabetizacao",
-              "percentual_participacao", "proficiencia", "alfabetizado"]
-    p = {n: JsonValue(holder, n) for n in fields}
+def _verdict(t: DataFrame) -> DataFrame:
     event, entity_type, entity_id = F.col("__event_type"), F.col("__entity_type"), F.col("__entity_id")
-    instant, time_error = _time_parts(F.col("__time_text"))
-
-    expected = F.lit(None).cast("string")
-    for event_type, kind in EVENT_TYPES.items():
-        expected = F.when(event == event_type, kind).otherwise(expected)
+    is_indicator, is_target, is_pupil = (event.isin(e) for e in (INDICATOR_EVENTS, TARGET_EVENTS, PUPIL_EVENTS))
+    expected = F.create_map(*[F.lit(x) for pair in EVENT_TYPES.items() for x in pair])
     entity_error = (
         F.when((entity_type == "municipio") & ~full_match(entity_id, r"\d{7}"), BAD_CITY_ID)
         .when((entity_type == "uf") & ~full_match(entity_id, r"[A-Z]{2}"), BAD_STATE_ID)
@@ -212,90 +228,85 @@ def _with_payload(staged: DataFrame) -> DataFrame:
         F.when(F.col("__run_id") == "", NO_RUN_ID),
         F.when(~event.isin(list(EVENT_TYPES)), BAD_EVENT_TYPE),
         F.when(F.col("__schema_version") != SCHEMA_VERSION, BAD_VERSION),
-        F.when(entity_type != expected, BAD_ENTITY_TYPE),
+        F.when(entity_type != F.try_element_at(expected, event), BAD_ENTITY_TYPE),
         F.when(entity_id == "", NO_ENTITY_ID),
         entity_error,
         F.when(F.col("__source") == "", NO_SOURCE),
         F.when(~F.col("__payload_ok"), BAD_PAYLOAD),
-        F.when(F.col("__time_text").isNull() | (strip(F.coalesce("__time_text", F.lit(""))) == ""), TIME_NOT_TEXT),
-        time_error,
+        F.when(F.coalesce(strip("__time_text"), F.lit("")) == "", TIME_NOT_TEXT),
+        F.col("__time_error"),
     )
-    year_error = _integer_error(p["ano"], "ano")
     indicator_error = F.coalesce(
-        year_error,
-        _required(p["taxa_alfabetizacao"], "taxa_alfabetizacao"),
-        _percentage_error(p["taxa_alfabetizacao"], "taxa_alfabetizacao"),
-        F.when(
-            ~p["percentual_participacao"].is_null(),
-            _percentage_error(p["percentual_participacao"], "percentual_participacao"),
-        ),
+        _required("taxa_alfabetizacao"),
+        _percentage_error("taxa_alfabetizacao"),
+        F.when(~F.col("percentual_participacao__null"), _percentage_error("percentual_participacao")),
     )
     target_error = F.coalesce(
-        year_error,
-        _integer_error(p["ano_meta"], "ano_meta"),
-        _required(p["meta_alfabetizacao"], "meta_alfabetizacao"),
-        _percentage_error(p["meta_alfabetizacao"], "meta_alfabetizacao"),
-        F.when(~p["ano_meta"].as_integer().between(*TARGET_YEARS), BAD_TARGET_YEAR),
+        _integer_error("ano_meta"),
+        _required("meta_alfabetizacao"),
+        _percentage_error("meta_alfabetizacao"),
+        F.when(~F.col("ano_meta__number").between(*TARGET_YEARS), BAD_TARGET_YEAR),
     )
     pupil_error = F.coalesce(
-        year_error,
-        _required(p["id_municipio"], "id_municipio"),
-        F.when(~full_match(p["id_municipio"].as_text(), r"\d{7}"), BAD_PAYLOAD_CITY),
-        _required(p["proficiencia"], "proficiencia"),
-        _float_error(p["proficiencia"], "proficiencia"),
-        F.when(p["proficiencia"].as_double() < 0, NEGATIVE_SCORE),
-        _required(p["alfabetizado"], "alfabetizado"),
-        F.when(~p["alfabetizado"].is_boolean(), NOT_BOOLEAN),
+        _required("id_municipio"),
+        F.when(~full_match("id_municipio__any_text", r"\d{7}"), BAD_PAYLOAD_CITY),
+        _required("proficiencia"),
+        _float_error("proficiencia"),
+        F.when(F.col("proficiencia__number") < 0, NEGATIVE_SCORE),
+        _required("alfabetizado"),
+        F.when(~F.col("alfabetizado__boolean"), NOT_BOOLEAN),
     )
-    is_indicator, is_target, is_pupil = (event.isin(e) for e in (INDICATOR_EVENTS, TARGET_EVENTS, PUPIL_EVENTS))
     payload_error = F.coalesce(
+        _integer_error("ano"),
         F.when(is_indicator, indicator_error).when(is_target, target_error).when(is_pupil, pupil_error),
-        F.when(~p["ano"].as_integer().between(*YEARS), BAD_YEAR),
+        F.when(~F.col("ano__number").between(*YEARS), BAD_YEAR),
     )
-    city = F.when(entity_type == "municipio", entity_id).when(is_pupil, p["id_municipio"].as_text())
+    city = F.when(entity_type == "municipio", entity_id).when(is_pupil, F.col("id_municipio__any_text"))
     state = F.when(entity_type == "uf", entity_id)
+
+    def scalar(name: str) -> Column:
+        return F.when(~F.col(f"{name}__nested"), F.col(f"{name}__any_text"))
+
     untyped = F.concat_ws(
         ", ",
-        F.when(p["rede"].is_nested(), "rede"),
-        F.when(city.isNull() & p["id_municipio"].is_nested(), "id_municipio"),
-        F.when(state.isNull() & p["sigla_uf"].is_nested(), "sigla_uf"),
-    )
-    not_json = (
-        F.when(F.col("__kind") == "NONE", NOT_JSON).when(~F.col("__kind").startswith("OBJECT"), NOT_OBJECT)
+        F.when(F.col("rede__nested"), "rede"),
+        F.when(city.isNull() & F.col("id_municipio__nested"), "id_municipio"),
+        F.when(state.isNull() & F.col("sigla_uf__nested"), "sigla_uf"),
     )
-    contract = F.coalesce(envelope_error, payload_error)
-    # The raw table also takes times the contract refuses for want of a zone; they are read as UTC.
-    out = staged.withColumns(
-        {"__not_json": not_json, "__event_time": instant,
-         "__raw_time": F.coalesce(instant, F.col("__time_text").try_cast("timestamp"))}
-    )
-    # Typed values are only filled for the event types that carry them.
-    out = out.withColumns(
+    not_json = F.when(F.col("__kind") == "NONE", NOT_JSON).when(~F.col("__kind").startswith("OBJECT"), NOT_OBJECT)
+    out = t.withColumns(
         {
-            "__contract": F.when(F.col("__not_json").isNull(), contract),
-            "__untyped": F.when(F.col("__not_json").isNull(), untyped),
-            "ano": p["ano"].as_integer().try_cast("long"),
-            "ano_meta": F.when(is_target, p["ano_meta"].as_integer().try_cast("long")),
-            "rede": p["rede"].scalar_text(),
-            "id_municipio": F.coalesce(city, p["id_municipio"].scalar_text()),
-            "sigla_uf": F.coalesce(state, p["sigla_uf"].scalar_text()),
-            "taxa_alfabetizacao": F.when(is_indicator, p["taxa_alfabetizacao"].as_double()),
-            "meta_alfabetizacao": F.when(is_target, p["meta_alfabetizacao"].as_double()),
-            "percentual_participacao": F.when(is_indicator, p["percentual_participacao"].as_double()),
-            "proficiencia": F.when(is_pupil, p["proficiencia"].as_double()),
-            "alfabetizado": F.when(is_pupil & p["alfabetizado"].is_boolean(), p["alfabetizado"].text == "true"),
-            "payload_json": spaced_json(F.to_json(holder)),
+            "__not_json": not_json,
+            "__contract": F.when(not_json.isNull(), F.coalesce(envelope_error, payload_error)),
+            "__untyped": F.when(not_json.isNull(), untyped),
+            # The raw table also takes times the contract refuses for want of a zone; they are read as UTC.
+            "__raw_time": F.coalesce("__event_time", F.col("__time_text").try_cast("timestamp")),
+            # Typed values are only filled for the event types that carry them.
+            "ano": F.col("ano__number").try_cast("long"),
+            "ano_meta": F.when(is_target, F.col("ano_meta__number").try_cast("long")),
+            "rede": scalar("rede"),
+            "id_municipio": F.coalesce(city, scalar("id_municipio")),
+            "sigla_uf": F.coalesce(state, scalar("sigla_uf")),
+            "taxa_alfabetizacao": F.when(is_indicator, F.col("taxa_alfabetizacao__number")),
+            "meta_alfabetizacao": F.when(is_target, F.col("meta_alfabetizacao__number")),
+            "percentual_participacao": F.when(is_indicator, F.col("percentual_participacao__number")),
+            "proficiencia": F.when(is_pupil, F.col("proficiencia__number")),
+            "alfabetizado": F.when(
+                is_pupil & F.col("alfabetizado__boolean"), F.col("alfabetizado__any_text") == "True"
+            ),
         }
     )
-    cast_text = F.concat(F.lit("campos com valor composto: "), F.col("__untyped"))
-    code = (
+    composite = F.when(F.col("__untyped") != "", F.concat(F.lit(COMPOSITE), F.col("__untyped")))
+    return out.select(
+        "raw_message", "attributes_json", "message_id", "publish_time", "payload_json",
+        "__any_event_id", "__any_run_id", *[f"__raw_{n}" for n in TEXT_FIELDS], "__raw_time",
+        "__event_id", "__run_id", *[f"__{n}" for n in TEXT_FIELDS], "__event_time", "__uncastable",
+        *PAYLOAD_FIELDS,
         F.when(F.col("__not_json").isNotNull(), INVALID_JSON)
         .when(F.col("__contract").isNotNull(), CONTRACT_ERROR)
         .when(F.col("__untyped") != "", TYPED_CAST_ERROR)
-    )
-    message = F.coalesce("__not_json", "__contract", F.when(F.col("__untyped") != "", cast_text))
-    return out.withColumns({"error_code": code, "error_message": F.substring(message, 1, ERROR_LENGTH)}).drop(
-        "__payload"
+        .alias("error_code"),
+        F.substring(F.coalesce("__not_json", "__contract", composite), 1, ERROR_LENGTH).alias("error_message"),
     )
 
 
@@ -303,7 +314,7 @@ def _shaped(df: DataFrame, schema: str) -> DataFrame:
     return df.to(T.StructType.fromDDL(schema))
 
 
-def raw_rows(judged: DataFrame) -> DataFrame:
+def raw_rows(judged: DataFrame, received_at: Column) -> DataFrame:
     """Every message, valid or not; an unreadable event time is NULL and stays in ``raw_message``."""
     return _shaped(
         judged.select(
@@ -319,13 +330,13 @@ def raw_rows(judged: DataFrame) -> DataFrame:
             "attributes_json",
             F.col("message_id").alias("pubsub_message_id"),
             F.col("publish_time").alias("pubsub_publish_time"),
-            F.col("received_at").alias("ingestion_timestamp"),
+            received_at.alias("ingestion_timestamp"),
         ),
         RAW_SCHEMA,
     )
 
 
-def typed_rows(judged: DataFrame) -> DataFrame:
+def typed_rows(judged: DataFrame, received_at: Column) -> DataFrame:
     """Valid messages with normalised, typed fields."""
     return _shaped(
         judged.filter(F.col("error_code").isNull()).select(
@@ -340,15 +351,15 @@ def typed_rows(judged: DataFrame) -> DataFrame:
             "ano", "ano_meta", "rede", "id_municipio", "sigla_uf", "taxa_alfabetizacao", "meta_alfabetizacao",
             "percentual_participacao", "proficiencia", "alfabetizado", "payload_json",
             F.lit(STATUS).alias("quality_status"),
-            F.col("received_at").alias("processing_timestamp"),
+            received_at.alias("processing_timestamp"),
         ),
         TYPED_SCHEMA,
     )
 
 
-def rejected_rows(judged: DataFrame) -> DataFrame:
+def rejected_rows(judged: DataFrame, received_at: Column) -> DataFrame:
     """Quarantine rows: contract errors, plus raw fields that could not be stored as text."""
-    uncastable = F.concat(F.lit("campos com valor composto: "), F.col("__uncastable"))
+    uncastable = F.concat(F.lit(COMPOSITE), F.col("__uncastable"))
     raw_cast = F.col("error_code").isNull() & (F.col("__uncastable") != "")
     flagged = judged.filter(F.col("error_code").isNotNull() | raw_cast)
     return _shaped(
@@ -362,7 +373,7 @@ def rejected_rows(judged: DataFrame) -> DataFrame:
             "attributes_json",
             F.col("message_id").alias("pubsub_message_id"),
             F.col("publish_time").alias("pubsub_publish_time"),
-            F.col("received_at").alias("quarantined_at"),
+            received_at.alias("quarantined_at"),
         ),
         QUARANTINE_SCHEMA,
     )

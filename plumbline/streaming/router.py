@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -68,11 +69,16 @@ class RouteSinks:
 
 def route_batch(batch: DataFrame, epoch: int, sinks: RouteSinks, received_at: Column | None = None) -> None:
     """Judge one micro-batch and replace the epoch's folder in each sink, so a replayed batch writes no row twice."""
-    judged = contract.judge(batch, received_at if received_at is not None else F.current_timestamp())
-    judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
+    if received_at is None:
+        received_at = F.lit(dt.datetime.now(dt.timezone.utc))
+    judged = contract.judge(batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rejected = contract.rejected_rows(judged)
-        outputs = {"raw": contract.raw_rows(judged), "typed": contract.typed_rows(judged), "quarantine": rejected}
+        rejected = contract.rejected_rows(judged, received_at)
+        outputs = {
+            "raw": contract.raw_rows(judged, received_at),
+            "typed": contract.typed_rows(judged, received_at),
+            "quarantine": rejected,
+        }
         for name, rows in outputs.items():
             rows.write.mode("overwrite").parquet(f"{sinks.path(name)}/_epoch={epoch}")
         contract.dead_letters(rejected).write.mode("overwrite").text(f"{sinks.path('dead_letter')}/_epoch={epoch}")
