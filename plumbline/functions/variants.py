@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 INTEGER_TEXT = r"[\s\p{Z}]*[+-]?\d+(?:_\d+)*[\s\p{Z}]*"
@@ -18,8 +18,8 @@ FLOAT_TEXT = (
 )
 
 
-def with_members(df: DataFrame, holder: str, members: Mapping[str, str]) -> DataFrame:
-    """Add kind and text of each member of a VARIANT column: ``{prefix: JSON path}``.
+def member_columns(holder: str, members: Mapping[str, str]) -> dict[str, Column]:
+    """Kind and text columns of members of a VARIANT column, for ``withColumns``: ``{prefix: JSON path}``.
 
     They become columns of their own so that the many conditions on a member read an attribute instead of
     repeating the lookup (repeated lookups outgrow what generated code can hold).
@@ -29,11 +29,11 @@ def with_members(df: DataFrame, holder: str, members: Mapping[str, str]) -> Data
         value = F.try_variant_get(holder, path, "variant")
         out[f"{name}__kind"] = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
         out[f"{name}__text"] = F.try_variant_get(holder, path, "string")
-    return df.withColumns(out)
+    return out
 
 
 class JsonValue:
-    """Conditions and conversions on one member added by ``with_members``."""
+    """Conditions and conversions on one member added by ``member_columns``."""
 
     def __init__(self, name: str):
         self.kind, self.text = F.col(f"{name}__kind"), F.col(f"{name}__text")

@@ -6,12 +6,14 @@ a pure projection, so the same code validates a table in batch and a stream in m
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.text import full_match, sorted_map_json, spaced_json, strip
-from plumbline.functions.variants import JsonValue, with_members
+from plumbline.functions.variants import JsonValue, member_columns
 
 # Accepted event types and the entity type each one describes.
 EVENT_TYPES = {
@@ -145,31 +147,40 @@ def judge(messages: DataFrame) -> DataFrame:
     The receipt time is added by the row builders, so the expensive part of a micro-batch plan never changes and
     its generated code is reused from batch to batch.
     """
-    return _verdict(_converted(_members(messages)))
+    trimmed, identified = _converted_columns()
+    checked, output = _verdict_columns()
+    members = messages.select(*_parsed_columns()).withColumns(_member_columns()).drop("__json")
+    return members.select(*trimmed).withColumns(identified).withColumns(checked).select(*output)
+
 
+# The column lists below are built once per process: a micro-batch then only binds them to its rows.
 
-def _members(messages: DataFrame) -> DataFrame:
-    """Parse each message once; every JSON member the contract reads becomes a kind and a text column."""
-    parsed = messages.select(
+
+@cache
+def _parsed_columns() -> list[Column]:
+    return [
         F.coalesce("value", F.lit("")).alias("raw_message"),
         F.try_parse_json(F.coalesce("value", F.lit(""))).alias("__json"),
         sorted_map_json("attributes").alias("attributes_json"),
         *[F.col("attributes").getItem(n).alias(f"__attribute_{n}") for n in ID_FIELDS],
-        "message_id",
-        "publish_time",
-    )
+        F.col("message_id"),
+        F.col("publish_time"),
+    ]
+
+
+@cache
+def _member_columns() -> dict[str, Column]:
+    """Every JSON member the contract reads, as a kind and a text column."""
     paths = {f"m_{n}": f"$.{n}" for n in [*ID_FIELDS, *TEXT_FIELDS, "event_time", "payload"]}
     paths |= {f"p_{n}": f"$.payload.{n}" for n in PAYLOAD_FIELDS}
-    out = with_members(parsed, "__json", paths).withColumns(
-        {
-            "__kind": F.coalesce(F.schema_of_variant("__json"), F.lit("NONE")),
-            "payload_json": spaced_json(F.to_json(F.try_variant_get("__json", "$.payload", "variant"))),
-        }
-    )
-    return out.drop("__json")
+    return member_columns("__json", paths) | {
+        "__kind": F.coalesce(F.schema_of_variant("__json"), F.lit("NONE")),
+        "payload_json": spaced_json(F.to_json(F.try_variant_get("__json", "$.payload", "variant"))),
+    }
 
 
-def _converted(parsed: DataFrame) -> DataFrame:
+@cache
+def _converted_columns() -> tuple[list[Column | str], dict[str, Column]]:
     """Trimmed envelope texts, typed payload numbers and the event time, each computed once."""
     m = {n: JsonValue(f"m_{n}") for n in [*ID_FIELDS, *TEXT_FIELDS, "event_time", "payload"]}
     p = {n: JsonValue(f"p_{n}") for n in PAYLOAD_FIELDS}
@@ -183,7 +194,7 @@ def _converted(parsed: DataFrame) -> DataFrame:
 
     # A scalar column cannot take an object or array: noticed here instead of failing the write.
     nested = [F.when(m[n].is_nested(), n) for n in [*ID_FIELDS, *TEXT_FIELDS]]
-    first = parsed.select(
+    first = [
         "raw_message", "attributes_json", "message_id", "publish_time", "__kind", "payload_json",
         any_id("event_id").alias("__any_event_id"),
         any_id("simulation_run_id").alias("__any_run_id"),
@@ -199,22 +210,23 @@ def _converted(parsed: DataFrame) -> DataFrame:
         *[p[n].is_nested().alias(f"{n}__nested") for n in OTHER_FIELDS],
         p["percentual_participacao"].is_null().alias("percentual_participacao__null"),
         p["alfabetizado"].is_boolean().alias("alfabetizado__boolean"),
-    )
+    ]
     entity_type = F.lower("__entity_type")
     instant, time_error = _time_parts(F.col("__time_text"))
-    return first.withColumns(
-        {
-            "__event_id": strip(F.coalesce("__any_event_id", F.lit(""))),
-            "__run_id": strip(F.coalesce("__any_run_id", F.lit(""))),
-            "__entity_type": entity_type,
-            "__entity_id": F.when(entity_type == "uf", F.upper("__entity_id")).otherwise(F.col("__entity_id")),
-            "__event_time": instant,
-            "__time_error": time_error,
-        }
-    )
-
-
-def _verdict(t: DataFrame) -> DataFrame:
+    second = {
+        "__event_id": strip(F.coalesce("__any_event_id", F.lit(""))),
+        "__run_id": strip(F.coalesce("__any_run_id", F.lit(""))),
+        "__entity_type": entity_type,
+        "__entity_id": F.when(entity_type == "uf", F.upper("__entity_id")).otherwise(F.col("__entity_id")),
+        "__event_time": instant,
+        "__time_error": time_error,
+    }
+    return first, second
+
+
+@cache
+def _verdict_columns() -> tuple[dict[str, Column], list[Column | str]]:
+    """The first failing check in contract order, the typed values, and the output columns."""
     event, entity_type, entity_id = F.col("__event_type"), F.col("__entity_type"), F.col("__entity_id")
     is_indicator, is_target, is_pupil = (event.isin(e) for e in (INDICATOR_EVENTS, TARGET_EVENTS, PUPIL_EVENTS))
     expected = F.create_map(*[F.lit(x) for pair in EVENT_TYPES.items() for x in pair])
@@ -274,30 +286,28 @@ def _verdict(t: DataFrame) -> DataFrame:
         F.when(state.isNull() & F.col("sigla_uf__nested"), "sigla_uf"),
     )
     not_json = F.when(F.col("__kind") == "NONE", NOT_JSON).when(~F.col("__kind").startswith("OBJECT"), NOT_OBJECT)
-    out = t.withColumns(
-        {
-            "__not_json": not_json,
-            "__contract": F.when(not_json.isNull(), F.coalesce(envelope_error, payload_error)),
-            "__untyped": F.when(not_json.isNull(), untyped),
-            # The raw table also takes times the contract refuses for want of a zone; they are read as UTC.
-            "__raw_time": F.coalesce("__event_time", F.col("__time_text").try_cast("timestamp")),
-            # Typed values are only filled for the event types that carry them.
-            "ano": F.col("ano__number").try_cast("long"),
-            "ano_meta": F.when(is_target, F.col("ano_meta__number").try_cast("long")),
-            "rede": scalar("rede"),
-            "id_municipio": F.coalesce(city, scalar("id_municipio")),
-            "sigla_uf": F.coalesce(state, scalar("sigla_uf")),
-            "taxa_alfabetizacao": F.when(is_indicator, F.col("taxa_alfabetizacao__number")),
-            "meta_alfabetizacao": F.when(is_target, F.col("meta_alfabetizacao__number")),
-            "percentual_participacao": F.when(is_indicator, F.col("percentual_participacao__number")),
-            "proficiencia": F.when(is_pupil, F.col("proficiencia__number")),
-            "alfabetizado": F.when(
-                is_pupil & F.col("alfabetizado__boolean"), F.col("alfabetizado__any_text") == "True"
-            ),
-        }
-    )
+    checked = {
+        "__not_json": not_json,
+        "__contract": F.when(not_json.isNull(), F.coalesce(envelope_error, payload_error)),
+        "__untyped": F.when(not_json.isNull(), untyped),
+        # The raw table also takes times the contract refuses for want of a zone; they are read as UTC.
+        "__raw_time": F.coalesce("__event_time", F.col("__time_text").try_cast("timestamp")),
+        # Typed values are only filled for the event types that carry them.
+        "ano": F.col("ano__number").try_cast("long"),
+        "ano_meta": F.when(is_target, F.col("ano_meta__number").try_cast("long")),
+        "rede": scalar("rede"),
+        "id_municipio": F.coalesce(city, scalar("id_municipio")),
+        "sigla_uf": F.coalesce(state, scalar("sigla_uf")),
+        "taxa_alfabetizacao": F.when(is_indicator, F.col("taxa_alfabetizacao__number")),
+        "meta_alfabetizacao": F.when(is_target, F.col("meta_alfabetizacao__number")),
+        "percentual_participacao": F.when(is_indicator, F.col("percentual_participacao__number")),
+        "proficiencia": F.when(is_pupil, F.col("proficiencia__number")),
+        "alfabetizado": F.when(
+            is_pupil & F.col("alfabetizado__boolean"), F.col("alfabetizado__any_text") == "True"
+        ),
+    }
     composite = F.when(F.col("__untyped") != "", F.concat(F.lit(COMPOSITE), F.col("__untyped")))
-    return out.select(
+    output = [
         "raw_message", "attributes_json", "message_id", "publish_time", "payload_json",
         "__any_event_id", "__any_run_id", *[f"__raw_{n}" for n in TEXT_FIELDS], "__raw_time",
         "__event_id", "__run_id", *[f"__{n}" for n in TEXT_FIELDS], "__event_time", "__uncastable",
@@ -307,7 +317,8 @@ def _verdict(t: DataFrame) -> DataFrame:
         .when(F.col("__untyped") != "", TYPED_CAST_ERROR)
         .alias("error_code"),
         F.substring(F.coalesce("__not_json", "__contract", composite), 1, ERROR_LENGTH).alias("error_message"),
-    )
+    ]
+    return checked, output
 
 
 def _shaped(df: DataFrame, schema: str) -> DataFrame:
