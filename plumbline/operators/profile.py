@@ -112,6 +112,6 @@ def sample_rows(df: DataFrame, n: int = 100) -> DataFrame:
     return df.limit(n)
 
 
-def search_rows(df: DataFrame, pattern: str, out: str = "registro") -> DataFrame:
-    """Rows whose JSON text matches ``pattern`` case-insensitively, as JSON text."""
-    return df.select(frame_row_json(df).alias(out)).filter(F.lower(out).rlike(pattern))
+def search_rows(df: DataFrame, pattern: str, out: str = "registro", keep: Sequence[str] = ()) -> DataFrame:
+    """Rows whose JSON text matches ``pattern`` case-insensitively, as JSON text (plus the ``keep`` columns)."""
+    return df.select(*keep, frame_row_json(df).alias(out)).filter(F.lower(out).rlike(pattern))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.numeric import banded, mean_where, safe_percent, weighted_mean_where
-from plumbline.operators.checks import repeated_keys
+from plumbline.operators.checks import repeated_keys, row_count
 from plumbline.operators.dedup import latest_per_key
 from plumbline.operators.indicators import (
     change_from_previous, next_period, rank_block, share_of_total, target_status, value_label,
@@ -227,6 +227,14 @@ def nation_kpi(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def nation_years_check(spark: SparkSession, sf: str) -> DataFrame:
+    """How many (year, nation) pairs the orders hold: the grain the product has to reproduce."""
+    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    years = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year"), "o_custkey").distinct()
+    pairs = years.join(customers, F.col("o_custkey") == F.col("c_custkey")).select("year", "c_nationkey").distinct()
+    return row_count(pairs)
+
+
 def g2_rank_quartile(spark: SparkSession, sf: str) -> DataFrame:
     out = rounded(nation_kpi(spark, sf), 6, "revenue", "change", "target", "gap")
     return rounded(out, 8, "percentile")
