@@ -6,7 +6,7 @@ Every reader distinguishes JSON types before casting, because ``try_variant_get`
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,17 +18,22 @@ FLOAT_TEXT = (
 )
 
 
-def member_columns(holder: str, members: Mapping[str, str]) -> dict[str, Column]:
-    """Kind and text columns of members of a VARIANT column, for ``withColumns``: ``{prefix: JSON path}``.
+def members_of(text: Column, names: Sequence[str]) -> Column:
+    """A JSON object's members as a struct of VARIANT fields, read in one pass over the text."""
+    return F.from_json(text, ", ".join(f"{n} variant" for n in names))
+
+
+def member_columns(holder: str, names: Mapping[str, str]) -> dict[str, Column]:
+    """Kind and text columns of members of a ``members_of`` struct, for ``withColumns``: ``{prefix: member}``.
 
     They become columns of their own so that the many conditions on a member read an attribute instead of
-    repeating the lookup (repeated lookups outgrow what generated code can hold).
+    repeating the extraction (repeated extractions outgrow what generated code can hold).
     """
     out = {}
-    for name, path in members.items():
-        value = F.try_variant_get(holder, path, "variant")
-        out[f"{name}__kind"] = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
-        out[f"{name}__text"] = F.try_variant_get(holder, path, "string")
+    for prefix, name in names.items():
+        value = F.col(f"{holder}.{name}")
+        out[f"{prefix}__kind"] = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+        out[f"{prefix}__text"] = value.cast("string")
     return out
 
 

@@ -23,6 +23,8 @@ def build_session(app: str = "plumbline", master: str | None = None, **conf: str
         .config("spark.sql.parquet.compression.codec", "snappy")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.ui.showConsoleProgress", "false")
+        # The JVM never compiles a method above 8,000 bytes of code; smaller generated pieces run faster.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)

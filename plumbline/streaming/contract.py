@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.text import full_match, sorted_map_json, spaced_json, strip
-from plumbline.functions.variants import JsonValue, member_columns
+from plumbline.functions.variants import JsonValue, member_columns, members_of
 
 # Accepted event types and the entity type each one describes.
 EVENT_TYPES = {
@@ -108,8 +108,15 @@ def _percentage_error(field: str) -> Column:
     )
 
 
+_USUAL_TIME = r"\A\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2})\z"
+
+
 def _time_parts(text: Column) -> tuple[Column, Column]:
-    """(instant, error) of an ISO 8601 time whose zone is required."""
+    """(instant, error) of an ISO 8601 time whose zone is required.
+
+    The usual form is cast as it stands; only other forms go through the rewriting below.
+    """
+    usual = text.rlike(_USUAL_TIME)
     iso = F.replace(text, F.lit("Z"), F.lit("+00:00"))
     shaped = iso.rlike(rf"\A{_DATE}(?:.{_CLOCK}(?:{_ZONE})?)?\z")
     zoned = iso.rlike(rf"\A{_DATE}.{_CLOCK}{_ZONE}\z")
@@ -123,10 +130,13 @@ def _time_parts(text: Column) -> tuple[Column, Column]:
     extended = F.regexp_replace(extended, r"[.,](\d{1,6})\d*(?=[+-])", ".$1")
     extended = F.regexp_replace(extended, r"([+-]\d{2}):?(\d{2})\z", "$1:$2")
     extended = F.regexp_replace(extended, r"(T.*[+-]\d{2})\z", "$1:00")
-    instant = F.when(zoned, extended.try_cast("timestamp"))
+    instant = F.when(usual, text.try_cast("timestamp")).when(zoned, extended.try_cast("timestamp"))
     invalid = F.concat(F.lit("Invalid isoformat string: '"), iso, F.lit("'"))
     error = (
-        F.when(~shaped, invalid).when(~zoned, TIME_NO_ZONE).when(instant.isNull(), invalid)
+        F.when(usual & text.try_cast("timestamp").isNotNull(), F.lit(None).cast("string"))
+        .when(~shaped, invalid)
+        .when(~zoned, TIME_NO_ZONE)
+        .when(instant.isNull(), invalid)
     )
     return instant, error
 
@@ -149,18 +159,27 @@ def judge(messages: DataFrame) -> DataFrame:
     """
     trimmed, identified = _converted_columns()
     checked, output = _verdict_columns()
-    members = messages.select(*_parsed_columns()).withColumns(_member_columns()).drop("__json")
+    envelope, payload = _envelope_columns(), _payload_columns()
+    members = messages.select(*_parsed_columns()).withColumns(envelope).withColumns(payload)
+    members = members.withColumns(_payload_members())
     return members.select(*trimmed).withColumns(identified).withColumns(checked).select(*output)
 
 
 # The column lists below are built once per process: a micro-batch then only binds them to its rows.
+# Each list becomes one projection whose columns the next one reads, so nothing is parsed twice.
 
 
 @cache
 def _parsed_columns() -> list[Column]:
+    text = F.coalesce("value", F.lit(""))
     return [
-        F.coalesce("value", F.lit("")).alias("raw_message"),
-        F.try_parse_json(F.coalesce("value", F.lit(""))).alias("__json"),
+        text.alias("raw_message"),
+        # Strict parsing decides whether it is JSON at all; an object is told by its first character.
+        F.when(F.try_parse_json(text).isNull(), "NONE")
+        .when(strip(text).startswith("{"), "OBJECT")
+        .otherwise("OTHER")
+        .alias("__kind"),
+        members_of(text, [*ID_FIELDS, *TEXT_FIELDS, "event_time", "payload"]).alias("__envelope"),
         sorted_map_json("attributes").alias("attributes_json"),
         *[F.col("attributes").getItem(n).alias(f"__attribute_{n}") for n in ID_FIELDS],
         F.col("message_id"),
@@ -169,24 +188,33 @@ def _parsed_columns() -> list[Column]:
 
 
 @cache
-def _member_columns() -> dict[str, Column]:
-    """Every JSON member the contract reads, as a kind and a text column."""
-    paths = {f"m_{n}": f"$.{n}" for n in [*ID_FIELDS, *TEXT_FIELDS, "event_time", "payload"]}
-    paths |= {f"p_{n}": f"$.payload.{n}" for n in PAYLOAD_FIELDS}
-    return member_columns("__json", paths) | {
-        "__kind": F.coalesce(F.schema_of_variant("__json"), F.lit("NONE")),
-        "payload_json": spaced_json(F.to_json(F.try_variant_get("__json", "$.payload", "variant"))),
+def _envelope_columns() -> dict[str, Column]:
+    names = {f"m_{n}": n for n in [*ID_FIELDS, *TEXT_FIELDS, "event_time"]}
+    return member_columns("__envelope", names) | {"__payload_text": F.to_json(F.col("__envelope.payload"))}
+
+
+@cache
+def _payload_columns() -> dict[str, Column]:
+    return {
+        "__payload_ok": F.coalesce(F.col("__payload_text").startswith("{"), F.lit(False)),
+        "__payload": members_of(F.col("__payload_text"), PAYLOAD_FIELDS),
+        "payload_json": spaced_json(F.col("__payload_text")),
     }
 
 
+@cache
+def _payload_members() -> dict[str, Column]:
+    return member_columns("__payload", {f"p_{n}": n for n in PAYLOAD_FIELDS})
+
+
 @cache
 def _converted_columns() -> tuple[list[Column | str], dict[str, Column]]:
     """Trimmed envelope texts, typed payload numbers and the event time, each computed once."""
-    m = {n: JsonValue(f"m_{n}") for n in [*ID_FIELDS, *TEXT_FIELDS, "event_time", "payload"]}
+    m = {n: JsonValue(f"m_{n}") for n in [*ID_FIELDS, *TEXT_FIELDS, "event_time"]}
     p = {n: JsonValue(f"p_{n}") for n in PAYLOAD_FIELDS}
 
     def any_id(name: str) -> Column:
-        unusable = ~F.col("__kind").startswith("OBJECT") | m[name].falsy()
+        unusable = (F.col("__kind") != "OBJECT") | m[name].falsy()
         return F.when(unusable, F.col(f"__attribute_{name}")).otherwise(m[name].as_text())
 
     def trimmed(name: str) -> Column:
@@ -195,13 +223,12 @@ def _converted_columns() -> tuple[list[Column | str], dict[str, Column]]:
     # A scalar column cannot take an object or array: noticed here instead of failing the write.
     nested = [F.when(m[n].is_nested(), n) for n in [*ID_FIELDS, *TEXT_FIELDS]]
     first = [
-        "raw_message", "attributes_json", "message_id", "publish_time", "__kind", "payload_json",
+        "raw_message", "attributes_json", "message_id", "publish_time", "__kind", "__payload_ok", "payload_json",
         any_id("event_id").alias("__any_event_id"),
         any_id("simulation_run_id").alias("__any_run_id"),
         *[m[n].scalar_text().alias(f"__raw_{n}") for n in TEXT_FIELDS],
         *[trimmed(n).alias(f"__{n}") for n in TEXT_FIELDS],
         F.when(m["event_time"].is_string(), m["event_time"].text).alias("__time_text"),
-        m["payload"].is_object().alias("__payload_ok"),
         F.concat_ws(", ", *nested).alias("__uncastable"),
         *[p[n].missing().alias(f"{n}__missing") for n in PAYLOAD_FIELDS],
         *[p[n].as_integer().alias(f"{n}__number") for n in INTEGER_FIELDS],
@@ -285,7 +312,7 @@ def _verdict_columns() -> tuple[dict[str, Column], list[Column | str]]:
         F.when(city.isNull() & F.col("id_municipio__nested"), "id_municipio"),
         F.when(state.isNull() & F.col("sigla_uf__nested"), "sigla_uf"),
     )
-    not_json = F.when(F.col("__kind") == "NONE", NOT_JSON).when(~F.col("__kind").startswith("OBJECT"), NOT_OBJECT)
+    not_json = F.when(F.col("__kind") == "NONE", NOT_JSON).when(F.col("__kind") != "OBJECT", NOT_OBJECT)
     checked = {
         "__not_json": not_json,
         "__contract": F.when(not_json.isNull(), F.coalesce(envelope_error, payload_error)),
