@@ -210,7 +210,7 @@ def nation_kpi(spark: SparkSession, sf: str) -> DataFrame:
     # A constant condition on the right side: only the finished-orders row of each year is compared with.
     finished = (
         table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").groupBy(F.year("o_orderdate").alias("year"))
-        .agg((F.sum("o_totalprice") / 8).alias("target"))
+        .agg((F.sum("o_totalprice") / 10).alias("target"))
     )
     base = (
         change_from_previous(per_nation, ["c_nationkey"], "year", "revenue", "change")
@@ -236,7 +236,7 @@ def nation_years_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def g2_rank_quartile(spark: SparkSession, sf: str) -> DataFrame:
-    out = rounded(nation_kpi(spark, sf), 6, "revenue", "change", "target", "gap")
+    out = rounded(nation_kpi(spark, sf), 3, "revenue", "change", "target", "gap")
     return rounded(out, 8, "percentile")
 
 
@@ -244,7 +244,7 @@ G2_SQL = """g2_base AS (
   SELECT r.year, c_nationkey, revenue, revenue - lag(revenue) OVER (PARTITION BY c_nationkey ORDER BY r.year) AS change, f.target
   FROM (SELECT year(o_orderdate) AS year, c_nationkey, sum(o_totalprice) AS revenue
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL) r
-  LEFT JOIN (SELECT year(o_orderdate) AS year, sum(o_totalprice) / 8 AS target FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) f
+  LEFT JOIN (SELECT year(o_orderdate) AS year, sum(o_totalprice) / 10 AS target FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) f
     ON f.year = r.year),
 g2 AS (
   SELECT year, c_nationkey, revenue, change, target, revenue - target AS gap,
@@ -479,8 +479,8 @@ QUERIES: dict[str, Query] = {
     ),
     "g2_rank_quartile": Query(
         g2_rank_quartile,
-        f"""WITH {G2_SQL} SELECT year, c_nationkey, round(revenue, 6) AS revenue, round(change, 6) AS change, round(target, 6) AS target,
-        round(gap, 6) AS gap, position, round(percentile, 8) AS percentile, quartile, band, status FROM g2_full""",
+        f"""WITH {G2_SQL} SELECT year, c_nationkey, round(revenue, 3) AS revenue, round(change, 3) AS change, round(target, 3) AS target,
+        round(gap, 3) AS gap, position, round(percentile, 8) AS percentile, quartile, band, status FROM g2_full""",
     ),
     "g3_entity_kpi": Query(g3_entity_kpi, f"WITH {G3_SQL} SELECT {G3_COLUMNS_SQL} FROM g3"),
     "g4_coverage_share": Query(g4_coverage_share, G4_SQL),

@@ -50,14 +50,14 @@ def test_rule_ids_keep_declared_order_and_ignore_null(spark):
         Rule("a,b", F.lit(True))
 
 
-@pytest.mark.parametrize("spread", [1, 3, 64])
-def test_repeats_with_a_hot_key_and_exact_copies(spark, spread):
+@pytest.mark.parametrize("how", [dict(spread=1), dict(spread=3), dict(spread=64), dict(key_rows=10), {}])
+def test_repeats_with_a_hot_key_and_exact_copies(spark, how):
     rng = random.Random(4)
     rows = [(1, 5, "same")] * 400 + [(1, rng.randint(0, 3), "x") for _ in range(200)]
     rows += [(k, rng.randint(0, 9), str(rng.randint(0, 2))) for k in range(2, 200) for _ in range(rng.randint(1, 3))]
     rows += [(None, i, "n") for i in range(5)]
     df = spark.createDataFrame(rows, "k int, t int, v string").repartition(16)
-    out = mark_repeats(df, ["k"], [F.desc("t")], spread=spread).collect()
+    out = mark_repeats(df, ["k"], [F.desc("t")], **how).collect()
     assert len(out) == len(rows)
     best = {}
     for k, t, v in rows:
