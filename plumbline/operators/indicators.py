@@ -80,14 +80,17 @@ def rank_block(
     tile: str = "tile",
     tiles: int = 4,
     group_rows: int = RANK_GROUP_ROWS,
+    staged: bool = False,
 ) -> DataFrame:
     """Descending rank, ascending percent rank and descending tile of the non-NULL ``value`` per ``group``.
 
     Returns ``group + key`` and the three columns; ``key`` (unique within the group) breaks ties between tiles.
-    The scored rows are staged once, then the largest group is counted: small groups take one window sort,
-    larger ones the range-split plan, which gives the same numbers.
+    The scored rows are staged once (unless ``df`` already is, ``staged``), then the largest group is counted:
+    small groups take one window sort, larger ones the range-split plan, which gives the same numbers.
     """
-    scored = stage(df.filter(F.col(value).isNotNull()).select(*group, *key, value), "rank")
+    scored = df.filter(F.col(value).isNotNull()).select(*group, *key, value)
+    if not staged:
+        scored = stage(scored, "rank")
     largest = scored.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
     placed = (
         _places_by_window(scored, group, value, key)

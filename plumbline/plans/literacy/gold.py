@@ -14,6 +14,7 @@ from plumbline.operators.quality import union_all
 from plumbline.operators.reshape import wide_to_long
 from plumbline.plans.literacy import schemas as s
 from plumbline.plans.literacy.silver import Product, Tables, municipal_results, public_state_results
+from plumbline.session import stage
 
 RESULT, TARGET, GAP = "taxa_alfabetizacao_resultado", "meta_alfabetizacao", "gap_meta_pontos_percentuais"
 CHANGE = "variacao_pp_ano_anterior"
@@ -71,8 +72,9 @@ def state_kpi(t: Tables, as_of: Column) -> DataFrame:
         .join(national, ["ano"], "left")
         .withColumn("gap_brasil_pontos_percentuais", F.col(RESULT) - F.col("taxa_alfabetizacao_brasil"))
     )
+    base = stage(base, "kpi-uf-base")
     ranking = rank_block(
-        base, ["ano"], RESULT, ["sigla_uf"], "posicao_uf", "percentil_desempenho", "quartil_desempenho"
+        base, ["ano"], RESULT, ["sigla_uf"], "posicao_uf", "percentil_desempenho", "quartil_desempenho", staged=True
     )
     return base.join(ranking, ["ano", "sigla_uf"], "left").select(
         "ano", "ano_referencia", "sigla_uf", RESULT, "media_portugues", TARGET, GAP, CHANGE,
@@ -100,9 +102,10 @@ def city_kpi(t: Tables, as_of: Column) -> DataFrame:
         .join(pupils, ["ano", "id_municipio"], "left")
         .withColumn("divergencia_microdados_publicado_pp", F.col("taxa_alfabetizacao_calculada") - F.col(RESULT))
     )
+    base = stage(base, "kpi-municipio-base")
     ranking = rank_block(
         base, ["ano"], RESULT, ["id_municipio"], "posicao_nacional_municipio", "percentil_desempenho",
-        "quartil_desempenho",
+        "quartil_desempenho", staged=True,
     )
     gap_band = banded(GAP, s.GAP_STEPS, s.GAP_TOP, s.GAP_MISSING).alias("faixa_gap_meta")
     return base.join(ranking, ["ano", "id_municipio"], "left").select(

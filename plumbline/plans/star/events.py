@@ -112,9 +112,9 @@ def _received() -> Column:
     return F.lit("2024-02-01 00:00:00").cast("timestamp")
 
 
-def typed_events(spark: SparkSession, sf: str) -> DataFrame:
+def typed_events(judged: DataFrame) -> DataFrame:
     """Valid events; the processing time follows the event time by a delay made from the event id."""
-    typed = contract.typed_rows(judged_events(spark, sf), _received())
+    typed = contract.typed_rows(judged, _received())
     number = F.substring("event_id", 2, 20).cast("long")
     delay = F.make_dt_interval(secs=((number * 37) % 5000 / 1000).cast("decimal(18,6)"))
     return typed.withColumn("processing_timestamp", F.col("event_time") + delay)
@@ -174,7 +174,7 @@ UNION ALL SELECT run, count(*), 'dead_letter' FROM verdict WHERE error_code IS N
 
 
 def event_summary_query(spark: SparkSession, sf: str) -> DataFrame:
-    out = event_summary(typed_events(spark, sf)).withColumns(
+    out = event_summary(typed_events(judged_events(spark, sf))).withColumns(
         {"data_evento": F.col("data_evento").cast("string"), "ultima_atualizacao": stamp("ultima_atualizacao")}
     )
     return rounded(out, 6, "media_taxa_alfabetizacao", "media_meta_alfabetizacao")
@@ -190,7 +190,7 @@ FROM valid GROUP BY 1, 2, 3, 4"""
 
 
 def event_latest(spark: SparkSession, sf: str) -> DataFrame:
-    return latest_events(typed_events(spark, sf)).select(
+    return latest_events(typed_events(judged_events(spark, sf))).select(
         "event_type", "entity_type", "entity_id", "event_id", stamp("event_time").alias("event_time"),
         "taxa_alfabetizacao", "meta_alfabetizacao", "proficiencia",
     )
@@ -206,7 +206,7 @@ FROM valid QUALIFY row_number() OVER (PARTITION BY kind, entity, entity_id ORDER
 def event_latency_p95(spark: SparkSession, sf: str) -> DataFrame:
     """Latency per run and type. Raw rows hold every message twice (redelivered later), none of type ``error``."""
     judged = judged_events(spark, sf)
-    typed = typed_events(spark, sf)
+    typed = typed_events(judged)
     raw = contract.raw_rows(judged, _received()).filter(F.col("event_type") != KINDS["error"])
     again = raw.withColumn("pubsub_publish_time", F.col("pubsub_publish_time") + F.expr("interval 1 hour"))
     out = latency_summary(typed, raw.unionByName(again), _received())

@@ -218,7 +218,7 @@ def nation_kpi(spark: SparkSession, sf: str) -> DataFrame:
         .withColumn("gap", F.col("revenue") - F.col("target"))
     )
     base = stage(base, "nation-base")
-    ranking = rank_block(base, ["year"], "revenue", ["c_nationkey"], "position", "percentile", "quartile")
+    ranking = rank_block(base, ["year"], "revenue", ["c_nationkey"], "position", "percentile", "quartile", staged=True)
     return base.join(ranking, ["year", "c_nationkey"], "left").withColumns(
         {
             "band": value_label("quartile", QUARTILES, "NONE"),
@@ -279,9 +279,9 @@ def customer_kpi(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), F.col("c_mktsegment").alias("segment"))
     base = per_year.join(customers, ["custkey"], "left")
     base = stage(change_from_previous(base, ["custkey"], "year", "result", "change"), "customer-base")
-    # Segment means of even years serve as targets, so that odd years have none.
-    targets = base.filter(F.col("year") % 2 == 0).groupBy("year", "segment").agg(F.avg("result").alias("target"))
-    ranking = rank_block(base, ["year"], "result", ["custkey"], "position", "percentile", "quartile")
+    # Segment means of even years, deflated by three percent, serve as targets; odd years have none.
+    targets = base.filter(F.col("year") % 2 == 0).groupBy("year", "segment").agg((F.avg("result") / 1.03).alias("target"))
+    ranking = rank_block(base, ["year"], "result", ["custkey"], "position", "percentile", "quartile", staged=True)
     out = base.join(broadcast_if_small(targets), ["year", "segment"], "left").withColumn(
         "gap_pct", safe_percent(F.col("result") - F.col("target"), "target")
     )
@@ -311,7 +311,7 @@ G3_SQL = """g3_base AS (
   LEFT JOIN customer ON c_custkey = o_custkey GROUP BY ALL),
 g3_ranked AS (
   SELECT *, result - lag(result) OVER (PARTITION BY custkey ORDER BY year) AS change,
-         CASE WHEN year % 2 = 0 THEN avg(result) OVER (PARTITION BY year, segment) END AS target,
+         CASE WHEN year % 2 = 0 THEN avg(result) OVER (PARTITION BY year, segment) / 1.03 END AS target,
          rank() OVER (PARTITION BY year ORDER BY result DESC) AS position,
          percent_rank() OVER (PARTITION BY year ORDER BY result) AS percentile,
          ntile(4) OVER (PARTITION BY year ORDER BY result DESC, custkey) AS quartile

@@ -73,6 +73,9 @@ def route_batch(batch: DataFrame, epoch: int, sinks: RouteSinks, received_at: Co
         received_at = F.lit(dt.datetime.now(dt.timezone.utc))
     judged = contract.judge(batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # Batches without data only move the watermark; the first one still creates the folders.
+        if epoch > 0 and judged.isEmpty():
+            return
         rejected = contract.rejected_rows(judged, received_at)
         outputs = {
             "raw": contract.raw_rows(judged, received_at),
@@ -80,8 +83,9 @@ def route_batch(batch: DataFrame, epoch: int, sinks: RouteSinks, received_at: Co
             "quarantine": rejected,
         }
         for name, rows in outputs.items():
-            rows.write.mode("overwrite").parquet(f"{sinks.path(name)}/_epoch={epoch}")
-        contract.dead_letters(rejected).write.mode("overwrite").text(f"{sinks.path('dead_letter')}/_epoch={epoch}")
+            # The state has as many partitions as the cluster needs; files should have the size of the data.
+            rows.hint("rebalance").write.mode("overwrite").parquet(f"{sinks.path(name)}/_epoch={epoch}")
+        contract.dead_letters(rejected).hint("rebalance").write.mode("overwrite").text(f"{sinks.path('dead_letter')}/_epoch={epoch}")
     finally:
         judged.unpersist()
 
