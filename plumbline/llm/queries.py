@@ -7,12 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import substring
+import public_tokenizers
+
+from plumbline.llm import contamination, pieces, simhash, substring, toxicity
 from plumbline.llm.common import table
 
 _SPACE = "[\\x20\\x09-\\x0D]+"
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of each document."""
+    out = simhash.duplicate_groups(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside benchmark windows, and the items they come from."""
+    out = contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = contamination.n_hit("spans")
+    return out.select(
+        "doc.doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"),
+    )
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after removing every window of twenty words that also starts earlier."""
     out = substring.remove_repeats(table(spark, sf_dir, "documents"))
@@ -20,8 +38,30 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc.doc_id", "n_words", "n_removed", F.sha2(words.cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of each document, their number and digest, and whether decoding gives the text back."""
+    out = pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select(
+        "doc.doc_id", F.length(F.coalesce("doc.text", F.lit(""))).cast("long").alias("n_chars"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("doc.text", F.lit(""))).alias("round_trip"), "ids",
+    )
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document by a model of the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out())
+    out = toxicity.scored(docs, model)
+    return out.select("doc.doc_id", toxicity.held_out("doc.doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op8_toxicity": op8_toxicity,
 }
 
 SQL: dict[str, str] = {}

@@ -160,7 +160,9 @@ def _packer(n_parts: int):
             m = np.flatnonzero(again & ~twin)
             if len(m):
                 marks = (ids[owner[m]], version[owner[m]], at[m], size[m].astype(np.int32))
-                columns = [part[m], pa.nulls(len(m), pa.int32()), pa.nulls(len(m), pa.binary()), *marks]
+                # Marks only pass through the judging task, so they are dealt by document, not by a passage many share.
+                dealt = (mix(ids[owner[m]].view(np.uint64) + at[m].astype(np.uint64)) % np.uint64(n_parts)).astype(np.int32)
+                columns = [dealt, pa.nulls(len(m), pa.int32()), pa.nulls(len(m), pa.binary()), *marks]
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, _PACKED)], schema=_PACKED)
             held = np.flatnonzero(~again)
             held = held[np.argsort(part[held], kind="stable")]
