@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from plumbline.llm import contamination, pieces, simhash, substring, toxicity
+from plumbline.llm import contamination, pieces, simhash, substring, tokens, toxicity, warc
 from plumbline.llm.common import table
+from plumbline.session import fresh_path, stage
 
 _SPACE = "[\\x20\\x09-\\x0D]+"
 
@@ -48,6 +49,13 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of each document's ids in the token files."""
+    path = fresh_path(spark, "tokens")
+    tokens.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return tokens.token_spans(spark, path)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of each document by a model of the rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -56,12 +64,38 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc.doc_id", toxicity.held_out("doc.doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload size and digest and the kind of record of each page, as read back from the archives."""
+    path = fresh_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    size, digest = F.octet_length("payload").cast("long"), F.sha2("payload", 256)
+    rows = stage(warc.read_archives(spark, path).select("type", "page", "refers_to", size.alias("size"), digest.alias("digest")), "warc-records")
+    full = rows.where("type = 'response'").groupBy(F.col("page").alias("of")).agg(F.max("size").alias("full_size"), F.max("digest").alias("full_digest"))
+    joined = rows.join(full, F.col("refers_to") == F.col("of"), "left")
+    return joined.select(
+        F.when(F.col("page") != "null", F.col("page").cast("long")).alias("page_id"), F.coalesce("size", "full_size").alias("payload_bytes"),
+        F.coalesce("digest", "full_digest").alias("payload_digest"), F.col("type").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_token_output": op7_token_output,
     "op8_toxicity": op8_toxicity,
+    "op10_warc": op10_warc,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op10_warc": """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+), f AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, p.digest AS payload_digest,
+    CASE WHEN first IS NOT NULL AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.digest = f.digest
+""",
+}
