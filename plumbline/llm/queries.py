@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from plumbline.llm import contamination, pieces, simhash, substring, tokens, toxicity, warc
+from plumbline.llm import contamination, editprint, exact, pages, pieces, simhash, substring, tokens, toxicity, warc
 from plumbline.llm.common import table
 from plumbline.session import fresh_path, stage
 
@@ -22,6 +22,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each document and of its edited text, and their likeness."""
+    return editprint.against_next(table(spark, sf_dir, "documents"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside benchmark windows, and the items they come from."""
     out = contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -39,6 +44,13 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc.doc_id", "n_words", "n_removed", F.sha2(words.cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left after removing every string of 400 bytes that occurs more than once."""
+    out = exact.remove_repeated_strings(table(spark, sf_dir, "documents"), keep_text=False)
+    left = F.octet_length("kept").cast("long")
+    return out.select("doc.doc_id", "n_bytes", (F.col("n_bytes") - left).alias("n_removed"), "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of each document, their number and digest, and whether decoding gives the text back."""
     out = pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -64,6 +76,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc.doc_id", toxicity.held_out("doc.doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    out = pages.extracted(table(spark, sf_dir, "pages"), keep_html=False)
+    return out.select("doc.page_id", "doc.url", F.col("main").alias("text"), F.length("main").cast("long").alias("n_chars"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payload size and digest and the kind of record of each page, as read back from the archives."""
     path = fresh_path(spark, "warc")
@@ -80,11 +98,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_token_output": op7_token_output,
     "op8_toxicity": op8_toxicity,
+    "op9_html_extraction": op9_html_extraction,
     "op10_warc": op10_warc,
 }
 

@@ -15,10 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import as_bytes, cut, groups, id_key, parts, with_doc
+from plumbline.llm.common import as_bytes, cut, groups, id_key, parts
 from plumbline.llm.components import components
 from plumbline.session import stage
 
@@ -215,7 +215,8 @@ def links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
     all its prints to that one. That costs 2,081 rows for each such print, never a square.
     """
     spark = prints.sparkSession
-    keyed = prints.mapInArrow(_keyed, "key long, print long")
+    # Prints are few bytes each but give some 65 keys, so they are dealt to as many tasks as their keys will need.
+    keyed = prints.repartition(parts(spark), "print").mapInArrow(_keyed, "key long, print long")
     found = stage(
         keyed.repartition(parts(spark), "key").sortWithinPartitions("key").mapInArrow(_linker(block), "a long, b long").distinct(),
         "simhash-links",
@@ -227,22 +228,9 @@ def links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
     return found.where("b is not null").unionAll(by_centre.distinct())
 
 
-def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``docs`` as ``doc`` (struct of all their columns) with ``print`` (long) and ``component_id``.
-
-    Documents whose fingerprints differ in three bits at most are linked; ``component_id`` is the smallest doc_id
-    reachable over links, the document's own included. A null text has no words; texts without words have fingerprint
-    zero and are linked like any other; a null id counts as the smallest long; repeated rows are each returned.
-    Pairs are sought between different fingerprints only, so copies cost nothing there.
-    """
-    named = docs.select(F.struct("*").alias("doc"), id_key().alias("id"), "text")
-    printed = named.mapInArrow(_fingerprints, with_doc(docs, "id long, print long"))
-    light = docs.select(id_key().alias("id"), "text").mapInArrow(_fingerprints, "id long, print long")
-    return _labelled(printed, light, block)
-
-
 def _labelled(printed: DataFrame, light: DataFrame, block: int) -> DataFrame:
     """Adds ``component_id`` to ``printed``, given the (id, print) pairs of all documents."""
+    # What follows works on different fingerprints.
     distinct = stage(light.groupBy("print").agg(F.min("id").alias("least")), "simhash-prints")
     roots = components(links(distinct.select("print"), block))
     group = distinct.join(roots, F.col("print") == F.col("node"), "left").select("print", "least", F.coalesce("root", "print").alias("root"))
@@ -251,7 +239,41 @@ def _labelled(printed: DataFrame, light: DataFrame, block: int) -> DataFrame:
     return printed.join(named, F.col("print") == F.col("of")).drop("of")
 
 
+def _printed(docs: DataFrame) -> DataFrame:
+    """(doc_id, id, version, print) of each row, written to the shared folder: fingerprints are the costly part."""
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_key().alias("id"), F.xxhash64("text").alias("version"), "text")
+    return stage(named.mapInArrow(_fingerprints, "doc_id long, id long, version long, print long"), "simhash-documents")
+
+
 def duplicate_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(doc_id, print, component_id) for each row of ``docs``: :func:`near_duplicates` without the other columns."""
-    light = stage(docs.select("doc_id", id_key().alias("id"), "text").mapInArrow(_fingerprints, "doc_id long, id long, print long"), "simhash-documents")
-    return _labelled(light.drop("id"), light, block)
+    """(doc_id, id, version, print, component_id) for each row of ``docs``.
+
+    Documents whose fingerprints differ in three bits at most are linked; ``component_id`` is the smallest doc_id
+    reachable over links, the document's own included. A null text has no words; texts without words have fingerprint
+    zero and are linked like any other; a null id counts as the smallest long (``id`` is the id so read, ``version``
+    the text's hash); repeated rows are each returned. Pairs are sought between different fingerprints only, so
+    copies cost nothing there.
+    """
+    light = _printed(docs)
+    return _labelled(light, light, block)
+
+
+def representatives(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each group does: that with the smallest id.
+
+    Of rows that share this id, repeated ones among them, the one with the smallest text hash stays.
+    """
+    named = stage(duplicate_groups(docs, block).select("id", "version", "component_id"), "simhash-groups")
+    first = named.where("id = component_id")
+    ids = {"own_id": id_key(), "own_version": F.xxhash64("text")}
+    keyed = docs.select(F.struct("*").alias("doc"), *(c.alias(n) for n, c in ids.items()))
+    same = (F.col("own_id") == F.col("id")) & (F.col("own_version") == F.col("version"))
+    kept = keyed.join(named.where("id <> component_id").select("id", "version").distinct(), same, "left_anti")
+    twins = first.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
+    if not twins.isEmpty():
+        tied = first.join(twins, "component_id", "left_semi").distinct()
+        alone = kept.join(tied, same, "left_anti")
+        order = Window.partitionBy("component_id").orderBy("own_version")
+        one = kept.join(tied, same).withColumn("place", F.row_number().over(order)).where("place = 1")
+        kept = alone.select("doc").unionAll(one.select("doc"))
+    return kept.select("doc.*")
