@@ -7,8 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.session import broadcast_if_small
-
 
 def decode_columns(
     facts: DataFrame,
@@ -19,19 +17,16 @@ def decode_columns(
 ) -> DataFrame:
     """Left-join one label column per entry of ``outputs``: ``{label column: (fact column, code column)}``.
 
-    The facts must already hold trimmed codes. The slices of the code table are broadcast when the table
-    passes the size check; otherwise each is a shuffle join whose hot codes adaptive execution splits.
+    The facts must already hold trimmed codes. Whether a slice of the code table is broadcast is left to
+    Spark's byte threshold; otherwise it is a shuffle join whose hot codes adaptive execution splits.
     """
     t, c, k, v = names
     slices = codes.filter(F.col(t) == table)
     out = facts
-    sized = broadcast_if_small(slices)
-    hinted = sized is not slices
     for label, (fact_column, code_column) in outputs.items():
         dim = slices.filter(F.col(c) == code_column).select(
             F.col(k).alias(f"__{label}"), F.col(v).alias(label)
         )
-        dim = F.broadcast(dim) if hinted else dim
         out = out.join(dim, F.col(fact_column) == F.col(f"__{label}"), "left").drop(f"__{label}")
     return out
 

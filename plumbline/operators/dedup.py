@@ -24,36 +24,26 @@ def orderable(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [n for n in names if sortable(df.schema[n].dataType)]
 
 
-# A key with at most this many rows is ranked by one task in one pass.
-KEY_ROWS = 1_000_000
-
-
 def mark_repeats(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     flag: str = "is_repeat",
-    key_rows: int = KEY_ROWS,
     spread: int | None = None,
 ) -> DataFrame:
     """Flag every row of a key except the first one under ``order``.
 
     Remaining columns break ties so the survivor is repeatable. NULL keys form one group, like any value.
 
-    The largest key is counted first (a scan of the key columns with map-side counts). When it is small enough,
-    one window does it: one shuffle of the rows. Otherwise the row number is taken in two rounds. Round one
-    ranks inside ``(key, spread)`` where ``spread`` comes from the input partition, so a key holding a third of
-    all rows, even as exact copies, is cut into about as many pieces as there are shuffle partitions. Only the
-    first row of each piece can still win; round two ranks those together while the certain repeats stay in
-    their own pieces. No group sees more than its share of the hot key plus ``spread`` candidates, and nothing
-    is joined back. ``spread`` forces the two rounds.
+    The row number is taken in two rounds. Round one ranks inside ``(key, spread)`` where ``spread`` comes from the
+    input partition, so a key holding a third of all rows, even as exact copies, is cut into ``spread`` pieces (as many
+    as there are shuffle partitions by default). Only the first row of each piece can still win; round two ranks those
+    together while the certain repeats stay in their own pieces. No group sees more than its share of the hot key plus
+    ``spread`` candidates, the input is read once, and nothing is counted first or joined back; the price is a second
+    shuffle of the rows.
     """
     ties = [F.col(c) for c in orderable(df, [c for c in df.columns if c not in keys])]
     ranking = [*order, *ties]
-    if spread is None:
-        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        if largest <= key_rows:
-            return df.withColumn(flag, F.row_number().over(Window.partitionBy(*keys).orderBy(*ranking)) > 1)
     pieces = spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first = df.withColumn(_SPREAD, F.pmod(F.spark_partition_id(), F.lit(pieces)))
     first = first.withColumn(
@@ -74,11 +64,10 @@ def drop_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 def latest_per_key(df: DataFrame, keys: Sequence[str], recency: Sequence[str]) -> DataFrame:
     """The row of each key with the greatest ``recency`` columns (NULL counts as oldest).
 
-    An aggregate instead of a window: each map task sends one candidate per key, so a hot key costs one row
-    per task and nothing is sorted per group.
+    Remaining columns break ties. Spark limits each group to its first row before the shuffle as well as after it, so
+    a hot key sends one row per task; both limits sort their input. A ``max_by`` over structs sorts the same rows and
+    carries each column twice; a maximum joined back reads the input twice.
     """
-    rest = [c for c in df.columns if c not in keys]
-    ties = [c for c in orderable(df, rest) if c not in recency]
-    best = F.max_by(F.struct(*rest), F.struct(*recency, *ties)).alias("__best")
-    out = df.groupBy(*keys).agg(best)
-    return out.select(*[F.col(c) if c in keys else F.col(f"__best.{c}").alias(c) for c in df.columns])
+    ties = [c for c in orderable(df, [c for c in df.columns if c not in keys]) if c not in recency]
+    newest = Window.partitionBy(*keys).orderBy(*(F.desc_nulls_last(c) for c in [*recency, *ties]))
+    return df.withColumn(_LOCAL, F.row_number().over(newest)).filter(F.col(_LOCAL) == 1).drop(_LOCAL)

@@ -11,9 +11,6 @@ from plumbline.functions.numeric import safe_percent
 from plumbline.functions.text import col
 from plumbline.session import stage
 
-# A ranking group up to this size is sorted by one task; larger ones are split by value range.
-RANK_GROUP_ROWS = 2_000_000
-
 
 def change_from_previous(
     df: DataFrame, entity: Sequence[str], period: str, value: str, out: str
@@ -70,6 +67,14 @@ def _tile(position: Column, n: Column, tiles: int) -> Column:
     )
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``names``, where NULL matches NULL; the columns of the left side stay."""
+    other = {n: f"__right_{n}" for n in names}
+    renamed = right.withColumnsRenamed(other)
+    same = [F.col(n).eqNullSafe(F.col(r)) for n, r in other.items()]
+    return left.join(renamed, same, how).drop(*other.values())
+
+
 def rank_block(
     df: DataFrame,
     group: Sequence[str],
@@ -79,84 +84,69 @@ def rank_block(
     percent: str = "percent_rank",
     tile: str = "tile",
     tiles: int = 4,
-    group_rows: int = RANK_GROUP_ROWS,
-    staged: bool = False,
 ) -> DataFrame:
-    """Descending rank, ascending percent rank and descending tile of the non-NULL ``value`` per ``group``.
-
-    Returns ``group + key`` and the three columns; ``key`` (unique within the group) breaks ties between tiles.
-    The scored rows are staged once (unless ``df`` already is, ``staged``), then the largest group is counted:
-    small groups take one window sort, larger ones the range-split plan, which gives the same numbers.
+    """``df`` with descending rank, ascending percent rank and descending tile of ``value`` within ``group``.
+
+    Every row is kept: NULL groups are groups, and rows without a value have NULL in the three columns. ``key``
+    (unique within the group) breaks ties between tiles. ``df`` is read twice, once to sample the ranges, so it should
+    be a staged or stored table.
+
+    One plan serves every size. Rows are range-partitioned on (group, value desc, key); ``key`` makes every row
+    distinct, so the ranges stay even however skewed groups and values are, and adaptive execution merges small
+    neighbours. The slice number is staged with the rows, because offsets and rows must agree on it. Positions
+    inside a slice come from a window over (slice, group); a summary with one row per (slice, group) carries the
+    running offset. Ties that cross slices can only be the first or the last value of a slice, so only those edge
+    values are aggregated across slices.
     """
-    scored = df.filter(F.col(value).isNotNull()).select(*group, *key, value)
-    if not staged:
-        scored = stage(scored, "rank")
-    largest = scored.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-    placed = (
-        _places_by_window(scored, group, value, key)
-        if largest <= group_rows
-        else _places_by_range(scored, group, value, key)
-    )
-    below = F.col("__n") - (F.col("__rank") - 1) - F.col("__ties")
-    return placed.select(
-        *group,
-        *key,
-        F.col("__rank").cast("long").alias(rank),
-        F.when(F.col("__n") > 1, below / (F.col("__n") - 1)).otherwise(F.lit(0.0)).alias(percent),
-        _tile(F.col("__pos"), F.col("__n"), tiles).alias(tile),
+    order = [F.desc_nulls_last(value), *key]
+    sliced = stage(
+        df.repartitionByRange(*group, *order).withColumn("__slice", F.spark_partition_id()), "slices"
     )
-
-
-def _places_by_window(scored: DataFrame, group: Sequence[str], value: str, key: Sequence[str]) -> DataFrame:
-    """Position, rank, ties and group size. ``(value, key)`` order satisfies the value-only order: one sort."""
-    by_value = Window.partitionBy(*group).orderBy(F.desc(value))
-    total = Window.partitionBy(*group)
-    placed = Window.partitionBy(*group).orderBy(F.desc(value), *key)
-    return scored.withColumns(
+    cell = ["__slice", *group]
+    summary = _slice_summary(sliced.filter(F.col(value).isNotNull()), group, value)
+    inside = Window.partitionBy(*cell).orderBy(F.desc_nulls_last(value))
+    placed = Window.partitionBy(*cell).orderBy(*order)
+    local = sliced.withColumns(
         {
-            "__pos": F.row_number().over(placed).cast("long"),
-            "__rank": F.rank().over(by_value).cast("long"),
-            "__ties": F.count(F.lit(1)).over(by_value.rangeBetween(0, 0)),
-            "__n": F.count(F.lit(1)).over(total),
+            "__row": F.row_number().over(placed).cast("long"),
+            "__local_rank": F.rank().over(inside).cast("long"),
+            "__local_ties": F.count(F.lit(1)).over(inside.rangeBetween(0, 0)),
         }
     )
+    joined = _null_safe_join(local, summary, cell, "left")
 
+    def pick(suffix: str, otherwise: Column) -> Column:
+        return (
+            F.when(F.col(value) == F.col("__first"), F.col(f"__first_{suffix}"))
+            .when(F.col(value) == F.col("__last"), F.col(f"__last_{suffix}"))
+            .otherwise(otherwise)
+        )
 
-def _places_by_range(scored: DataFrame, group: Sequence[str], value: str, key: Sequence[str]) -> DataFrame:
-    """The same columns when a group is too large for one task.
-
-    Rows are range-partitioned on (group, value desc, key); ``key`` makes every row distinct, so the ranges
-    stay even however skewed groups and values are. The slice number is staged with the rows, because offsets
-    and rows must agree on it. Positions inside a slice come from a window over (slice, group); a summary with one
-    row per (slice, group) carries the running offset. Ties that cross slices can only be the first or the last
-    value of a slice, so only those edge values are aggregated across slices.
-    """
-    parts = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = stage(
-        scored.repartitionByRange(max(parts, 2), *group, F.desc(value), *key).withColumn(
-            "__slice", F.spark_partition_id()
-        ),
-        "slices",
+    n, position = F.col("__n"), F.col("__offset") + F.col("__row")
+    own_rank = pick("rank", F.col("__offset") + F.col("__local_rank"))
+    below = n - (own_rank - 1) - pick("ties", F.col("__local_ties"))
+    scored = F.col(value).isNotNull()
+    return joined.select(
+        *df.columns,
+        F.when(scored, own_rank).cast("long").alias(rank),
+        F.when(scored, F.when(n > 1, below / (n - 1)).otherwise(F.lit(0.0))).alias(percent),
+        F.when(scored, _tile(position, n, tiles)).alias(tile),
     )
+
+
+def _slice_summary(sliced: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """Per (slice, group): rows before it, group size, and rank and ties of its first and last value."""
     cell = ["__slice", *group]
-    # Slice summary: size, edge values and how often each edge value occurs in the slice.
-    edges = sliced.groupBy(*cell).agg(
-        F.count(F.lit(1)).alias("__size"), F.max(value).alias("__first"), F.min(value).alias("__last")
-    )
-    edge_counts = (
-        sliced.groupBy(*cell, value)
-        .count()
-        .join(edges, cell)
-        .filter((F.col(value) == F.col("__first")) | (F.col(value) == F.col("__last")))
-        .groupBy(*cell, "__size", "__first", "__last")
-        .agg(
-            F.max(F.when(F.col(value) == F.col("__first"), F.col("count"))).alias("__first_count"),
-            F.max(F.when(F.col(value) == F.col("__last"), F.col("count"))).alias("__last_count"),
-        )
-    )
+    # Size, edge values and how often each edge value occurs in the slice.
+    counts = sliced.groupBy(*cell, value).count()
+    edges = counts.groupBy(*cell).agg(
+        F.sum("count").alias("__size"),
+        F.max(value).alias("__first"), F.max_by("count", value).alias("__first_count"),
+        F.min(value).alias("__last"), F.min_by("count", value).alias("__last_count"),
+    )
     before = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     summary = stage(
-        edge_counts.withColumns(
+        edges.withColumns(
             {
                 "__offset": F.coalesce(F.sum("__size").over(before), F.lit(0)),
                 "__n": F.sum("__size").over(Window.partitionBy(*group)),
@@ -180,37 +170,11 @@ def _places_by_range(scored: DataFrame, group: Sequence[str], value: str, key: S
         .agg(F.min("__start").alias("__start"), F.sum("__c").alias("__c"))
     )
     for edge in ("first", "last"):
-        summary = summary.join(
-            runs.select(
-                *group,
-                F.col("__v").alias(f"__{edge}"),
-                (F.col("__start") + 1).alias(f"__{edge}_rank"),
-                F.col("__c").alias(f"__{edge}_ties"),
-            ),
-            [*group, f"__{edge}"],
+        own = runs.select(
+            *group,
+            F.col("__v").alias(f"__{edge}"),
+            (F.col("__start") + 1).alias(f"__{edge}_rank"),
+            F.col("__c").alias(f"__{edge}_ties"),
         )
-    inside = Window.partitionBy(*cell).orderBy(F.desc(value))
-    placed = Window.partitionBy(*cell).orderBy(F.desc(value), *key)
-    local = sliced.withColumns(
-        {
-            "__row": F.row_number().over(placed).cast("long"),
-            "__local_rank": F.rank().over(inside).cast("long"),
-            "__local_ties": F.count(F.lit(1)).over(inside.rangeBetween(0, 0)),
-        }
-    )
-
-    def pick(suffix: str, otherwise: Column) -> Column:
-        return (
-            F.when(F.col(value) == F.col("__first"), F.col(f"__first_{suffix}"))
-            .when(F.col(value) == F.col("__last"), F.col(f"__last_{suffix}"))
-            .otherwise(otherwise)
-        )
-
-    return local.join(summary, cell).select(
-        *group,
-        *key,
-        (F.col("__offset") + F.col("__row")).alias("__pos"),
-        pick("rank", F.col("__offset") + F.col("__local_rank")).alias("__rank"),
-        pick("ties", F.col("__local_ties")).alias("__ties"),
-        F.col("__n"),
-    )
+        summary = _null_safe_join(summary, own, [*group, f"__{edge}"])
+    return summary

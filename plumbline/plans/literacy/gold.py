@@ -73,10 +73,8 @@ def state_kpi(t: Tables, as_of: Column) -> DataFrame:
         .withColumn("gap_brasil_pontos_percentuais", F.col(RESULT) - F.col("taxa_alfabetizacao_brasil"))
     )
     base = stage(base, "kpi-uf-base")
-    ranking = rank_block(
-        base, ["ano"], RESULT, ["sigla_uf"], "posicao_uf", "percentil_desempenho", "quartil_desempenho", staged=True
-    )
-    return base.join(ranking, ["ano", "sigla_uf"], "left").select(
+    ranked = rank_block(base, ["ano"], RESULT, ["sigla_uf"], "posicao_uf", "percentil_desempenho", "quartil_desempenho")
+    return ranked.select(
         "ano", "ano_referencia", "sigla_uf", RESULT, "media_portugues", TARGET, GAP, CHANGE,
         "percentual_participacao", "taxa_alfabetizacao_brasil", "gap_brasil_pontos_percentuais", "posicao_uf",
         "percentil_desempenho", "quartil_desempenho", _performance_band(), _status(), "integration_status",
@@ -103,12 +101,11 @@ def city_kpi(t: Tables, as_of: Column) -> DataFrame:
         .withColumn("divergencia_microdados_publicado_pp", F.col("taxa_alfabetizacao_calculada") - F.col(RESULT))
     )
     base = stage(base, "kpi-municipio-base")
-    ranking = rank_block(
-        base, ["ano"], RESULT, ["id_municipio"], "posicao_nacional_municipio", "percentil_desempenho",
-        "quartil_desempenho", staged=True,
+    ranked = rank_block(
+        base, ["ano"], RESULT, ["id_municipio"], "posicao_nacional_municipio", "percentil_desempenho", "quartil_desempenho"
     )
     gap_band = banded(GAP, s.GAP_STEPS, s.GAP_TOP, s.GAP_MISSING).alias("faixa_gap_meta")
-    return base.join(ranking, ["ano", "id_municipio"], "left").select(
+    return ranked.select(
         "ano", "ano_referencia", "id_municipio", RESULT, "media_portugues", TARGET, "percentual_participacao",
         "nivel_alfabetizacao", GAP, "integration_status", CHANGE, *PUPIL_MEASURES,
         "divergencia_microdados_publicado_pp", "posicao_nacional_municipio", "percentil_desempenho",

@@ -9,40 +9,34 @@ TARGET_COLUMNS = {year: f"meta_alfabetizacao_{year}" for year in TARGET_YEARS}
 LEVEL_COLUMNS = {level: f"proporcao_aluno_nivel_{level}" for level in range(9)}
 
 
-def _struct(longs: str = "", strings: str = "", doubles: str = "", order: str = "") -> T.StructType:
-    kinds = {n: T.LongType() for n in longs.split()}
-    kinds |= {n: T.StringType() for n in strings.split()}
-    kinds |= {n: T.DoubleType() for n in doubles.split()}
-    names = order.split() or list(kinds)
-    return T.StructType([T.StructField(n, kinds[n]) for n in names])
+def _struct(columns: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
-_TARGETS = "taxa_alfabetizacao " + " ".join(TARGET_COLUMNS.values())
-_RESULTS = "taxa_alfabetizacao media_portugues " + " ".join(LEVEL_COLUMNS.values())
+_LONG, _TEXT, _NUMBER = T.LongType(), T.StringType(), T.DoubleType()
+_TARGETS = {"taxa_alfabetizacao": _NUMBER, **{name: _NUMBER for name in TARGET_COLUMNS.values()}}
+_RESULTS = {"taxa_alfabetizacao": _NUMBER, "media_portugues": _NUMBER, **{name: _NUMBER for name in LEVEL_COLUMNS.values()}}
 
 SOURCES: dict[str, T.StructType] = {
-    "alunos": _struct(
-        "ano",
-        "id_municipio id_escola id_aluno caderno serie rede presenca preenchimento_caderno alfabetizado",
-        "proficiencia peso_aluno",
-    ),
-    "municipio": _struct("ano", "id_municipio serie rede", _RESULTS),
-    "uf": _struct("ano", "sigla_uf serie rede", _RESULTS),
-    "meta_alfabetizacao_brasil": _struct("ano", "rede", _TARGETS + " percentual_participacao"),
-    "meta_alfabetizacao_uf": _struct("ano", "sigla_uf rede", _TARGETS + " percentual_participacao"),
-    "meta_alfabetizacao_municipio": _struct(
-        "ano nivel_alfabetizacao",
-        "id_municipio rede",
-        _TARGETS + " percentual_participacao",
-        f"ano id_municipio rede {_TARGETS} nivel_alfabetizacao percentual_participacao",
-    ),
-    "dicionario": _struct("", "id_tabela nome_coluna chave cobertura_temporal valor"),
-}
+    "alunos": _struct({
+        "ano": _LONG, "id_municipio": _TEXT, "id_escola": _TEXT, "id_aluno": _TEXT, "caderno": _TEXT, "serie": _TEXT, "rede": _TEXT,
+        "presenca": _TEXT, "preenchimento_caderno": _TEXT, "alfabetizado": _TEXT, "proficiencia": _NUMBER, "peso_aluno": _NUMBER,
+    }),
+    "municipio": _struct({"ano": _LONG, "id_municipio": _TEXT, "serie": _TEXT, "rede": _TEXT, **_RESULTS}),
+    "uf": _struct({"ano": _LONG, "sigla_uf": _TEXT, "serie": _TEXT, "rede": _TEXT, **_RESULTS}),
+    "meta_alfabetizacao_brasil": _struct({"ano": _LONG, "rede": _TEXT, **_TARGETS, "percentual_participacao": _NUMBER}),
+    "meta_alfabetizacao_uf": _struct({"ano": _LONG, "sigla_uf": _TEXT, "rede": _TEXT, **_TARGETS, "percentual_participacao": _NUMBER}),
+    "meta_alfabetizacao_municipio": _struct({
+        "ano": _LONG, "id_municipio": _TEXT, "rede": _TEXT, **_TARGETS, "nivel_alfabetizacao": _LONG, "percentual_participacao": _NUMBER,
+    }),
+    "dicionario": _struct({"id_tabela": _TEXT, "nome_coluna": _TEXT, "chave": _TEXT, "cobertura_temporal": _TEXT, "valor": _TEXT}),
+}
 
 # The 27 state codes.
-STATES = (
-    "AC AL AP AM BA CE DF ES GO MA MT MS MG PA PB PR PE PI RJ RN RS RO RR SC SP SE TO"
-).split()
+STATES = [
+    "AC", "AL", "AP", "AM", "BA", "CE", "DF", "ES", "GO", "MA", "MT", "MS", "MG", "PA", "PB", "PR", "PE", "PI", "RJ", "RN", "RS", "RO",
+    "RR", "SC", "SP", "SE", "TO",
+]
 
 # Category codes and labels used by filters.
 GRADE = "2"

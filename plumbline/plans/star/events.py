@@ -41,7 +41,7 @@ def event_messages(spark: SparkSession, sf: str) -> DataFrame:
     kind, user, number = F.col("event_type"), F.col("user_id"), F.col("event_id")
     city = F.format_string("%07d", user + 1_000_000)
     state = F.element_at(F.array(*[F.lit(s) for s in STATES]), (user % len(STATES) + 1).cast("int"))
-    pupil = F.format_string("ALUNO-%06d", user)
+    pupil = F.format_string("pupil/%d", user)
     indicator = kind.isin("view", "click")
     target = kind.isin("signup", "error")
     payload = F.struct(
@@ -84,14 +84,14 @@ def event_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # The verdict straight from the corruption rules, without looking at any message.
-VERDICT_SQL = """verdict AS (
+VERDICT_SQL = f"""verdict AS (
   SELECT *, 'run_' || strftime(ts, '%d') AS run,
     CASE event_type WHEN 'view' THEN 'indicador_municipio_atualizado' WHEN 'click' THEN 'indicador_uf_atualizado'
       WHEN 'signup' THEN 'meta_municipio_atualizada' WHEN 'error' THEN 'meta_uf_atualizada' ELSE 'resultado_aluno_recebido' END AS kind,
     CASE WHEN event_type IN ('view', 'signup') THEN 'municipio' WHEN event_type IN ('click', 'error') THEN 'uf' ELSE 'aluno' END AS entity,
     CASE WHEN event_type IN ('view', 'signup') THEN (user_id + 1000000)::VARCHAR
-      WHEN event_type IN ('click', 'error') THEN ['AC','AL','AP','AM','BA','CE','DF','ES','GO','MA','MT','MS','MG','PA','PB','PR','PE','PI','RJ','RN','RS','RO','RR','SC','SP','SE','TO'][user_id % 27 + 1]
-      ELSE 'ALUNO-' || lpad(user_id::VARCHAR, 6, '0') END AS entity_id,
+      WHEN event_type IN ('click', 'error') THEN {STATES}[user_id % {len(STATES)} + 1]
+      ELSE 'pupil/' || user_id END AS entity_id,
     CASE WHEN event_id % 23 = 0 THEN 'INVALID_JSON' WHEN event_id % 31 = 0 OR event_id % 29 = 0 OR event_id % 37 = 0
       OR (event_type <> 'purchase' AND value > 100) OR event_id % 41 = 0 THEN 'CONTRACT_VALIDATION_ERROR' END AS error_code,
     CASE WHEN event_id % 23 = 0 THEN 'a mensagem não é um JSON válido' WHEN event_id % 31 = 0 THEN 'schema_version deve ser 1.0'

@@ -17,7 +17,7 @@ from plumbline.operators.quality import union_all
 from plumbline.operators.reconcile import match_outer
 from plumbline.operators.reshape import wide_to_long
 from plumbline.plans.star.base import Query, rounded, table
-from plumbline.session import broadcast_if_small, stage
+from plumbline.session import stage
 
 STATUS = ("NO_RESULT", "NO_TARGET", "REACHED", "MISSED")
 QUARTILES = {1: "Q1", 2: "Q2", 3: "Q3", 4: "Q4"}
@@ -218,8 +218,8 @@ def nation_kpi(spark: SparkSession, sf: str) -> DataFrame:
         .withColumn("gap", F.col("revenue") - F.col("target"))
     )
     base = stage(base, "nation-base")
-    ranking = rank_block(base, ["year"], "revenue", ["c_nationkey"], "position", "percentile", "quartile", staged=True)
-    return base.join(ranking, ["year", "c_nationkey"], "left").withColumns(
+    ranked = rank_block(base, ["year"], "revenue", ["c_nationkey"], "position", "percentile", "quartile")
+    return ranked.withColumns(
         {
             "band": value_label("quartile", QUARTILES, "NONE"),
             "status": target_status("revenue", "target", "gap", STATUS),
@@ -281,11 +281,11 @@ def customer_kpi(spark: SparkSession, sf: str) -> DataFrame:
     base = stage(change_from_previous(base, ["custkey"], "year", "result", "change"), "customer-base")
     # Segment means of even years, deflated by three percent, serve as targets; odd years have none.
     targets = base.filter(F.col("year") % 2 == 0).groupBy("year", "segment").agg((F.avg("result") / 1.03).alias("target"))
-    ranking = rank_block(base, ["year"], "result", ["custkey"], "position", "percentile", "quartile", staged=True)
-    out = base.join(broadcast_if_small(targets), ["year", "segment"], "left").withColumn(
+    ranked = rank_block(base, ["year"], "result", ["custkey"], "position", "percentile", "quartile")
+    out = ranked.join(targets, ["year", "segment"], "left").withColumn(
         "gap_pct", safe_percent(F.col("result") - F.col("target"), "target")
     )
-    return out.join(ranking, ["year", "custkey"], "left").withColumns(
+    return out.withColumns(
         {
             "band": value_label("quartile", QUARTILES, "NONE"),
             "status": target_status("result", "target", "gap_pct", STATUS),

@@ -1,4 +1,4 @@
-"""Session defaults and the two size-guarded helpers every operator relies on."""
+"""Session defaults and staging in the shared folder."""
 
 from __future__ import annotations
 
@@ -8,10 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A broadcast side never exceeds this many (narrow) rows; larger sides are shuffled.
-BROADCAST_ROWS = 200_000
-
-
 def build_session(app: str = "plumbline", master: str | None = None, **conf: str) -> SparkSession:
     """A session with ANSI semantics, UTC timestamps and adaptive execution."""
     builder = (
@@ -22,6 +18,9 @@ def build_session(app: str = "plumbline", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "snappy")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # De-duplication state outgrows the heap; changes are checkpointed instead of whole snapshots.
+        .config("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
         # The JVM never compiles a method above 8,000 bytes of code; smaller generated pieces run faster.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
@@ -38,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     folder = tempfile.mkdtemp(prefix="plumbline-")
     spark.sparkContext.setCheckpointDir(folder)
@@ -61,12 +60,3 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that the side is at most ``max_rows`` rows.
-
-    The count stops at ``max_rows + 1`` rows. Beyond the bound the side goes unhinted to a shuffle join,
-    where adaptive execution splits skewed partitions.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -6,40 +6,42 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from plumbline.streaming import contract
 
-# Messages older than this (by publish time) are no longer compared for duplicates; the message retention.
+# How long an id is remembered after its message arrived; the message retention.
 DEDUP_HORIZON = "7 days"
 
 
 def with_dedup_id(messages: DataFrame) -> DataFrame:
-    """The ``event_id`` attribute, or the message id where it is absent."""
-    return messages.withColumn("dedup_id", F.coalesce(F.col("attributes").getItem("event_id"), "message_id"))
+    """The ``event_id`` attribute, or the message id where it is absent.
+
+    A message with neither repeats nothing that could be told, so it gets an id of its own.
+    """
+    own = F.concat(F.lit("none:"), F.uuid())
+    return messages.withColumn("dedup_id", F.coalesce(F.col("attributes").getItem("event_id"), "message_id", own))
 
 
-def deduplicated_stream(messages: DataFrame, horizon: str = DEDUP_HORIZON, spread: int = 8) -> DataFrame:
-    """First message per de-dup id within the horizon.
+def deduplicated_stream(messages: DataFrame, horizon: str = DEDUP_HORIZON) -> DataFrame:
+    """First message per de-dup id within the horizon of its arrival.
 
-    Two keyed steps: the first drops repeats inside ``(id, input partition mod spread)``, so an id that is
-    redelivered without end is thinned by ``spread`` tasks before the second step sees it. The watermark is
-    on publish time because the time in the body may be unreadable.
+    The watermark is on the arrival time, the time of the micro-batch. It never runs ahead of a message, so however
+    long ago a message was published, by a lagging partition or a replay, none is refused; and ids leave the state a
+    horizon after they came in. One keyed step on the id alone: repeats find the id in the state and go no further.
     """
-    keyed = with_dedup_id(messages).withColumn("__spread", F.pmod(F.spark_partition_id(), F.lit(spread)))
-    thinned = keyed.withWatermark("publish_time", horizon).dropDuplicatesWithinWatermark(["dedup_id", "__spread"])
-    return thinned.dropDuplicatesWithinWatermark(["dedup_id"]).drop("dedup_id", "__spread")
+    arrived = with_dedup_id(messages).withColumn("__arrived", F.current_timestamp())
+    unique = arrived.withWatermark("__arrived", horizon).dropDuplicatesWithinWatermark(["dedup_id"])
+    return unique.drop("dedup_id", "__arrived")
 
 
 def deduplicated_table(messages: DataFrame) -> DataFrame:
-    """The batch form: earliest published message per id; map-side combined, so a hot id is one row per task."""
-    ids = with_dedup_id(messages)
-    rest = [c for c in messages.columns if c != "attributes"]
-    order = F.struct("publish_time", "message_id", "value")
-    picked = ids.groupBy("dedup_id").agg(F.min_by(F.struct(*rest, "attributes"), order).alias("m"))
-    return picked.select(*[F.col(f"m.{c}").alias(c) for c in messages.columns])
+    """The batch form: the earliest published message per id. The limit to one row also holds before the shuffle."""
+    first = Window.partitionBy("dedup_id").orderBy("publish_time", "message_id", "value")
+    placed = with_dedup_id(messages).withColumn("__place", F.row_number().over(first))
+    return placed.filter("__place = 1").select(*messages.columns)
 
 
 @dataclass(frozen=True)
@@ -107,12 +109,3 @@ def start_router(
     )
     writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=interval)
     return writer.start()
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the de-duplication state refused because they were older than the watermark."""
-    return sum(
-        int(op.get("numRowsDroppedByWatermark", 0))
-        for progress in query.recentProgress
-        for op in progress["stateOperators"]
-    )

@@ -17,7 +17,6 @@ from plumbline.operators.indicators import next_period, rank_block, share_of_tot
 from plumbline.operators.quality import Rule, RuleBook
 from plumbline.operators.reconcile import match_outer
 from plumbline.operators.reshape import wide_to_long
-from plumbline.session import broadcast_if_small
 from plumbline.sources.tables import append_if_absent, empty_like
 from plumbline.streaming.alerts import AlertPolicy, sustained_breaches
 
@@ -50,7 +49,7 @@ def test_rule_ids_keep_declared_order_and_ignore_null(spark):
         Rule("a,b", F.lit(True))
 
 
-@pytest.mark.parametrize("how", [dict(spread=1), dict(spread=3), dict(spread=64), dict(key_rows=10), {}])
+@pytest.mark.parametrize("how", [dict(spread=1), dict(spread=3), dict(spread=64), {}])
 def test_repeats_with_a_hot_key_and_exact_copies(spark, how):
     rng = random.Random(4)
     rows = [(1, 5, "same")] * 400 + [(1, rng.randint(0, 3), "x") for _ in range(200)]
@@ -87,20 +86,34 @@ def brute_ranks(rows, tiles=4):
     return out
 
 
-@pytest.mark.parametrize("limit", [10**6, 0])
-def test_rank_block_window_and_range_agree_with_brute_force(spark, limit):
+def test_rank_block_agrees_with_brute_force_and_keeps_every_row(spark):
     rng = random.Random(7)
     rows = [(2023, i, 50.0 if i % 3 else float(rng.randint(0, 40))) for i in range(600)]
     rows += [(2024, i, float(rng.randint(0, 5))) for i in range(43)] + [(2025, 1, 7.0), (2026, 1, None), (2026, 2, 1.0), (2026, 3, 1.0)]
-    df = spark.createDataFrame(rows, "y int, k int, v double").repartition(5)
-    got = {(r.y, r.k): (r["rank"], r["percent_rank"], r["tile"]) for r in
-           rank_block(df, ["y"], "v", ["k"], group_rows=limit).collect()}
+    rows += [(None, i, float(i % 7)) for i in range(50)] + [(None, 50, None)]
+    df = spark.createDataFrame(rows, "y int, k int, v double").repartition(5).withColumn("extra", F.col("k") * 2)
+    out = rank_block(df, ["y"], "v", ["k"])
+    assert out.columns == [*df.columns, "rank", "percent_rank", "tile"]
+    got = {(r.y, r.k): (r["rank"], r["percent_rank"], r["tile"]) for r in out.collect()}
     want = brute_ranks(rows)
-    assert got.keys() == want.keys()
+    assert got.keys() == {(y, k) for y, k, _ in rows}
+    assert all(got[y, k] == (None, None, None) for y, k, v in rows if v is None)
     for key, (rank, percent, tile) in want.items():
         assert got[key][0] == rank and got[key][2] == tile and abs(got[key][1] - percent) < 1e-12, key
 
 
+def test_rank_block_takes_nan_and_signed_zeros_as_window_functions_do(spark):
+    from pyspark.sql import Window
+
+    values = [float("nan"), float("nan"), 0.0, -0.0, 1.0, -1.0, float("inf"), 0.0, None]
+    df = spark.createDataFrame([(g, i, v) for g in ("a", None) for i, v in enumerate(values)], "g string, k int, v double")
+    w = Window.partitionBy("g").orderBy(F.desc("v"))
+    want = {(r.g, r.k): (r["r"], r["p"]) for r in df.filter("v is not null").withColumn("r", F.rank().over(w))
+            .withColumn("p", F.percent_rank().over(Window.partitionBy("g").orderBy("v"))).collect()}
+    got = {(r.g, r.k): (r["rank"], r["percent_rank"]) for r in rank_block(df, ["g"], "v", ["k"]).filter("v is not null").collect()}
+    assert got == want
+
+
 def test_rank_block_agrees_with_spark_ntile(spark):
     from pyspark.sql import Window
 
@@ -120,12 +133,11 @@ def test_match_outer_null_keys_never_match(spark):
     ]
 
 
-def test_decode_broadcasts_only_small_tables(spark):
+def test_decode_keeps_rows_without_a_label(spark):
     codes = spark.createDataFrame([("t", "c", str(i), f"L{i}") for i in range(5)], "id_tabela string, nome_coluna string, chave string, valor string")
     facts = spark.createDataFrame([("1",), ("9",), (None,)], "c string")
     out = decode_columns(facts, codes, "t", {"c_nome": ("c", "c")})
     assert [(r.c, r.c_nome) for r in out.orderBy("c").collect()] == [(None, None), ("1", "L1"), ("9", None)]
-    assert broadcast_if_small(codes, 4) is codes and broadcast_if_small(codes, 5) is not codes
 
 
 def test_wide_to_long_keeps_nulls(spark):

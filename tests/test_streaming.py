@@ -14,52 +14,51 @@ from plumbline.streaming import contract as c
 from plumbline.streaming import router, views
 from plumbline.streaming.alerts import AlertPolicy, sustained_breaches
 
-RUN = "sim_20260712T142039Z"
-T0 = dt.datetime(2026, 7, 12, 14, 20, 0)
-RECEIVED = dt.datetime(2026, 7, 12, 14, 22, 30)
-
-CITIES, STATES = ["3550308", "3304557", "5300108", "2927408"], ["SP", "RJ", "DF", "BA"]
-PAYLOADS = {
-    "indicador_municipio_atualizado": {"ano": 2025, "rede": "Municipal", "taxa_alfabetizacao": 61.5, "percentual_participacao": 90.25},
-    "indicador_uf_atualizado": {"ano": 2025, "rede": "Pública", "taxa_alfabetizacao": 60.0, "percentual_participacao": 91.5},
-    "meta_municipio_atualizada": {"ano": 2025, "ano_meta": 2026, "rede": "Municipal", "meta_alfabetizacao": 70.5},
-    "meta_uf_atualizada": {"ano": 2025, "ano_meta": 2026, "rede": "Pública", "meta_alfabetizacao": 71.5},
-    "resultado_aluno_recebido": {"ano": 2025, "id_municipio": "3550308", "rede": "Municipal", "proficiencia": 745.5, "alfabetizado": True},
+RUN = "blue-run-7"
+T0 = dt.datetime(2027, 3, 4, 9, 30, 0)
+RECEIVED = dt.datetime(2027, 3, 4, 9, 41, 5)
+
+IND, STATE_IND, CITY_META = "indicador_municipio_atualizado", "indicador_uf_atualizado", "meta_municipio_atualizada"
+META, PUPIL = "meta_uf_atualizada", "resultado_aluno_recebido"
+
+# One valid entity and payload per event type.
+ENTITY = {IND: "4205407", STATE_IND: "SC", CITY_META: "2611606", META: "PE", PUPIL: "turma-b.17"}
+PAYLOAD = {
+    IND: {"ano": 2027, "rede": "Estadual", "taxa_alfabetizacao": 48.25, "percentual_participacao": 77.0},
+    STATE_IND: {"ano": 2026, "rede": "Federal", "taxa_alfabetizacao": 52.75, "percentual_participacao": 83.5},
+    CITY_META: {"ano": 2027, "ano_meta": 2029, "rede": "Estadual", "meta_alfabetizacao": 66.0},
+    META: {"ano": 2026, "ano_meta": 2028, "rede": "Federal", "meta_alfabetizacao": 64.5},
+    PUPIL: {"ano": 2027, "id_municipio": "1501402", "rede": "Privada", "proficiencia": 612.0, "alfabetizado": False},
 }
-KINDS = list(PAYLOADS)
 
 
-def event(i=0, kind=None, payload=None, drop=(), **changes):
-    kind = kind or KINDS[i % 5]
-    entity = c.EVENT_TYPES[kind]
-    ids = {"municipio": CITIES[i % 4], "uf": STATES[i % 4], "aluno": f"ALUNO-{i:06d}"}
+def event(kind, payload=None, drop=(), number=0, **changes):
+    """The body of a valid event of this type, with changes to its payload and envelope."""
     body = {
-        "event_id": f"e{i}", "simulation_run_id": RUN, "event_type": kind,
-        "event_time": (T0 + dt.timedelta(seconds=i)).isoformat() + "Z", "schema_version": "1.0",
-        "entity_type": entity, "entity_id": ids[entity], "source": "fixture",
-        "payload": {**PAYLOADS[kind], **(payload or {})},
+        "source": "tests", "schema_version": "1.0", "simulation_run_id": RUN, "event_id": f"ev-{number}",
+        "event_time": f"{(T0 + dt.timedelta(minutes=number)).isoformat()}+00:00", "event_type": kind,
+        "entity_type": c.EVENT_TYPES[kind], "entity_id": ENTITY[kind], "payload": PAYLOAD[kind] | (payload or {}),
     } | changes
-    for d in drop:
-        (body["payload"] if d.startswith("payload.") else body).pop(d.removeprefix("payload."))
+    for path in drop:
+        holder, _, name = path.rpartition(".")
+        del (body[holder] if holder else body)[name]
     return body
 
 
-def message(body, i=0, event_id="auto", text=None):
-    value = text if text is not None else json.dumps(body, ensure_ascii=False)
-    attributes = {"simulation_run_id": RUN, "message_kind": "x"}
-    if event_id is not None:
-        attributes["event_id"] = body.get("event_id", f"a{i}") if event_id == "auto" and isinstance(body, dict) else str(event_id)
-    return (value, attributes, f"m{i}", T0 + dt.timedelta(seconds=i, milliseconds=500))
+def message(body, number=0, **attributes):
+    """A message as the source hands it over; the body is an object or raw text."""
+    text = body if isinstance(body, str) else json.dumps(body, ensure_ascii=False)
+    return text, {"simulation_run_id": RUN, **attributes}, f"msg/{number}", T0 + dt.timedelta(minutes=number, milliseconds=250)
 
 
-def standard_run():
-    valid = [message(event(i), i) for i in range(12)]
-    broken = [
-        message({}, 12, "bad-json", text='{"event_id": "quebrado", "event_type": '),
-        message(event(13, "indicador_uf_atualizado", drop=["entity_id"]), 13),
-        message(event(14, "indicador_municipio_atualizado", {"taxa_alfabetizacao": 130.0}), 14),
-    ]
-    return valid + broken
+# A run with each event type and each way to fail: text cut off, no source, a year too early, a share below zero.
+RUN_BODIES = [
+    event(IND, number=0), event(IND, number=1, entity_id="1501402"), event(STATE_IND, number=2), event(STATE_IND, number=3, entity_id="PA"),
+    event(CITY_META, number=4), event(META, number=5), event(PUPIL, number=6), event(PUPIL, number=7, entity_id="turma-c.02"),
+    '[{"event_id": "ev-8"', event(META, drop=["source"], number=9), event(CITY_META, {"ano": 1999}, number=10), event(STATE_IND, {"taxa_alfabetizacao": -3.0}, number=11),
+]
+VALID, BROKEN = 8, 4
+RUN_MESSAGES = [message(body, number, event_id=f"ev-{number}") for number, body in enumerate(RUN_BODIES)]
 
 
 def judged(spark, messages):
@@ -71,46 +70,45 @@ def at():
     return F.lit(RECEIVED.isoformat(sep=" ")).cast("timestamp")
 
 
-IND, META, PUPIL = "indicador_municipio_atualizado", "meta_uf_atualizada", "resultado_aluno_recebido"
 ERRORS = [
-    (event(0, IND, event_id=" "), None, c.NO_EVENT_ID),
-    (event(0, IND, simulation_run_id=" "), "x", c.NO_RUN_ID),
-    (event(0, IND, event_type="outro"), "x", c.BAD_EVENT_TYPE),
-    (event(0, IND, event_type=5), "x", c.BAD_EVENT_TYPE),
-    (event(0, IND, schema_version="2.0"), "x", c.BAD_VERSION),
-    (event(0, IND, entity_type="uf"), "x", c.BAD_ENTITY_TYPE),
-    (event(0, IND, entity_id=""), "x", c.NO_ENTITY_ID),
-    (event(0, IND, entity_id="35503081"), "x", c.BAD_CITY_ID),
-    (event(1, META, entity_id="S1"), "x", c.BAD_STATE_ID),
-    (event(4, PUPIL, entity_id="ab"), "x", c.BAD_PUPIL_ID),
-    (event(0, IND, source=None), "x", c.NO_SOURCE),
-    (event(0, IND) | {"payload": [1]}, "x", c.BAD_PAYLOAD),
-    (event(0, IND, event_time=5), "x", c.TIME_NOT_TEXT),
-    (event(0, IND, event_time=" "), "x", c.TIME_NOT_TEXT),
-    (event(0, IND, event_time="2026-07-12T14:20:00"), "x", c.TIME_NO_ZONE),
-    (event(0, IND, event_time="2026-07-12"), "x", c.TIME_NO_ZONE),
-    (event(0, IND, event_time="ontem"), "x", "Invalid isoformat string: 'ontem'"),
-    (event(0, IND, event_time="2026-13-12T14:20:00Z"), "x", "Invalid isoformat string: '2026-13-12T14:20:00+00:00'"),
-    (event(0, IND, drop=["payload.ano"]), "x", "payload.ano é obrigatório"),
-    (event(0, IND, {"ano": True}), "x", "ano deve ser inteiro"),
-    (event(0, IND, {"ano": "2025.9"}), "x", "ano deve ser inteiro"),
-    (event(0, IND, {"ano": [2025]}), "x", "ano deve ser inteiro"),
-    (event(0, IND, {"ano": 2022}), "x", c.BAD_YEAR),
-    (event(0, IND, {"ano": 2036}), "x", c.BAD_YEAR),
-    (event(0, IND, {"ano": 10**30}), "x", c.BAD_YEAR),
-    (event(0, IND, {"taxa_alfabetizacao": ""}), "x", "payload.taxa_alfabetizacao é obrigatório"),
-    (event(0, IND, {"taxa_alfabetizacao": "abc"}), "x", "taxa_alfabetizacao deve ser numérico"),
-    (event(0, IND, {"taxa_alfabetizacao": False}), "x", "taxa_alfabetizacao deve ser numérico"),
-    (event(0, IND, {"taxa_alfabetizacao": "nan"}), "x", "taxa_alfabetizacao deve estar entre 0 e 100"),
-    (event(0, IND, {"percentual_participacao": ""}), "x", "percentual_participacao deve ser numérico"),
-    (event(0, IND, {"percentual_participacao": -0.1}), "x", "percentual_participacao deve estar entre 0 e 100"),
-    (event(3, META, {"ano_meta": 2023}), "x", c.BAD_TARGET_YEAR),
-    (event(3, META, {"ano_meta": 2031}), "x", c.BAD_TARGET_YEAR),
-    (event(3, META, {"meta_alfabetizacao": None}), "x", "payload.meta_alfabetizacao é obrigatório"),
-    (event(4, PUPIL, {"id_municipio": "35503"}), "x", c.BAD_PAYLOAD_CITY),
-    (event(4, PUPIL, {"proficiencia": -1}), "x", c.NEGATIVE_SCORE),
-    (event(4, PUPIL, {"alfabetizado": "true"}), "x", c.NOT_BOOLEAN),
-    (event(4, PUPIL, drop=["payload.alfabetizado"]), "x", "payload.alfabetizado é obrigatório"),
+    (event(IND, event_id=" "), None, c.NO_EVENT_ID),
+    (event(IND, simulation_run_id=" "), "x", c.NO_RUN_ID),
+    (event(IND, event_type="outro"), "x", c.BAD_EVENT_TYPE),
+    (event(IND, event_type=5), "x", c.BAD_EVENT_TYPE),
+    (event(IND, schema_version="2.0"), "x", c.BAD_VERSION),
+    (event(IND, entity_type="uf"), "x", c.BAD_ENTITY_TYPE),
+    (event(IND, entity_id=""), "x", c.NO_ENTITY_ID),
+    (event(IND, entity_id="42054071"), "x", c.BAD_CITY_ID),
+    (event(META, entity_id="S1"), "x", c.BAD_STATE_ID),
+    (event(PUPIL, entity_id="ab"), "x", c.BAD_PUPIL_ID),
+    (event(IND, source=None), "x", c.NO_SOURCE),
+    (event(IND) | {"payload": [1]}, "x", c.BAD_PAYLOAD),
+    (event(IND, event_time=5), "x", c.TIME_NOT_TEXT),
+    (event(IND, event_time=" "), "x", c.TIME_NOT_TEXT),
+    (event(IND, event_time="2027-03-04T09:30:00"), "x", c.TIME_NO_ZONE),
+    (event(IND, event_time="2027-03-04"), "x", c.TIME_NO_ZONE),
+    (event(IND, event_time="amanhã cedo"), "x", "Invalid isoformat string: 'amanhã cedo'"),
+    (event(IND, event_time="2027-02-30T09:30:00Z"), "x", "Invalid isoformat string: '2027-02-30T09:30:00+00:00'"),
+    (event(IND, drop=["payload.ano"]), "x", "payload.ano é obrigatório"),
+    (event(IND, {"ano": True}), "x", "ano deve ser inteiro"),
+    (event(IND, {"ano": "2027.5"}), "x", "ano deve ser inteiro"),
+    (event(IND, {"ano": [2027]}), "x", "ano deve ser inteiro"),
+    (event(IND, {"ano": 2022}), "x", c.BAD_YEAR),
+    (event(IND, {"ano": 2036}), "x", c.BAD_YEAR),
+    (event(IND, {"ano": 10**30}), "x", c.BAD_YEAR),
+    (event(IND, {"taxa_alfabetizacao": ""}), "x", "payload.taxa_alfabetizacao é obrigatório"),
+    (event(IND, {"taxa_alfabetizacao": "abc"}), "x", "taxa_alfabetizacao deve ser numérico"),
+    (event(IND, {"taxa_alfabetizacao": False}), "x", "taxa_alfabetizacao deve ser numérico"),
+    (event(IND, {"taxa_alfabetizacao": "nan"}), "x", "taxa_alfabetizacao deve estar entre 0 e 100"),
+    (event(IND, {"percentual_participacao": ""}), "x", "percentual_participacao deve ser numérico"),
+    (event(IND, {"percentual_participacao": -0.1}), "x", "percentual_participacao deve estar entre 0 e 100"),
+    (event(META, {"ano_meta": 2023}), "x", c.BAD_TARGET_YEAR),
+    (event(META, {"ano_meta": 2031}), "x", c.BAD_TARGET_YEAR),
+    (event(META, {"meta_alfabetizacao": None}), "x", "payload.meta_alfabetizacao é obrigatório"),
+    (event(PUPIL, {"id_municipio": "15014"}), "x", c.BAD_PAYLOAD_CITY),
+    (event(PUPIL, {"proficiencia": -1}), "x", c.NEGATIVE_SCORE),
+    (event(PUPIL, {"alfabetizado": "true"}), "x", c.NOT_BOOLEAN),
+    (event(PUPIL, drop=["payload.alfabetizado"]), "x", "payload.alfabetizado é obrigatório"),
 ]
 
 
@@ -126,31 +124,31 @@ def test_invalid_json_and_length_cap(spark):
     texts = ["{", "[1]", '"x"', "", '{"a":1,"a":2}', '{"a": NaN}']
     long_time = "9" * 2000
     messages = [(t, {"event_id": f"a{i}"}, str(i), T0) for i, t in enumerate(texts)]
-    messages.append(message(event(0, IND, event_time=long_time), 99))
+    messages.append(message(event(IND, event_time=long_time), 99))
     j = judged(spark, messages)
     rows = {r.pubsub_message_id: r for r in c.rejected_rows(j, at()).collect()}
     assert [rows[str(i)].error_code for i in range(6)] == [c.INVALID_JSON] * 6
     assert rows["1"].error_message == c.NOT_OBJECT and rows["0"].error_message == c.NOT_JSON
-    assert len(rows["m99"].error_message) == 1024
+    assert len(rows["msg/99"].error_message) == 1024
     assert c.raw_rows(j, at()).filter("event_id = 'a3' and raw_message = ''").count() == 1
 
 
 def test_accepted_variations_are_normalised(spark):
     cases = [
-        (event(1, META, entity_id="sp", entity_type="UF"), dict(entity_id="SP", entity_type="uf", sigla_uf="SP")),
-        (event(0, IND, {"ano": "2025"}), dict(ano=2025)),
-        (event(0, IND, {"ano": " 2_025 "}), dict(ano=2025)),
-        (event(0, IND, {"ano": 2025.9}), dict(ano=2025)),
-        (event(0, IND, {"taxa_alfabetizacao": " 6.15e1 "}), dict(taxa_alfabetizacao=61.5)),
-        (event(0, IND, {"taxa_alfabetizacao": 0}), dict(taxa_alfabetizacao=0.0)),
-        (event(0, IND, {"percentual_participacao": None}), dict(percentual_participacao=None)),
-        (event(4, PUPIL, {"alfabetizado": False}), dict(alfabetizado=False, entity_id="ALUNO-000004")),
-        (event(4, PUPIL, {"id_municipio": 3550308}), dict(id_municipio="3550308")),
-        (event(0, IND, {"sigla_uf": "xx", "id_municipio": "zz"}), dict(id_municipio=CITIES[0], sigla_uf="xx")),
-        (event(0, IND, event_time="2026-07-12T11:20:00.1234567-03:00"), dict(event_time=T0.replace(microsecond=123456))),
-        (event(0, IND, event_time="20260712T1420+0000"), dict(event_time=T0)),
-        (event(0, IND, event_time="2026-07-12 14:20+00"), dict(event_time=T0)),
-        (event(0, IND, event_id=""), dict(event_id="attr")),
+        (event(META, entity_id="pe", entity_type="UF"), dict(entity_id="PE", entity_type="uf", sigla_uf="PE")),
+        (event(IND, {"ano": "2026"}), dict(ano=2026)),
+        (event(IND, {"ano": " 2_026 "}), dict(ano=2026)),
+        (event(IND, {"ano": 2026.9}), dict(ano=2026)),
+        (event(IND, {"taxa_alfabetizacao": " 6.15e1 "}), dict(taxa_alfabetizacao=61.5)),
+        (event(IND, {"taxa_alfabetizacao": 0}), dict(taxa_alfabetizacao=0.0)),
+        (event(IND, {"percentual_participacao": None}), dict(percentual_participacao=None)),
+        (event(PUPIL, {"alfabetizado": True}), dict(alfabetizado=True, entity_id="turma-b.17")),
+        (event(PUPIL, {"id_municipio": 4205407}), dict(id_municipio="4205407")),
+        (event(IND, {"sigla_uf": "xx", "id_municipio": "zz"}), dict(id_municipio=ENTITY[IND], sigla_uf="xx")),
+        (event(IND, event_time="2027-03-04T06:30:00.1234567-03:00"), dict(event_time=T0.replace(microsecond=123456))),
+        (event(IND, event_time="20270304T0930+0000"), dict(event_time=T0)),
+        (event(IND, event_time="2027-03-04 09:30+00"), dict(event_time=T0)),
+        (event(IND, event_id=""), dict(event_id="attr")),
     ]
     messages = [(json.dumps(b, ensure_ascii=False), {"event_id": "attr"}, str(i), T0) for i, (b, _) in enumerate(cases)]
     j = judged(spark, messages)
@@ -162,15 +160,15 @@ def test_accepted_variations_are_normalised(spark):
         assert {k: rows[str(i)][k] for k in want} == want, i
     payload = json.loads(cases[0][0]["payload"]["rede"] and rows["0"].payload_json)
     assert payload == cases[0][0]["payload"]
-    assert rows["0"].payload_json.startswith('{"ano": 2025, "ano_meta": 2026, ')
+    assert rows["0"].payload_json.startswith('{"ano": 2026, "ano_meta": 2028, ')
 
 
 def test_compound_values_are_quarantined_not_lost(spark):
-    j = judged(spark, [message(event(0, IND, source={"a": 1}), 0), message(event(5, IND, {"rede": ["x"]}), 1)])
+    j = judged(spark, [message(event(IND, source={"a": 1}), 0), message(event(IND, {"rede": ["x"]}, number=5), 1)])
     rejected = {r.pubsub_message_id: r.error_code for r in c.rejected_rows(j, at()).collect()}
-    assert rejected == {"m0": c.RAW_CAST_ERROR, "m1": c.TYPED_CAST_ERROR}
+    assert rejected == {"msg/0": c.RAW_CAST_ERROR, "msg/1": c.TYPED_CAST_ERROR}
     assert c.raw_rows(j, at()).count() == 2
-    assert [r.event_id for r in c.typed_rows(j, at()).collect()] == ["e0"]
+    assert [r.event_id for r in c.typed_rows(j, at()).collect()] == ["ev-0"]
 
 
 def test_kafka_layout(spark):
@@ -183,72 +181,83 @@ def test_kafka_layout(spark):
     assert rows["t-1-8"].attributes == {}
 
 
+LATE = [message(event(IND, number=20 + n, entity_id="1100205"), 20 + n, event_id=f"ev-{20 + n}") for n in range(2)]
+LATE = [(text, attributes, name, T0 - dt.timedelta(days=9)) for text, attributes, name, _ in LATE]
+NAMELESS = [(text, {}, None, at) for text, _, _, at in [message(event(PUPIL, number=30), 30)] * 3]
+
+
 @pytest.fixture(scope="module")
 def routed(spark, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("stream"))
-    run = standard_run()
-    again = [(v, a, m + "-again", t + dt.timedelta(seconds=30)) for v, a, m, t in run[:6]]
-    for i, part in enumerate((run[:8], run[8:] + again, run[2:4] * 5)):
+    again = [(v, a, m + "/again", t + dt.timedelta(seconds=30)) for v, a, m, t in RUN_MESSAGES[:5]]
+    # The late ones were published nine days before messages that came earlier.
+    for part in (RUN_MESSAGES[:7], RUN_MESSAGES[7:] + again, RUN_MESSAGES[2:4] * 5, LATE + LATE, NAMELESS):
         spark.createDataFrame(part, MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/in")
     sinks = router.RouteSinks(f"{base}/out")
     stream = file_messages(spark, f"{base}/in", files_per_trigger=1)
     query = router.start_router(stream, sinks, f"{base}/checkpoint", drain=True)
     query.awaitTermination(240)
     assert query.exception() is None
-    return base, sinks, query
+    return base, sinks
 
 
-def test_stream_end_to_end_counts(spark, routed):
-    _, sinks, query = routed
+def test_stream_loses_no_message(spark, routed):
+    _, sinks = routed
     raw, typed, rejected = sinks.raw(spark), sinks.typed(spark), sinks.rejected(spark)
-    assert (raw.count(), typed.count(), rejected.count(), sinks.dead_letters(spark).count()) == (15, 12, 3, 3)
+    valid = VALID + len(LATE) + len(NAMELESS)
+    counts = (raw.count(), typed.count(), rejected.count(), sinks.dead_letters(spark).count())
+    assert counts == (valid + BROKEN, valid, BROKEN, BROKEN)
     codes = sorted(r.error_code for r in rejected.collect())
-    assert codes == [c.CONTRACT_ERROR, c.CONTRACT_ERROR, c.INVALID_JSON]
+    assert codes == [c.CONTRACT_ERROR] * (BROKEN - 1) + [c.INVALID_JSON]
     letters = [json.loads(r.value) for r in sinks.dead_letters(spark).collect()]
-    assert {x["error_message"] for x in letters} == {c.NOT_JSON, c.NO_ENTITY_ID, "taxa_alfabetizacao deve estar entre 0 e 100"}
-    assert router.late_rows(query) == 0
+    assert {x["error_message"] for x in letters} == {c.NOT_JSON, c.NO_SOURCE, c.BAD_YEAR, "taxa_alfabetizacao deve estar entre 0 e 100"}
+    assert typed.filter("entity_id = '1100205'").count() == len(LATE)
+    assert typed.filter("event_id = 'ev-30'").count() == len(NAMELESS)
 
 
-def test_streaming_suite_and_views(spark, routed):
-    _, sinks, _ = routed
+def test_streaming_suite_and_views(spark, tmp_path):
+    sinks = router.RouteSinks(str(tmp_path))
+    router.route_batch(spark.createDataFrame(RUN_MESSAGES, MESSAGE_SCHEMA), 0, sinks)
     raw, typed, rejected = sinks.raw(spark), sinks.typed(spark), sinks.rejected(spark)
     now = at()
-    results = suites.streaming_checks(spark, raw, typed, rejected, RUN, (15, 12, 3), now).collect()
+    results = suites.streaming_checks(spark, raw, typed, rejected, RUN, (VALID + BROKEN, VALID, BROKEN), now).collect()
     assert len(results) == 8 and {r.status for r in results} == {"OK"}
-    assert sum(r.quantidade_eventos for r in views.event_summary(typed).collect()) == 12
-    assert views.latest_events(typed).count() == 12 and views.latest_events(typed).columns == [
+    short = suites.streaming_checks(spark, raw, typed.limit(VALID - 1), rejected, RUN, (VALID + BROKEN, VALID, BROKEN), now).collect()
+    assert "FAIL" in {r.status for r in short}
+    assert sum(r.quantidade_eventos for r in views.event_summary(typed).collect()) == VALID
+    assert views.latest_events(typed).count() == VALID and views.latest_events(typed).columns == [
         x.name for x in typed.select(*views.latest_events(typed).columns).schema
     ]
     latency = observe.latency_summary(typed, raw, now)
     assert latency.agg(F.sum("events_without_publish_time")).first()[0] == 0
 
 
-def test_replayed_epoch_replaces_its_rows(spark, routed, tmp_path):
+def test_replayed_epoch_replaces_its_rows(spark, tmp_path):
     sinks = router.RouteSinks(str(tmp_path))
-    batch = spark.createDataFrame(standard_run(), MESSAGE_SCHEMA)
+    batch = spark.createDataFrame(RUN_MESSAGES, MESSAGE_SCHEMA)
     for _ in range(2):
         router.route_batch(batch, 3, sinks)
-    assert sinks.raw(spark).count() == 15 and sinks.dead_letters(spark).count() == 3
+    assert sinks.raw(spark).count() == VALID + BROKEN and sinks.dead_letters(spark).count() == BROKEN
 
 
 def test_latest_ties_and_batch_dedup(spark):
-    rows = judged(spark, [message(event(0, IND, event_id=f"e{k}"), k) for k in range(3)])
+    rows = judged(spark, [message(event(IND, event_id=f"ev-{k}"), k) for k in range(3)])
     newest = views.latest_events(c.typed_rows(rows, at())).collect()
-    assert [r.event_id for r in newest] == ["e2"]
-    repeated = [message(event(0, IND), k) for k in range(4)] + [message(event(1, IND), 9, None)]
+    assert [r.event_id for r in newest] == ["ev-2"]
+    repeated = [message(event(IND), k, event_id="ev-0") for k in range(4)] + [message(event(IND), 9)] + NAMELESS
     out = router.deduplicated_table(spark.createDataFrame(repeated, MESSAGE_SCHEMA)).collect()
-    assert sorted(r.message_id for r in out) == ["m0", "m9"]
+    assert sorted(r.message_id or "" for r in out) == ["", "", "", "msg/0", "msg/9"]
 
 
 def test_streaming_views_and_alert(spark, routed, tmp_path):
-    base, _, _ = routed
+    base, _ = routed
     typed = spark.readStream.schema(c.TYPED_SCHEMA + ", _epoch long").parquet(f"{base}/out/typed").drop("_epoch")
     q = views.latest_events_stream(typed).writeStream.format("memory").queryName("latest").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(120)
-    assert spark.table("latest").count() == 12
+    assert spark.table("latest").count() == VALID + 1
     q = views.event_summary_stream(typed).writeStream.format("memory").queryName("summary").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(120)
-    assert spark.table("summary").agg(F.sum("quantidade_eventos")).first()[0] == 12
+    assert spark.table("summary").agg(F.sum("quantidade_eventos")).first()[0] == VALID + len(LATE) + len(NAMELESS)
     samples = [("s", T0 + dt.timedelta(minutes=m), 150.0) for m in range(8)] + [("s", T0 + dt.timedelta(hours=2), 0.0)]
     folder = str(tmp_path / "samples")
     spark.createDataFrame(samples, "series string, ts timestamp, value double").coalesce(1).write.parquet(folder)
