@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def values(df: DataFrame, c: Column) -> list[int]:
+    """The different values of a narrow expression, such as the years of a table, in order: they become columns."""
+    return sorted(r.v for r in df.select(c.alias("v")).distinct().collect() if r.v is not None)
+
+
 def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) for n in names})
 

@@ -204,10 +204,10 @@ FROM valid QUALIFY row_number() OVER (PARTITION BY kind, entity, entity_id ORDER
 
 
 def event_latency_p95(spark: SparkSession, sf: str) -> DataFrame:
-    """Latency per run and type. Raw rows hold every message twice (redelivered later), none of type ``error``."""
+    """Latency per run and type. Raw rows hold every message twice (redelivered later)."""
     judged = judged_events(spark, sf)
     typed = typed_events(judged)
-    raw = contract.raw_rows(judged, _received()).filter(F.col("event_type") != KINDS["error"])
+    raw = contract.raw_rows(judged, _received())
     again = raw.withColumn("pubsub_publish_time", F.col("pubsub_publish_time") + F.expr("interval 1 hour"))
     out = latency_summary(typed, raw.unionByName(again), _received())
     return out.drop("collected_at").withColumns(
@@ -216,7 +216,7 @@ def event_latency_p95(spark: SparkSession, sf: str) -> DataFrame:
 
 
 LATENCY_SQL = f"""WITH {VERDICT_SQL}, timed AS (
-  SELECT *, (event_id * 37) % 5000 AS total, CASE WHEN event_type <> 'error' THEN date_diff('microsecond', ts + INTERVAL 500 MILLISECOND, done) END AS processing
+  SELECT *, (event_id * 37) % 5000 AS total, date_diff('microsecond', ts + INTERVAL 500 MILLISECOND, done) AS processing
   FROM valid)
 SELECT run AS simulation_run_id, kind AS event_type, count(*) AS event_count, count(processing) AS events_with_publish_time,
   count(*) - count(processing) AS events_without_publish_time, strftime(min(event_time), '%Y-%m-%d %H:%M:%S') AS first_event_time,

@@ -16,7 +16,7 @@ from plumbline.operators.indicators import (
 from plumbline.operators.quality import union_all
 from plumbline.operators.reconcile import match_outer
 from plumbline.operators.reshape import wide_to_long
-from plumbline.plans.star.base import Query, rounded, table
+from plumbline.plans.star.base import Query, rounded, table, values
 from plumbline.session import stage
 
 STATUS = ("NO_RESULT", "NO_TARGET", "REACHED", "MISSED")
@@ -119,7 +119,7 @@ def ordered_limit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def matched_documents(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars").filter("n_chars >= 800")
+    documents = table(spark, sf, "documents").select("doc_id", "lang", "source")
     return match_outer(
         documents, table(spark, sf, "labels"), ["doc_id"], {"lang": "lang", "source": "source"},
         {"quality": "quality", "toxic": "toxic"}, ("MATCH", "ONLY_DOCUMENT", "ONLY_LABEL"), status="match_status",
@@ -129,7 +129,21 @@ def matched_documents(spark: SparkSession, sf: str) -> DataFrame:
 MATCHED_SQL = """matched AS (
   SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.lang, d.source, l.quality, l.toxic,
          CASE WHEN d.doc_id IS NULL THEN 'ONLY_LABEL' WHEN l.doc_id IS NULL THEN 'ONLY_DOCUMENT' ELSE 'MATCH' END AS match_status
-  FROM (SELECT doc_id, lang, source FROM documents WHERE n_chars >= 800) d FULL JOIN labels l ON d.doc_id = l.doc_id)"""
+  FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id)"""
+
+
+def labelled_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages against labels: each side has numbers that the other lacks."""
+    pages = table(spark, sf, "pages").select(F.col("page_id").alias("number"), "url")
+    labels = table(spark, sf, "labels").withColumnRenamed("doc_id", "number")
+    sides = ("MATCH", "ONLY_PAGE", "ONLY_LABEL")
+    return match_outer(pages, labels, ["number"], {"url": "url"}, {"quality": "quality", "toxic": "toxic"}, sides, status="match_status")
+
+
+LABELLED_PAGES_SQL = """
+SELECT coalesce(page_id, doc_id) AS number, url, quality, toxic,
+       CASE WHEN page_id IS NULL THEN 'ONLY_LABEL' WHEN doc_id IS NULL THEN 'ONLY_PAGE' ELSE 'MATCH' END AS match_status
+FROM pages FULL JOIN labels ON page_id = doc_id"""
 
 
 def outer_match_residual(spark: SparkSession, sf: str) -> DataFrame:
@@ -152,17 +166,20 @@ FULL JOIN customer c ON o.k = c.c_custkey AND c.c_mktsegment = 'BUILDING'"""
 
 # --- products -------------------------------------------------------------------------------------------------
 
-TARGET_YEARS = range(1996, 2002)
+# Targets are set from this year on.
+FIRST_TARGET_YEAR = 1996
 
 
 def status_kpi(spark: SparkSession, sf: str) -> DataFrame:
     """Mean order value per year and status against a long-form target of the same year, with change and bands."""
-    wide = table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("year"), "o_orderstatus").agg(
+    orders = table(spark, sf, "orders")
+    years = [y for y in values(orders, F.year("o_orderdate")) if y >= FIRST_TARGET_YEAR]
+    wide = orders.groupBy(F.year("o_orderdate").alias("year"), "o_orderstatus").agg(
         (F.avg("o_totalprice") / 5000).alias("result"),
         safe_percent(F.count_if(F.col("o_orderpriority") != "5-LOW"), F.count(F.lit(1))).alias("participation"),
-        *[(F.min("o_totalprice") / 1000 + 48 + (y - 1995) * 0.5).alias(f"target_{y}") for y in TARGET_YEARS],
+        *[(F.min("o_totalprice") / 1000 + 48 + (y - 1995) * 0.5).alias(f"target_{y}") for y in years],
     )
-    long = wide_to_long(wide, {y: f"target_{y}" for y in TARGET_YEARS}, "target_year", "target")
+    long = wide_to_long(wide, {y: f"target_{y}" for y in years}, "target_year", "target")
     results = long.select("year", "o_orderstatus", "result", "participation").distinct()
     same_year = latest_per_key(
         long.filter("target_year = year").select("year", "o_orderstatus", "target", "target_year"),
@@ -342,32 +359,33 @@ G4_SQL = f"""WITH {MATCHED_SQL}, residual AS ({RESIDUAL_SQL}), counted AS (
   UNION ALL SELECT 'CUSTOMER', coalesce(segment, 'unknown'), match_status, count(*) FROM residual GROUP BY ALL)
 SELECT *, round(100.0 * n / sum(n) OVER (PARTITION BY level, category), 6) AS share FROM counted"""
 
-BANDS = {0: "band_0", 1: "band_1", 2: "band_2", 3: "band_3", 4: "band_4", 5: "band_5"}
-
 
 def g5_level_distribution(spark: SparkSession, sf: str) -> DataFrame:
     """Share of quantity bands per region and year as long rows; an empty band is NULL and says so."""
+    band = F.floor(F.col("l_quantity") / 10)
+    found = values(table(spark, sf, "lineitem"), band)
+    bands = {b: f"band_{b}" for b in range(min(found, default=0), max(found, default=-1) + 1)}
     lines = table(spark, sf, "lineitem").groupBy("l_suppkey", F.year("l_shipdate").alias("year")).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.floor(F.col("l_quantity") / 10) == b).alias(c) for b, c in BANDS.items()],
+        *[F.count_if(band == b).alias(c) for b, c in bands.items()],
     )
     places = table(spark, sf, "supplier").join(
         table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     ).select("s_suppkey", "n_regionkey")
     wide = lines.join(places, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("year", "n_regionkey").agg(
-        F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in BANDS.values()]
+        F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in bands.values()]
     )
     shares = wide.select(
-        "year", "n_regionkey", *[safe_percent(F.nullif(c, F.lit(0)), F.col("n")).alias(c) for c in BANDS.values()]
+        "year", "n_regionkey", *[safe_percent(F.nullif(c, F.lit(0)), F.col("n")).alias(c) for c in bands.values()]
     )
-    long = wide_to_long(shares, BANDS, "level", "share")
+    long = wide_to_long(shares, bands, "level", "share")
     return rounded(long.withColumn("available", F.col("share").isNotNull()), 6, "share")
 
 
 G5_SQL = """
 WITH l AS (SELECT year(l_shipdate) AS year, n_regionkey, floor(l_quantity / 10)::BIGINT AS band FROM lineitem
            JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey),
-cells AS (SELECT year, n_regionkey, unnest(range(0, 6)) AS level, count(*) AS n FROM l GROUP BY year, n_regionkey)
+cells AS (SELECT year, n_regionkey, unnest(range((SELECT min(band) FROM l), (SELECT max(band) + 1 FROM l))) AS level, count(*) AS n FROM l GROUP BY year, n_regionkey)
 SELECT c.year, c.n_regionkey, c.level, round(100.0 * nullif(coalesce(b.k, 0), 0) / c.n, 6) AS share,
        coalesce(b.k, 0) > 0 AS available
 FROM cells c LEFT JOIN (SELECT year, n_regionkey, band, count(*) AS k FROM l GROUP BY ALL) b
@@ -470,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "ordered_limit": Query(
         ordered_limit, "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100"
     ),
+    "outer_match_both_sides": Query(labelled_pages, LABELLED_PAGES_SQL),
     "outer_match": Query(matched_documents, f"WITH {MATCHED_SQL} SELECT * FROM matched"),
     "outer_match_residual": Query(outer_match_residual, RESIDUAL_SQL),
     "g1_kpi_yoy": Query(

@@ -9,7 +9,7 @@ from plumbline.operators import observe, profile
 from plumbline.operators.checks import Check, count_where, has_rows, repeated_keys, row_count, suite, surplus_rows
 from plumbline.operators.quality import union_all
 from plumbline.plans.star.base import Query, rounded, stamp, table
-from plumbline.plans.star.indicators import matched_documents, nation_kpi, nation_years_check
+from plumbline.plans.star.indicators import G2_SQL, MATCHED_SQL, matched_documents, nation_kpi, nation_years_check
 from plumbline.session import fresh_path, stage
 from plumbline.sources.tables import append_if_absent
 
@@ -37,17 +37,17 @@ def check_suite(spark: SparkSession, sf: str) -> DataFrame:
     return suite(spark, checks, F.lit("2026-07-12 01:11:34").cast("timestamp"), {"batch_id": F.lit("b1")}).drop("executed_at")
 
 
-SUITE_SQL = """
-WITH c AS (
+SUITE_SQL = f"""
+WITH {G2_SQL}, {MATCHED_SQL}, c AS (
   SELECT 'RECONCILIATION' AS check_type, 'nation_years' AS object_name,
     (SELECT count(*) FROM (SELECT DISTINCT year(o_orderdate), c_nationkey FROM orders JOIN customer ON c_custkey = o_custkey)) AS expected_value,
-    (SELECT count(*) FROM (SELECT DISTINCT year(o_orderdate), c_nationkey FROM orders JOIN customer ON c_custkey = o_custkey)) AS actual_value
-  UNION ALL SELECT 'RECONCILIATION', 'matched_documents', (SELECT count(*) FROM labels), (SELECT count(*) FROM labels)
+    (SELECT count(*) FROM g2_full) AS actual_value
+  UNION ALL SELECT 'RECONCILIATION', 'matched_documents', (SELECT count(*) FROM labels), (SELECT count(*) FROM matched WHERE match_status <> 'ONLY_DOCUMENT')
   UNION ALL SELECT 'UNIQUENESS', 'orders', 0, (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1))
   UNION ALL SELECT 'UNIQUENESS', 'lines', 0, (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))
   UNION ALL SELECT 'UNIQUENESS', 'order_surplus', 0, (SELECT count(*) - count(DISTINCT o_orderkey) FROM orders)
   UNION ALL SELECT 'VALIDITY', 'prices', 0, (SELECT count(*) FROM orders WHERE o_totalprice < 2000) + (SELECT count(*) FROM lineitem WHERE l_extendedprice < 1000)
-  UNION ALL SELECT 'CONSISTENCY', 'nation_status', 0, 0
+  UNION ALL SELECT 'CONSISTENCY', 'nation_status', 0, (SELECT count(*) FROM g2_full WHERE (status = 'REACHED' AND gap < 0) OR (status = 'MISSED' AND gap >= 0))
   UNION ALL SELECT 'RECONCILIATION', 'has_events', 1, (SELECT least(count(*), 1) FROM events))
 SELECT *, CASE WHEN expected_value = actual_value THEN 'OK' ELSE 'FAIL' END AS status, 'b1' AS batch_id FROM c"""
 
