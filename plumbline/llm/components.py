@@ -28,7 +28,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``links`` (a, b): root is the smallest node it reaches.
+    """(node, root) for every node of ``links`` (a, b) but the roots: root is the smallest node it reaches.
 
     The number of rounds grows with the logarithm of the longest path. Each round is written to the shared folder,
     which cuts the lineage. Self-links and repeated links are ignored; no links give no rows.

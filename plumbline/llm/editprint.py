@@ -21,16 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut, groups, id_key, parts, with_doc
-from plumbline.llm.components import components
-from plumbline.session import stage
+from plumbline.llm.common import groups, id_key, parts, with_doc
 
 PERIOD = 64
 SAMPLES = 128  # per scale
-BAND = 8  # samples in a band key
-ALIKE = 0.8
-# Prints that share a band key are compared in full up to this many, then with one of each group found.
-BLOCK = 1024
 
 _PAD = ord("-")
 _SYMBOLS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
@@ -150,7 +144,9 @@ def against_next(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_key().alias("key"), F.xxhash64("text").alias("version"), "text")
     n = parts(spark)
-    bounds = named.approxQuantile("key", [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
+    # Several ranges to a task, so that tasks which happen to get one more are not much longer.
+    m = 4 * n
+    bounds = named.approxQuantile("key", [i / m for i in range(1, m)], 0.25 / m)
     limits = sorted({int(b) for b in bounds})
     part = F.size(F.filter(F.array(*(F.lit(b).cast("long") for b in limits)), lambda b: b <= F.col("key"))) if limits else F.lit(0)
     placed = named.withColumn("part", part)

@@ -229,13 +229,13 @@ def links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def _labelled(printed: DataFrame, light: DataFrame, block: int) -> DataFrame:
-    """Adds ``component_id`` to ``printed``, given the (id, print) pairs of all documents."""
+    """Adds ``component_id`` and ``root`` to ``printed``, given the (id, print) pairs of all documents."""
     # What follows works on different fingerprints.
     distinct = stage(light.groupBy("print").agg(F.min("id").alias("least")), "simhash-prints")
     roots = components(links(distinct.select("print"), block))
     group = distinct.join(roots, F.col("print") == F.col("node"), "left").select("print", "least", F.coalesce("root", "print").alias("root"))
     first = group.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = group.join(first, "root").select(F.col("print").alias("of"), "component_id")
+    named = group.join(first, "root").select(F.col("print").alias("of"), "component_id", "root")
     return printed.join(named, F.col("print") == F.col("of")).drop("of")
 
 
@@ -246,12 +246,13 @@ def _printed(docs: DataFrame) -> DataFrame:
 
 
 def duplicate_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(doc_id, id, version, print, component_id) for each row of ``docs``.
+    """(doc_id, id, version, print, component_id, root) for each row of ``docs``.
 
     Documents whose fingerprints differ in three bits at most are linked; ``component_id`` is the smallest doc_id
     reachable over links, the document's own included. A null text has no words; texts without words have fingerprint
     zero and are linked like any other; a null id counts as the smallest long (``id`` is the id so read, ``version``
-    the text's hash); repeated rows are each returned. Pairs are sought between different fingerprints only, so
+    the text's hash); repeated rows are each returned. ``root``, a fingerprint, tells apart groups whose smallest id
+    is the same. Pairs are sought between different fingerprints only, so
     copies cost nothing there.
     """
     light = _printed(docs)
@@ -263,17 +264,17 @@ def representatives(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
     Of rows that share this id, repeated ones among them, the one with the smallest text hash stays.
     """
-    named = stage(duplicate_groups(docs, block).select("id", "version", "component_id"), "simhash-groups")
+    named = stage(duplicate_groups(docs, block).select("id", "version", "component_id", "root"), "simhash-groups")
     first = named.where("id = component_id")
     ids = {"own_id": id_key(), "own_version": F.xxhash64("text")}
     keyed = docs.select(F.struct("*").alias("doc"), *(c.alias(n) for n, c in ids.items()))
     same = (F.col("own_id") == F.col("id")) & (F.col("own_version") == F.col("version"))
     kept = keyed.join(named.where("id <> component_id").select("id", "version").distinct(), same, "left_anti")
-    twins = first.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
+    twins = first.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
     if not twins.isEmpty():
-        tied = first.join(twins, "component_id", "left_semi").distinct()
+        tied = first.join(twins, "root", "left_semi").distinct()
         alone = kept.join(tied, same, "left_anti")
-        order = Window.partitionBy("component_id").orderBy("own_version")
+        order = Window.partitionBy("root").orderBy("own_version")
         one = kept.join(tied, same).withColumn("place", F.row_number().over(order)).where("place = 1")
         kept = alone.select("doc").unionAll(one.select("doc"))
     return kept.select("doc.*")
