@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from plumbline.llm.common import id_key, offsets, parts
 
 END = 1  # id appended to every document
 
+_END = END.to_bytes(4, "little")
+
 _OPTIONS = {
     "compression": "zstd",
     "orc.bloom.filter.columns": "doc_id",
@@ -25,40 +29,80 @@ _OPTIONS = {
     "orc.stripe.size": str(16 << 20),
 }
 _SCHEMA = "doc_id long, version long, part int, ids array<int>"
-_REMEMBER = 200_000  # different words whose ids a Python worker keeps
+_REMEMBER = 1_000_000  # different pieces of words whose ids a Python worker keeps: about 200 MB
+_WORDS = 300_000  # words put together from them, likewise
+_LONG = 64  # longer strings hardly come back and are not kept
+_JOINED = 512  # pieces handed to the tokenizer as one text
+
+# Characters whose case, normal form and class are beyond doubt; other words go to the tokenizer as they are.
+_PLAIN = re.compile("[\\x21-\\x7e\\xa1-\\u0232]+")
+# The tokenizer's own way to cut a word.
+_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
 class WordTokenizer:
-    """A tokenizer that drops white space and lets nothing cross it, applied word by word with a memory."""
+    """A tokenizer that drops white space and lets nothing cross it, applied word by word with a memory.
+
+    A word is cut as the tokenizer would, and ids are kept for words and for pieces; new pieces are encoded many at a
+    time as one text, where each ends with the only id that stands for an end of a word.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to Spark's tasks
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, array] = {}
-
-    def encode(self, texts: list[str]) -> list[array]:
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.words: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
+
+    def _raw(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_pieces(self, new: list[str]) -> None:
+        groups = [new[i : i + _JOINED] for i in range(0, len(new), _JOINED)]
+        for pieces, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) == len(pieces):
+                edges = [0, *last.tolist()]
+                self.pieces.update((p, ids[a:b].tobytes()) for p, a, b in zip(pieces, edges, edges[1:]))
+            else:
+                self.pieces.update(zip(pieces, self._raw(pieces)))
+
+    def _learn(self, new: list[str]) -> None:
+        plain = {w: _CUT.findall(w.lower()) for w in new if _PLAIN.fullmatch(w) and not any(t in w for t in self.special)}
+        unknown = {p for cut in plain.values() for p in cut}.difference(self.pieces)
+        if len(self.pieces) + len(unknown) > _REMEMBER:
+            self.pieces.clear()
+            unknown = {p for cut in plain.values() for p in cut}
+        self._learn_pieces(list(unknown))
+        pieces = self.pieces
+        for word, cut in plain.items():
+            self.words[word] = b"".join([pieces[p] for p in cut])
+        other = [w for w in new if w not in plain]
+        self.words.update(zip(other, self._raw(other)))
+        for p in unknown:
+            if len(p) > _LONG:
+                del pieces[p]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text and the end id, as little-endian 32-bit integers."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        if len(known) + len(new) > _REMEMBER:
-            known.clear()
-            new = list({w for words in split for w in words})
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[word] = array("i", found.ids)
-        out = []
-        for words in split:
-            ids = array("i")
-            for w in words:
-                ids.extend(known[w])
-            ids.append(END)
-            out.append(ids)
+        seen = set(itertools.chain.from_iterable(split))
+        new = seen.difference(self.words)
+        if len(self.words) + len(new) > _WORDS:
+            self.words = {"": b""}
+            new = seen.difference(self.words)
+        self._learn(list(new))
+        get = self.words.__getitem__
+        out = [b"".join(map(get, words)) + _END for words in split]
         for w in new:
-            if len(w) > 64:  # long strings hardly come back
-                del known[w]
+            if len(w) > _LONG:
+                del self.words[w]
         return out
 
 
@@ -73,8 +117,8 @@ def _encoder(path: str):
             for start in range(0, batch.num_rows, 128):
                 some = batch.slice(start, 128)
                 ids = _LOADED[path].encode([t or "" for t in some.column("text").to_pylist()])
-                at = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
-                flat = np.concatenate([np.frombuffer(i, np.int32) for i in ids])
+                at = np.concatenate(([0], np.cumsum([len(i) // 4 for i in ids]))).astype(np.int32)
+                flat = np.frombuffer(b"".join(ids), "<i4")
                 yield pa.RecordBatch.from_arrays(
                     [*(some.column(n) for n in ("doc_id", "version", "part")), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))],
                     names=["doc_id", "version", "part", "ids"],
