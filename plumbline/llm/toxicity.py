@@ -38,11 +38,7 @@ class Trie:
 
     def __init__(self, terms: list[str]):
         self.root: dict = {}
-        sizes = {len(t) for t in terms if t and not t.endswith("*")}
-        self.sizes = {n + d for n in sizes for d in range(-2, 3) if abs(d) <= max(allowance(n), allowance(n + d))}
         for number, term in enumerate(terms):
-            if not term:
-                continue
             node = self.root
             for letter in term.rstrip("*"):
                 node = node.setdefault(letter, {})
@@ -58,33 +54,73 @@ class Trie:
             found = node.get("begins", found)
         return node.get("ends", found)
 
-    def near(self, word: str) -> int:
-        """The term of least edit distance within the allowance of its length, or -1.
-
-        The automaton of the word is run down the trie: its state is a row of edit distances, and a branch is left as
-        soon as every entry is over the allowance.
-        """
-        allowed = allowance(len(word))
-        if not allowed or len(word) not in self.sizes:
-            return -1
-        best = (allowed + 1, -1)
-        stack = [(self.root, list(range(len(word) + 1)), None, "")]
+
+class Speller:
+    """The Levenshtein automata of all terms, intersected with their trie and made deterministic as words come.
+
+    A state is a set of (trie node, edits so far, letter still to come of a swapped pair). Its moves are worked out
+    once for each letter of the lexicon and once for all others; most words lead to the empty set within a few
+    letters, so a word costs a few look-ups. The number of states depends on the lexicon only.
+    """
+
+    def __init__(self, terms: dict[str, int], edits: int):
+        self.edits = edits
+        self.children: list[dict[str, int]] = [{}]
+        self.ends: dict[int, int] = {}
+        for term, number in terms.items():
+            at = 0
+            for letter in term:
+                if letter not in self.children[at]:
+                    self.children[at][letter] = len(self.children)
+                    self.children.append({})
+                at = self.children[at][letter]
+            self.ends[at] = min(number, self.ends.get(at, number))
+        self.letters = {letter for node in self.children for letter in node}
+        self.states: dict[frozenset, dict] = {}
+        self.start = self._state({(0, 0, "")})
+
+    def _state(self, found: set[tuple[int, int, str]]) -> dict:
+        """The state of a set, closed under letters left out, with the least edits for each node only."""
+        best: dict[tuple[int, str], int] = {}
+        stack = list(found)
         while stack:
-            node, row, above, last = stack.pop()
-            if (number := node.get("ends")) is not None and row[-1] < best[0]:
-                best = (row[-1], number)
-            for letter, child in node.items():
-                if len(letter) > 1:
-                    continue
-                new = [row[0] + 1]
-                for i, own in enumerate(word, 1):
-                    cost = min(row[i] + 1, new[-1] + 1, row[i - 1] + (own != letter))
-                    if above is not None and i > 1 and own == last and word[i - 2] == letter:
-                        cost = min(cost, above[i - 2] + 1)  # neighbours swapped
-                    new.append(cost)
-                if min(new) <= allowed:
-                    stack.append((child, new, row, letter))
-        return best[1]
+            node, edits, wanted = stack.pop()
+            if edits > self.edits or best.get((node, wanted), self.edits + 1) <= edits:
+                continue
+            best[node, wanted] = edits
+            if not wanted:
+                stack += [(child, edits + 1, "") for child in self.children[node].values()]
+        key = frozenset((node, edits, wanted) for (node, wanted), edits in best.items())
+        if key not in self.states:
+            accepted = [(edits, self.ends[node]) for node, edits, wanted in key if not wanted and node in self.ends]
+            self.states[key] = {"set": key, "term": min(accepted, default=(0, -1))[1]}
+        return self.states[key]
+
+    def _move(self, state: dict, letter: str) -> dict:
+        found = set()
+        for node, edits, wanted in state["set"]:
+            if wanted:
+                if wanted == letter:
+                    found.add((node, edits, ""))
+                continue
+            found.add((node, edits + 1, ""))  # a letter too many
+            for own, child in self.children[node].items():
+                found.add((child, edits + (own != letter), ""))
+                if own != letter and letter in self.children[child]:
+                    found.add((self.children[child][letter], edits + 1, own))
+        out = state[letter] = self._state(found)
+        return out
+
+    def near(self, word: str) -> int:
+        """The term of least edit distance within the automaton's edits, or -1."""
+        state, letters = self.start, self.letters
+        for letter in word:
+            if letter not in letters:
+                letter = ""
+            state = state.get(letter) or self._move(state, letter)
+            if not state["set"]:
+                return -1
+        return state["term"]
 
 
 def allowance(length: int) -> int:
@@ -105,22 +141,24 @@ class Model:
 
 
 class Reader:
-    """Finds hits of a lexicon; remembers the verdict on up to a million different words."""
+    """Finds hits of a lexicon; remembers the verdict on up to 400,000 different words."""
 
     def __init__(self, terms: list[str], weights: list[float], rates: list[float]):
         self.trie, self.weights, self.rates = Trie(terms), weights, rates
         # Beginnings are matched as they are; only whole words can be misspelt.
-        self.spelt = Trie([t if not t.endswith("*") else "" for t in terms])
+        whole = {t: i for i, t in enumerate(terms) if not t.endswith("*")}
+        self.spellers = {edits: Speller(whole, edits) for edits in (1, 2)}
         self.known: dict[str, tuple[int, int]] = {}
 
     def verdict(self, word: str) -> tuple[int, int]:
         """(term, 1 exact or 2 misspelt), or (-1, 0)."""
-        if len(self.known) >= 1_000_000:
+        if len(self.known) >= 400_000:
             self.known.clear()
         short = word[:_LONGEST]
         number, kind = self.trie.exact(short), 1
         if number < 0:
-            number, kind = self.spelt.near(short), 2
+            speller = self.spellers.get(allowance(len(short)))
+            number, kind = speller.near(short) if speller else -1, 2
         self.known[word] = out = (number, kind) if number >= 0 else (-1, 0)
         return out
 
