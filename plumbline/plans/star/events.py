@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.observe import latency_summary
 from plumbline.operators.quality import union_all
+from plumbline.plans.literacy import suites
+from plumbline.plans.literacy.dashboards import streaming_view
 from plumbline.plans.literacy.schemas import STATES
 from plumbline.plans.star.base import Query, rounded, stamp, table
 from plumbline.session import fresh_path, stage
@@ -225,6 +227,70 @@ SELECT run AS simulation_run_id, kind AS event_type, count(*) AS event_count, co
   round(avg(trunc(processing / 1000)) / 1000, 3) AS avg_processing_latency_seconds
 FROM timed GROUP BY 1, 2"""
 
+
+def event_raw_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw row of every message, valid or not; of the body, which is stored as it came, the first field."""
+    rows = contract.raw_rows(judged_events(spark, sf), _received()).drop("ingestion_timestamp")
+    return rows.withColumns(
+        {
+            "raw_message": F.substring_index("raw_message", ",", 1), "event_time": stamp("event_time"),
+            "pubsub_publish_time": F.date_format("pubsub_publish_time", "yyyy-MM-dd HH:mm:ss.SSS"),
+        }
+    )
+
+
+RAW_SQL = f"""WITH {VERDICT_SQL}, readable AS (SELECT *, event_id % 23 <> 0 AS parsed FROM verdict)
+SELECT 'e' || event_id AS event_id, run AS simulation_run_id, CASE WHEN parsed THEN kind END AS event_type,
+  CASE WHEN parsed THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS event_time,
+  CASE WHEN parsed THEN CASE WHEN event_id % 31 = 0 THEN '2.0' ELSE '1.0' END END AS schema_version,
+  CASE WHEN parsed THEN entity END AS entity_type, CASE WHEN parsed AND event_id % 29 <> 0 THEN entity_id END AS entity_id,
+  CASE WHEN parsed THEN 'star' END AS source, '{{"event_id":"e' || event_id || '"' AS raw_message,
+  '{{"event_id": "e' || event_id || '", "simulation_run_id": "' || run || '"}}' AS attributes_json,
+  event_id::VARCHAR AS pubsub_message_id, strftime(ts + INTERVAL 500 MILLISECOND, '%Y-%m-%d %H:%M:%S.%g') AS pubsub_publish_time
+FROM readable"""
+
+
+def streaming_suite(spark: SparkSession, sf: str) -> DataFrame:
+    """The checks of one run, against expected numbers that the run does not have: reconciliation fails."""
+    judged = judged_events(spark, sf)
+    frames = (contract.raw_rows(judged, _received()), typed_events(judged), contract.rejected_rows(judged, _received()))
+    return suites.streaming_checks(spark, *frames, "run_05", (5000, 4000, 7), _received()).drop("executed_at")
+
+
+STREAMING_SUITE_SQL = f"""WITH {VERDICT_SQL}, r AS (SELECT * FROM verdict WHERE run = 'run_05'), v AS (SELECT * FROM valid WHERE run = 'run_05'), c AS (
+  SELECT 'RECONCILIATION' AS check_type, 'bronze_total_eventos' AS object_name, 5000 AS expected_value, (SELECT count(*) FROM r) AS actual_value
+  UNION ALL SELECT 'RECONCILIATION', 'silver_eventos_validos', 4000, (SELECT count(DISTINCT event_id) FROM v)
+  UNION ALL SELECT 'RECONCILIATION', 'quarentena_eventos_invalidos', 7, (SELECT count(DISTINCT event_id) FROM r WHERE error_code IS NOT NULL)
+  UNION ALL SELECT 'UNIQUENESS', 'silver_event_id', 0, (SELECT count(*) - count(DISTINCT event_id) FROM v)
+  UNION ALL SELECT 'VALIDITY', 'silver_campos_obrigatorios', 0, (SELECT count(*) FROM v WHERE entity_id IS NULL OR event_time IS NULL)
+  UNION ALL SELECT 'VALIDITY', 'silver_tipos_evento', 0, (SELECT count(*) FROM v WHERE event_type NOT IN ('view', 'click', 'signup', 'error', 'purchase'))
+  UNION ALL SELECT 'VALIDITY', 'silver_percentuais', 0, (SELECT count(*) FROM v WHERE event_type <> 'purchase' AND NOT value BETWEEN 0 AND 100)
+  UNION ALL SELECT 'CONSISTENCY', 'quarentena_com_motivo', 0, (SELECT count(*) FROM r WHERE (error_code IS NULL) <> (error_message IS NULL)))
+SELECT *, CASE WHEN expected_value = actual_value THEN 'OK' ELSE 'FAIL' END AS status, 'run_05' AS simulation_run_id FROM c"""
+
+
+def dashboard_streaming(spark: SparkSession, sf: str) -> DataFrame:
+    """The streaming dashboard: valid events per day and type, latency per run and type, and run totals.
+
+    The means are left to ``event_summary``: rounded to two digits they fall on ties that engines break differently.
+    """
+    judged = judged_events(spark, sf)
+    typed, raw = stage(typed_events(judged), "typed"), contract.raw_rows(judged, _received())
+    view = streaming_view(
+        event_summary(typed), latency_summary(typed, raw, _received()), raw, typed, contract.rejected_rows(judged, _received())
+    )
+    means = ["media_taxa_alfabetizacao", "media_meta_alfabetizacao", "media_percentual_participacao"]
+    return view.drop("ultima_atualizacao", *means).withColumn("data_evento", F.col("data_evento").cast("string"))
+
+
+DASHBOARD_STREAMING_SQL = f"""WITH s AS ({SUMMARY_SQL}), l AS ({LATENCY_SQL}), {VERDICT_SQL},
+n AS (SELECT run, count(*) AS total, count(*) FILTER (error_code IS NULL) AS good FROM verdict GROUP BY 1)
+SELECT data_evento, s.simulation_run_id, s.event_type, entity_type, quantidade_eventos, quantidade_entidades,
+  event_count, events_with_publish_time, events_without_publish_time, avg_end_to_end_latency_seconds,
+  p95_end_to_end_latency_seconds, max_end_to_end_latency_seconds, avg_processing_latency_seconds,
+  total AS eventos_bronze_total_run, nullif(good, 0) AS eventos_validos_total_run, total - good AS eventos_invalidos_total_run
+FROM s LEFT JOIN l ON l.simulation_run_id = s.simulation_run_id AND l.event_type = s.event_type LEFT JOIN n ON n.run = s.simulation_run_id"""
+
 # --- alerts -----------------------------------------------------------------------------------------------------
 
 
@@ -256,11 +322,23 @@ GROUP BY a.series, a.minute HAVING count(*) = 5 AND min(b.peak) > 20"""
 
 
 def streaming_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
-    """All events as message files, every message twice, through the router until drained; read back from the sinks."""
+    """All events as message files, every message twice, through the router until drained; read back from the sinks.
+
+    Some come a third time under a new id, published a month before the others, and some with no id at all.
+    """
     folder = fresh_path(spark, "stream")
     messages = event_messages(spark, sf)
     again = messages.withColumn("message_id", F.concat("message_id", F.lit("-again")))
-    for part in (messages, again):
+    late = messages.filter(F.col("message_id").cast("long") % 53 == 0).withColumns(
+        {
+            "attributes": F.map_concat(F.map_filter("attributes", lambda k, v: k != "event_id"), F.create_map(F.lit("event_id"), F.concat(F.lit("late"), "message_id"))),
+            "publish_time": F.col("publish_time") - F.expr("interval 30 days"), "message_id": F.concat("message_id", F.lit("-late")),
+        }
+    )
+    nameless = messages.filter(F.col("message_id").cast("long") % 59 == 0).withColumns(
+        {"attributes": F.map_filter("attributes", lambda k, v: k != "event_id"), "message_id": F.lit(None).cast("string")}
+    )
+    for part in (messages, again, late, nameless, nameless):
         part.write.mode("append").parquet(f"{folder}/in")
     sinks = RouteSinks(f"{folder}/out")
     query = start_router(file_messages(spark, f"{folder}/in"), sinks, f"{folder}/checkpoint", drain=True)
@@ -273,6 +351,13 @@ def streaming_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Late messages have ids of their own and count again, those without an id each time they come.
+STREAM_SQL = f"""WITH {VERDICT_SQL}, weighed AS (SELECT *, 1 + (event_id % 53 = 0)::INT + 2 * (event_id % 59 = 0)::INT AS times FROM verdict)
+SELECT run AS simulation_run_id, sum(times)::BIGINT AS n, 'raw' AS output FROM weighed GROUP BY 1
+UNION ALL SELECT run, sum(times)::BIGINT, 'typed' FROM weighed WHERE error_code IS NULL GROUP BY 1
+UNION ALL SELECT run, sum(times)::BIGINT, 'quarantine' FROM weighed WHERE error_code IS NOT NULL GROUP BY 1
+UNION ALL SELECT run, sum(times)::BIGINT, 'dead_letter' FROM weighed WHERE error_code IS NOT NULL GROUP BY 1"""
+
 QUERIES: dict[str, Query] = {
     "event_contract_errors": Query(event_contract_errors, CONTRACT_SQL),
     "event_typed_rows": Query(event_typed_rows, TYPED_SQL),
@@ -281,5 +366,8 @@ QUERIES: dict[str, Query] = {
     "event_latest": Query(event_latest, LATEST_SQL),
     "event_latency_p95": Query(event_latency_p95, LATENCY_SQL),
     "threshold_alert": Query(threshold_alert, ALERT_SQL),
-    "streaming_end_to_end": Query(streaming_end_to_end, ROUTING_SQL),
+    "event_raw_rows": Query(event_raw_rows, RAW_SQL),
+    "streaming_suite": Query(streaming_suite, STREAMING_SUITE_SQL),
+    "dashboard_streaming": Query(dashboard_streaming, DASHBOARD_STREAMING_SQL),
+    "streaming_end_to_end": Query(streaming_end_to_end, STREAM_SQL),
 }

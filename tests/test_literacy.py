@@ -247,7 +247,7 @@ def test_weighted_mean_keeps_weight_without_score(spark, codes):
     assert got["3304557"].proficiencia_media is None and got["3304557"].proficiencia_media_ponderada is None
 
 
-def test_bad_data_fails_the_gate_and_is_not_published(spark, tmp_path):
+def test_bad_rows_are_quarantined_and_the_gate_refuses_failed_checks(spark, tmp_path):
     sources = clean_sources(spark)
     sources["meta_alfabetizacao_brasil"] = frame(
         spark, "meta_alfabetizacao_brasil",
