@@ -109,7 +109,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
 }
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
 SQL: dict[str, str] = {
+    "op3_benchmark_decontamination": f"""
+WITH d AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_PLAIN_WORDS} AS w FROM benchmark),
+win AS (
+    SELECT DISTINCT item_id, w[i:i + least(10, len(w)) - 1] AS words, least(10, len(w)) AS n
+    FROM b, unnest(range(1, greatest(len(w) - 9, least(len(w), 1)) + 1)) AS t(i)
+), sizes AS (SELECT DISTINCT n FROM win),
+own AS (SELECT doc_id, i, n, w[i:i + n - 1] AS words FROM d, sizes, unnest(range(1, greatest(len(w) - n + 2, 1))) AS t(i)),
+found AS (SELECT doc_id, i, own.n, item_id FROM own JOIN win ON own.words = win.words),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM found, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS named
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(named, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+""",
+    "op4_substring_dedup": """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, hash(w[i:i + 19]) AS h, md5(array_to_string(w[i:i + 19], ' ')) AS m FROM d, unnest(range(1, greatest(len(w) - 18, 1))) AS t(i)),
+again AS (SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY h, m ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM again, unnest(range(i, i + 20)) AS t(p)),
+kept AS (
+    SELECT d.doc_id, string_agg(w[p], ' ' ORDER BY p) AS words, count(*) AS n
+    FROM d, unnest(range(1, len(w) + 1)) AS t(p) WHERE NOT EXISTS (FROM gone g WHERE g.doc_id = d.doc_id AND g.p = t.p) GROUP BY d.doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+""",
     "op10_warc": """
 WITH p AS (
     SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages
