@@ -18,13 +18,20 @@ from operator import getitem, itemgetter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import groups, id_key, parts, with_doc
+from plumbline.llm.common import cut, groups, id_key, parts, with_doc
+from plumbline.llm.components import components
+from plumbline.session import stage
 
 PERIOD = 64
 SAMPLES = 128  # per scale
+BAND = 6  # samples in a band key
+ALIKE = 0.8
+# Prints that share a band key are all compared up to this many, then with one of each group found under the key.
+BLOCK = 512
 
 _PAD = ord("-")
 _SYMBOLS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
@@ -160,3 +167,77 @@ def against_next(docs: DataFrame) -> DataFrame:
     ordered = dealt.repartition(n, "part").sortWithinPartitions("part", "guest", F.desc("key"), F.desc("version"))
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return ordered.select("part", "guest", "doc_id", "text").mapInArrow(_neighbours, schema)
+
+
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, print): one key for each band of each scale that holds more than padding."""
+    for batch in batches:
+        keys, prints = [], []
+        for p in batch.column("print").to_pylist():
+            top = int(p[:2])
+            for scale, at in ((top, 2), (top - 1, 2 + SAMPLES)):
+                for band in range(0, SAMPLES - BAND + 1, BAND):
+                    found = p[at + band : at + band + BAND]
+                    if found != "-" * BAND:
+                        keys.append(xxhash.xxh64_intdigest(f"{scale}/{band}/{found}"))
+                        prints.append(p)
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(prints, pa.string())], names=["key", "print"])
+
+
+def _linker(least: float, block: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Verified links (a, b) between prints that share a key, as many as join them, not all pairs."""
+        key, tried, count = None, [], 0
+        for batch in batches:
+            a, b = [], []
+            keys = batch.column("key").to_numpy()
+            lone = np.zeros(len(keys), bool)
+            heads = cut(keys)
+            tails = np.append(heads[1:], len(keys))
+            lone[heads[(tails - heads == 1) & (heads > 0) & (tails < len(keys))]] = True
+            for k, p, skip in zip(keys.tolist(), batch.column("print").to_pylist(), lone.tolist()):
+                if skip:
+                    continue
+                if k != key:
+                    key, tried, count = k, [], 0
+                linked = False
+                for other in tried:
+                    if likeness(other, p) >= least:
+                        a.append(other)
+                        b.append(p)
+                        linked = True
+                count += 1
+                if count <= block or not linked:
+                    tried.append(p)
+                elif count == block + 1:
+                    tried = _leaders(tried, least)
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
+
+    return run
+
+
+def _leaders(prints: list[str], least: float) -> list[str]:
+    """One print of each group of alike ones."""
+    out: list[str] = []
+    for p in prints:
+        if not any(likeness(q, p) >= least for q in out):
+            out.append(p)
+    return out
+
+
+def near_groups(docs: DataFrame, least: float = ALIKE, block: int = BLOCK) -> DataFrame:
+    """``docs`` as ``doc`` (struct of all their columns) with ``print`` and ``group``, equal for near duplicates.
+
+    Prints are distinct first, so copies cost nothing. Prints that agree in all samples of a band are candidates and
+    are linked if their likeness is ``least`` or more; a pair at 0.8 is a candidate with probability 0.99. Groups are
+    what links reach; ``group`` is the smallest 64-bit hash of a print in it.
+    """
+    spark = docs.sparkSession
+    named = stage(fingerprinted(docs), "edit-prints")
+    distinct = named.select("print").distinct()
+    keyed = distinct.repartition(parts(spark), "print").mapInArrow(_banded, "key long, print string")
+    linked = keyed.repartition(parts(spark), "key").sortWithinPartitions("key", "print").mapInArrow(_linker(least, block), "a string, b string")
+    roots = components(linked.distinct().select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b")))
+    joined = named.join(roots, F.xxhash64("print") == F.col("node"), "left")
+    return joined.select("doc", "print", F.coalesce("root", F.xxhash64("print")).alias("group"))

@@ -155,6 +155,28 @@ def test_edited_texts_take_the_next_document(spark, odd, none):
     assert prints.count() == odd.count() and prints.select("doc.*").columns == odd.columns
 
 
+@pytest.mark.parametrize("block", [2, 512])
+def test_edit_groups_join_near_copies_only(spark, odd, none, block):
+    rng = random.Random(10)
+    texts = []
+    for _ in range(6):
+        base = "".join(rng.choice("etaoin shrdlucmf") for _ in range(rng.randint(900, 1000)))
+        texts.append(base)
+        for _ in range(6):
+            near = list(base)
+            for i in rng.sample(range(len(near)), 2):
+                near[i] = rng.choice(["", "qq"])
+            texts.append("".join(near))
+    docs = frame(spark, texts + texts[:5])
+    found = {}
+    for r in editprint.near_groups(docs, block=block).collect():
+        found.setdefault(r.group, set()).add(r.doc.doc_id % len(texts) // 7)
+    assert all(len(g) == 1 for g in found.values()) and len(found) <= 8
+    out = editprint.near_groups(odd, block=block)
+    assert out.count() == odd.count() and out.where("doc.text is null or doc.text = ''").select("group").distinct().count() == 1
+    assert editprint.near_groups(none).count() == 0
+
+
 def slow_windows(docs, window):
     """Kept words per document, in the order of (id, text)."""
     seen, out = set(), {}
