@@ -9,47 +9,59 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 OK, FAIL = "OK", "FAIL"
-Part = "int | DataFrame"
+
+
+@dataclass(frozen=True, eq=False)
+class Measure:
+    """A number of a table: an aggregate over all its rows. Measures of one DataFrame share one pass over it."""
+
+    df: DataFrame
+    value: Column
+    distinct: bool = False
+
+    def frame(self) -> DataFrame:
+        """The number as a table of one row."""
+        return self.df.agg(self.value.cast("long").alias("n"))
 
 
 @dataclass(frozen=True)
 class Check:
-    """Parts of a side are added up: integers, or DataFrames with one row and one numeric column."""
+    """Parts of a side are added up: integers, measures, or DataFrames with one row and one numeric column."""
 
     kind: str
     name: str
-    expected: Sequence[int | DataFrame] = field(default_factory=list)
-    actual: Sequence[int | DataFrame] = field(default_factory=list)
+    expected: Sequence[int | Measure | DataFrame] = field(default_factory=list)
+    actual: Sequence[int | Measure | DataFrame] = field(default_factory=list)
 
 
 class CheckFailure(AssertionError):
     """One or more checks of a suite did not hold."""
 
 
-def row_count(df: DataFrame, factor: int = 1) -> DataFrame:
-    return df.agg((F.count(F.lit(1)) * factor).alias("n"))
+def row_count(df: DataFrame, factor: int = 1) -> Measure:
+    return Measure(df, F.count(F.lit(1)) * factor)
 
 
-def count_where(df: DataFrame, condition: Column) -> DataFrame:
-    return df.agg(F.count_if(condition).alias("n"))
+def count_where(df: DataFrame, condition: Column) -> Measure:
+    return Measure(df, F.count_if(condition))
 
 
-def distinct_count(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(F.countDistinct(column).alias("n"))
+def distinct_count(df: DataFrame, column: str) -> Measure:
+    return Measure(df, F.countDistinct(column), distinct=True)
 
 
-def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> Measure:
     """How many keys occur more than once."""
     return row_count(df.groupBy(*keys).count().filter(F.col("count") > 1))
 
 
-def surplus_rows(df: DataFrame, key: str) -> DataFrame:
+def surplus_rows(df: DataFrame, key: str) -> Measure:
     """Rows beyond one per distinct key, in one pass. NULL keys are surplus."""
-    return df.agg((F.count(F.lit(1)) - F.countDistinct(key)).alias("n"))
+    return Measure(df, F.count(F.lit(1)) - F.countDistinct(key), distinct=True)
 
 
-def has_rows(df: DataFrame) -> DataFrame:
-    return df.agg((F.count(F.lit(1)) > 0).cast("int").alias("n"))
+def has_rows(df: DataFrame) -> Measure:
+    return Measure(df, (F.count(F.lit(1)) > 0).cast("int"))
 
 
 def suite(
@@ -58,23 +70,42 @@ def suite(
     executed_at: Column,
     identity: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """All checks as rows. Each part becomes one long row, so sides are summed by a tiny aggregate, never joined."""
+    """All checks as rows. Each part becomes one long row, so sides are summed by a tiny aggregate, never joined.
+
+    All measures of one DataFrame come from one aggregate over it, those that count distinct values from another: a
+    distinct count multiplies the rows it shuffles, and plain counts should not pay for that.
+    """
     parts: DataFrame | None = None
     literals: list[tuple[str, str, int, int]] = []
+    by_pass: dict[tuple[int, bool], list[tuple[Check, str, Measure]]] = {}
+
+    def add(rows: DataFrame) -> None:
+        nonlocal parts
+        parts = rows if parts is None else parts.unionAll(rows)
+
+    def as_row(check: Check, side: str, number: Column) -> list[Column]:
+        nothing = F.lit(0).cast("long")
+        return [
+            F.lit(check.kind).alias("check_type"),
+            F.lit(check.name).alias("object_name"),
+            (number if side == "e" else nothing).alias("expected_value"),
+            (number if side == "a" else nothing).alias("actual_value"),
+        ]
+
     for check in checks:
         for side, values in (("e", check.expected), ("a", check.actual)):
             for part in values:
                 if isinstance(part, int):
                     literals.append((check.kind, check.name, part if side == "e" else 0, part if side == "a" else 0))
-                    continue
-                number = F.col(part.columns[0]).cast("long")
-                row = part.select(
-                    F.lit(check.kind).alias("check_type"),
-                    F.lit(check.name).alias("object_name"),
-                    (number if side == "e" else F.lit(0).cast("long")).alias("expected_value"),
-                    (number if side == "a" else F.lit(0).cast("long")).alias("actual_value"),
-                )
-                parts = row if parts is None else parts.unionAll(row)
+                elif isinstance(part, Measure):
+                    by_pass.setdefault((id(part.df), part.distinct), []).append((check, side, part))
+                else:
+                    add(part.select(*as_row(check, side, F.col(part.columns[0]).cast("long"))))
+    for measures in by_pass.values():
+        numbers = [m.value.cast("long").alias(f"n{i}") for i, (_, _, m) in enumerate(measures)]
+        wide = measures[0][2].df.agg(*numbers)
+        rows = [F.struct(*as_row(check, side, F.col(f"n{i}"))) for i, (check, side, _) in enumerate(measures)]
+        add(wide.select(F.inline(F.array(*rows))))
     if literals:
         rows = F.inline(
             F.array(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,8 +69,11 @@ def _build(store: Store, products: Mapping[str, Product], tables: Mapping[str, D
 def run_batch(
     spark: SparkSession, bronze: str, warehouse: str, date: dt.date, batch_id: str, as_of: dt.datetime
 ) -> dict[str, DataFrame]:
-    """Build all layers of one batch into a new run folder, check them, and publish when every check holds."""
-    store = Store(spark, warehouse, f"{batch_id}-{as_of:%Y%m%dT%H%M%S}")
+    """Build all layers of one batch into a new run folder, check them, and publish when every check holds.
+
+    The folder's name ends with an attempt of its own, so that a run that broke off can be repeated as it was.
+    """
+    store = Store(spark, warehouse, f"{batch_id}-{as_of:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}")
     sources = read_sources(spark, bronze, date, batch_id)
     tables = build_silver(store, sources, as_of)
     at = literal_time(as_of)

@@ -28,14 +28,12 @@ def silver_checks(
 ) -> DataFrame:
     """Source rows × expansion = clean + quarantined rows; unique keys; rates and targets in range."""
     checks = []
+    rejected = t[QUARANTINE].filter((F.col("ingestion_date") == F.lit(date)) & (F.col("batch_id") == batch_id))
     for name, plan in SOURCE_PLANS.items():
-        rejected = t[QUARANTINE].filter(
-            (F.col("source_table") == name) & (F.col("ingestion_date") == F.lit(date)) & (F.col("batch_id") == batch_id)
-        )
         checks.append(
             Check(
                 RECONCILIATION, name, [row_count(sources[name], plan.expansion)],
-                [row_count(t[plan.table]), row_count(rejected)],
+                [row_count(t[plan.table]), count_where(rejected, F.col("source_table") == name)],
             )
         )
     for table in ("alunos", "resultado_municipio", "resultado_uf"):

@@ -89,8 +89,8 @@ def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
     return union_all(
         df.select(F.lit(name).alias("check_name"), "n")
         for name, df in (
-            ("line_key", repeated_keys(lines, ["l_orderkey", "l_linenumber"])),
-            ("order_key", repeated_keys(table(spark, sf, "orders"), ["o_orderkey"])),
+            ("line_key", repeated_keys(lines, ["l_orderkey", "l_linenumber"]).frame()),
+            ("order_key", repeated_keys(table(spark, sf, "orders"), ["o_orderkey"]).frame()),
             ("discount_sum", off),
         )
     )

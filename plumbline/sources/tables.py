@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from plumbline.session import stage
+
 
 def empty_like(df: DataFrame) -> DataFrame:
     """No rows, same schema."""
@@ -21,12 +23,13 @@ def clustered(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[s
     Range partitioning on partition and cluster columns spreads each table partition over many tasks (hashing
     on a year would give one task per year). A row hash lets a hot cluster key be split as well, and the input
     partition number splits even exact copies of a row; both are stable when a lost task is run again. Sorted
-    files give tight row-group statistics for skipping.
+    files give tight row-group statistics for skipping. Ranges are found by sampling, which would compute ``df`` a
+    second time, so it is staged first.
     """
     if not cluster_by:
         return df.hint("rebalance", *partition_by) if partition_by else df
     spread = ["__hash", "__origin"]
-    keyed = df.withColumns({"__hash": F.xxhash64(*df.columns), "__origin": F.spark_partition_id()})
+    keyed = stage(df, "clustered").withColumns({"__hash": F.xxhash64(*df.columns), "__origin": F.spark_partition_id()})
     ranged = keyed.repartitionByRange(*partition_by, *cluster_by, *spread)
     return ranged.sortWithinPartitions(*partition_by, *cluster_by).drop(*spread)
 
