@@ -27,6 +27,15 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in Arrow batches of a few megabytes.
+
+    Whole documents are wide rows, and a task holds a batch several times over (in the JVM, as Arrow, as Python
+    objects); a worker keeps the memory of its largest batch as long as it lives.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def id_key(column: str = "doc_id") -> Column:
     """The document id as a long that is never null."""
     return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import as_bytes, groups, with_doc
+from plumbline.llm.common import as_bytes, groups, small_batches, with_doc
 from plumbline.session import stage
 
 WINDOW = 10
@@ -142,6 +142,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shard_words: int = SHARD
     Shards bound what is sent to the executors: each is collected with at most about ``shard_words`` words.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     span = "struct<first: int, last: int, start: int, end: int>"
     state = docs.select(
         F.struct("*").alias("doc"), "text", F.lit(0).cast("long").alias("n_words"),

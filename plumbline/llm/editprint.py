@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut, groups, id_key, parts, with_doc
+from plumbline.llm.common import cut, groups, id_key, parts, small_batches, with_doc
 from plumbline.llm.components import components
 from plumbline.session import stage
 
@@ -112,6 +112,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
 
     Equal texts have equal fingerprints. Whole texts are walked; rows are read one by one, repeated or not.
     """
+    small_batches(docs.sparkSession)
     return docs.select(F.struct("*").alias("doc"), "text").mapInArrow(_printer, with_doc(docs, "print string"))
 
 
@@ -149,6 +150,7 @@ def against_next(docs: DataFrame) -> DataFrame:
     one in a copy of the following range's first, so each text is shuffled once, and one text per range twice.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_key().alias("key"), F.xxhash64("text").alias("version"), "text")
     n = parts(spark)
     # Several ranges to a task, so that tasks which happen to get one more are not much longer.

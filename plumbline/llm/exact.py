@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import as_bytes, cut, from_planes, groups, id_key, mix, parts, planes, with_doc
+from plumbline.llm.common import as_bytes, cut, from_planes, groups, id_key, mix, parts, planes, small_batches, with_doc
 from plumbline.llm.suffixes import suffix_array
 from plumbline.session import stage
 
@@ -353,6 +353,7 @@ def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_strings(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(doc, version, first, windows): runs of windows of a document, by byte, whose strings also start elsewhere."""
     spark = docs.sparkSession
+    small_batches(spark)
     source = docs.select(id_key().alias("doc"), F.xxhash64("text").alias("version"), "text").where(F.octet_length("text") >= WINDOW)
     packed = source.select("doc", "text").mapInArrow(_packer(4 * parts(spark)), f"part int, records int, data binary, {_FOUND_SQL}")
     judged = packed.repartition(parts(spark), "part").sortWithinPartitions("part").mapInArrow(_judge_parts, _FOUND_SQL)

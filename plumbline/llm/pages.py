@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import groups, with_doc
+from plumbline.llm.common import groups, small_batches, with_doc
 
 _TAG = re.compile(r"<(?:!--(?P<comment>.*?)(?:-->|$)|[!?][^>]*(?:>|$)|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)(?:>|$))", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|style|itemprop|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
@@ -260,6 +260,7 @@ def extracted(pages: DataFrame, keep_html: bool = True) -> DataFrame:
     A null html counts as empty; a page without content has an empty text; truncated markup is read as far as it
     goes; rows are read one by one, repeated or not, and whole, however long.
     """
+    small_batches(pages.sparkSession)
     kept = pages if keep_html else pages.select("page_id", "url")
     source = pages.select((F.struct("*") if keep_html else F.struct("page_id", "url")).alias("doc"), "html")
     return source.mapInArrow(_extractor, with_doc(kept, "main string"))

@@ -22,7 +22,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import id_key, offsets, with_doc
+from plumbline.llm.common import id_key, offsets, small_batches, with_doc
 
 # Texts of more code points are split into chunks of this many.
 CHUNK = 32_768
@@ -84,10 +84,10 @@ class Vocabulary:
         return out
 
     def segment(self, text: str) -> array:
-        """Ids of a stretch between forced borders; up to half a million short ones are remembered."""
+        """Ids of a stretch between forced borders; up to 200,000 short ones are remembered."""
         found = self.numbers(self.merge(text))
         if len(text) <= 48:
-            if len(self.known) >= 500_000:
+            if len(self.known) >= 200_000:
                 self.known.clear()
             self.known[text] = found
         return found
@@ -115,7 +115,7 @@ class Vocabulary:
             return True
         found = self.beside.get((a, b))
         if found is None:
-            if len(self.beside) >= 1_000_000:
+            if len(self.beside) >= 200_000:
                 self.beside.clear()
             found = self.beside[a, b] = self.merge(a + b) == [a, b]
         return found
@@ -365,6 +365,7 @@ def encoded(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     repeated rows are each encoded; a null doc_id is as good as any. Texts of more than ``chunk`` code points go
     through the scan, so no task holds work that grows with a text but its final list of ids.
     """
+    small_batches(docs.sparkSession)
     row = F.struct("*")
     named = docs.select(row.alias("doc"), id_key().alias("id"), F.xxhash64("text").alias("version"), "text")
     giant = F.coalesce(F.length("text") > chunk, F.lit(False))

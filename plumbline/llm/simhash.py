@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import as_bytes, cut, groups, id_key, parts
+from plumbline.llm.common import as_bytes, cut, groups, id_key, parts, small_batches
 from plumbline.llm.components import components
 from plumbline.session import stage
 
@@ -241,6 +241,7 @@ def _labelled(printed: DataFrame, light: DataFrame, block: int) -> DataFrame:
 
 def _printed(docs: DataFrame) -> DataFrame:
     """(doc_id, id, version, print) of each row, written to the shared folder: fingerprints are the costly part."""
+    small_batches(docs.sparkSession)
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_key().alias("id"), F.xxhash64("text").alias("version"), "text")
     return stage(named.mapInArrow(_fingerprints, "doc_id long, id long, version long, print long"), "simhash-documents")
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import NULL_ID, as_bytes, cut, from_planes, groups, id_key, mix, parts, planes, with_doc
+from plumbline.llm.common import NULL_ID, as_bytes, cut, from_planes, groups, id_key, mix, parts, planes, small_batches, with_doc
 
 WINDOW = 20
 CONTEXT = 10  # words around an anchor that choose it
@@ -251,6 +251,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     different texts under one id.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     # Several small parts to a task: a part is judged in memory, so its share of the corpus bounds the memory.
     source = docs.select(id_key().alias("doc"), "text").where(F.length("text") >= 2 * WINDOW - 1)
     packed = source.mapInArrow(_packer(4 * parts(spark)), _PACKED_SQL)

@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import id_key, offsets, parts
+from plumbline.llm.common import id_key, offsets, parts, small_batches
 
 END = 1  # id appended to every document
 
@@ -133,6 +133,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
     Files are ranges of ids; ``part`` numbers them in order. Null texts count as empty; a null id comes first; repeated
     rows are each written, rows with one id in order of their text's hash.
     """
+    small_batches(docs.sparkSession)
     ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", id_key().alias("key"), F.xxhash64("text").alias("version"))
     ordered = ranged.repartitionByRange(parts(docs.sparkSession), "key", "version").sortWithinPartitions("key", "version")
     encoded = ordered.select("doc_id", "version", F.spark_partition_id().alias("part"), "text").mapInArrow(_encoder(tokenizer), _SCHEMA)
@@ -164,6 +165,7 @@ def token_spans(spark: SparkSession, path: str) -> DataFrame:
     The sums of earlier files are added up over one row per file; inside a file the order is that of ids and text
     hashes, in which they were written.
     """
+    small_batches(spark)
     rows = read_tokens(spark, path).mapInArrow(_digest, "doc_id long, version long, part int, n_tokens long, ids_crc32 long")
     sums = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = sums.select(F.col("part").alias("of"), (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))

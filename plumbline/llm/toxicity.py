@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import groups, with_doc
+from plumbline.llm.common import groups, small_batches, with_doc
 
 # The classifier is fitted on at most this many labelled rows, taken in hash order of their ids.
 SAMPLE = 20_000
@@ -30,6 +30,7 @@ _PREFIX = range(4, 8)
 _LONGEST = 32  # letters of a word that take part in a match
 _OPEN, _CLOSE = "“„«‹", "”»›"
 _REACH = 160  # characters around a hit searched for quotation marks
+_NOTHING = (-1, 0)
 _WINDOW = 12  # words around a hit in which further hits count as a cluster
 
 
@@ -141,7 +142,7 @@ class Model:
 
 
 class Reader:
-    """Finds hits of a lexicon; remembers the verdict on up to 400,000 different words."""
+    """Finds hits of a lexicon; remembers the verdict on up to 200,000 different words."""
 
     def __init__(self, terms: list[str], weights: list[float], rates: list[float]):
         self.trie, self.weights, self.rates = Trie(terms), weights, rates
@@ -152,14 +153,14 @@ class Reader:
 
     def verdict(self, word: str) -> tuple[int, int]:
         """(term, 1 exact or 2 misspelt), or (-1, 0)."""
-        if len(self.known) >= 400_000:
+        if len(self.known) >= 200_000:
             self.known.clear()
         short = word[:_LONGEST]
         number, kind = self.trie.exact(short), 1
         if number < 0:
             speller = self.spellers.get(allowance(len(short)))
             number, kind = speller.near(short) if speller else -1, 2
-        self.known[word] = out = (number, kind) if number >= 0 else (-1, 0)
+        self.known[word] = out = (number, kind) if number >= 0 else _NOTHING
         return out
 
     def features(self, text: str) -> list[float]:
@@ -250,6 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: F.Column, sample: int = SAMP
     any says so), null labels not at all. Without a toxic and a clean row every score is the share of toxic rows.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     marked = labels.where(usable & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
     wanted = spark.createDataFrame([(int(r.doc_id), int(r.toxic > 0)) for r in rows], "doc_id long, toxic int")
@@ -264,7 +266,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: F.Column, sample: int = SAMP
     gap = F.col("toxic_rows") / F.lit(float(toxic)) - F.col("clean_rows") / F.lit(float(clean))
     z = gap / F.sqrt(share * (1 - share) * F.lit(1 / toxic + 1 / clean) + F.lit(1e-9))
     best = (
-        sums.where(F.col("toxic_rows") >= max(4, toxic // 200)).withColumn("z", z).where(F.col("z") > 6.0)
+        sums.where(F.col("toxic_rows") >= max(3, toxic // 200)).withColumn("z", z).where(F.col("z") > 4.0)
         # A word is preferred to a beginning that marks hardly more.
         .orderBy(F.desc(F.col("z") * F.when(F.col("unit").endswith("*"), 0.97).otherwise(1.0)), F.desc(F.length("unit")), "unit").limit(16 * TERMS).collect()
     )
@@ -332,6 +334,7 @@ def scored(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
     A null or empty text gets the score of a text without hits. No column but the text is read for it. Rows are scored
     one by one, repeated or not; whole texts are read, however long.
     """
+    small_batches(docs.sparkSession)
     kept = docs if keep_text else docs.select("doc_id")
     source = docs.select((F.struct("*") if keep_text else F.struct("doc_id")).alias("doc"), "text")
     return source.mapInArrow(_scorer(model), with_doc(kept, "score double"))

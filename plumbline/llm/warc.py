@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.llm.common import small_batches
+
 # Payloads below this many bytes are always written in full.
 LEAST_SHARED = 100
 SEGMENT = 64 << 10  # bytes of a record's block in one segment
@@ -132,6 +134,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
     refer to it; a null id never is the smallest unless all are null, and then all are written in full, as are rows
     that repeat the smallest id. A null html is an empty payload; a null url reads about:blank.
     """
+    small_batches(pages.sparkSession)
     rows = classified(pages).select("page", "url", "html", "digest", "refers_to").mapInArrow(_written, "record binary")
     text = rows.select(F.col("record").cast("string").alias("value"))
     text.write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
@@ -194,6 +197,7 @@ def read_archives(spark: SparkSession, path: str, across_files: bool = False) ->
     Records in one segment are not shuffled. Raises if segments are missing or lengths do not fit. ``across_files``
     also joins segments that lie in different files; then no record may be given twice.
     """
+    small_batches(spark)
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     names = "file string, record string, copy int, segment int, total long, type string, page string, url string, digest string, refers_to string, block binary"
     found = files.mapInArrow(_parsed, names)
