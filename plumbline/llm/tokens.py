@@ -29,22 +29,21 @@ _OPTIONS = {
     "orc.stripe.size": str(16 << 20),
 }
 _SCHEMA = "doc_id long, version long, part int, ids array<int>"
-_REMEMBER = 1_000_000  # different pieces of words whose ids a Python worker keeps: about 200 MB
-_WORDS = 300_000  # words put together from them, likewise
-_LONG = 64  # longer strings hardly come back and are not kept
+_REMEMBER = 1_000_000  # different pieces whose ids a Python worker keeps: about 200 MB
+_LONG = 64  # longer pieces hardly come back and are not kept
 _JOINED = 512  # pieces handed to the tokenizer as one text
 
-# Characters whose case, normal form and class are beyond doubt; other words go to the tokenizer as they are.
-_PLAIN = re.compile("[\\x21-\\x7e\\xa1-\\u0232]+")
-# The tokenizer's own way to cut a word.
+# Texts of characters whose case, normal form and class are beyond doubt, and without the "<" of special tokens.
+_PLAIN = re.compile("[\t\n\r\x20-\x3b\x3d-\x7e\xa1-\u012f\u0131-\u0232]*")
+# The tokenizer's own way to cut a text; what it encodes are these pieces, one by one.
 _CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
-class WordTokenizer:
-    """A tokenizer that drops white space and lets nothing cross it, applied word by word with a memory.
+class PieceTokenizer:
+    """A tokenizer that drops white space and encodes each piece of a text by itself, with a memory for pieces.
 
-    A word is cut as the tokenizer would, and ids are kept for words and for pieces; new pieces are encoded many at a
-    time as one text, where each ends with the only id that stands for an end of a word.
+    New pieces are encoded many at a time as one text, in which each ends with the only id that stands for an end.
+    Texts with unusual characters go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -55,64 +54,45 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_pieces(self, new: list[str]) -> None:
+    def _learn(self, new: list[str]) -> None:
         groups = [new[i : i + _JOINED] for i in range(0, len(new), _JOINED)]
         for pieces, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) == len(pieces):
-                edges = [0, *last.tolist()]
-                self.pieces.update((p, ids[a:b].tobytes()) for p, a, b in zip(pieces, edges, edges[1:]))
+            edges = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
+            if len(edges) == len(pieces) + 1:
+                raw = ids.tobytes()
+                self.pieces.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(pieces, edges, edges[1:]))
             else:
                 self.pieces.update(zip(pieces, self._raw(pieces)))
 
-    def _learn(self, new: list[str]) -> None:
-        plain = {w: _CUT.findall(w.lower()) for w in new if _PLAIN.fullmatch(w) and not any(t in w for t in self.special)}
-        unknown = {p for cut in plain.values() for p in cut}.difference(self.pieces)
-        if len(self.pieces) + len(unknown) > _REMEMBER:
-            self.pieces.clear()
-            unknown = {p for cut in plain.values() for p in cut}
-        self._learn_pieces(list(unknown))
-        pieces = self.pieces
-        for word, cut in plain.items():
-            self.words[word] = b"".join([pieces[p] for p in cut])
-        other = [w for w in new if w not in plain]
-        self.words.update(zip(other, self._raw(other)))
-        for p in unknown:
-            if len(p) > _LONG:
-                del pieces[p]
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text and the end id, as little-endian 32-bit integers."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        seen = set(itertools.chain.from_iterable(split))
-        new = seen.difference(self.words)
-        if len(self.words) + len(new) > _WORDS:
-            self.words = {"": b""}
-            new = seen.difference(self.words)
+        cut = {i: _CUT.findall(t.lower()) for i, t in enumerate(texts) if _PLAIN.fullmatch(t)}
+        seen = set(itertools.chain.from_iterable(cut.values()))
+        new = seen.difference(self.pieces)
+        if len(self.pieces) + len(new) > _REMEMBER:
+            self.pieces, new = {}, seen
         self._learn(list(new))
-        get = self.words.__getitem__
-        out = [b"".join(map(get, words)) + _END for words in split]
-        for w in new:
-            if len(w) > _LONG:
-                del self.words[w]
-        return out
+        get = self.pieces.__getitem__
+        out = [b"".join(map(get, cut[i])) if i in cut else self._raw([t])[0] for i, t in enumerate(texts)]
+        for p in new:
+            if len(p) > _LONG:
+                del self.pieces[p]
+        return [ids + _END for ids in out]
 
 
-_LOADED: dict[str, WordTokenizer] = {}
+_LOADED: dict[str, PieceTokenizer] = {}
 
 
 def _encoder(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _LOADED:
-            _LOADED[path] = WordTokenizer(path)
+            _LOADED[path] = PieceTokenizer(path)
         for batch in batches:
             for start in range(0, batch.num_rows, 128):
                 some = batch.slice(start, 128)
