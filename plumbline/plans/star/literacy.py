@@ -238,7 +238,7 @@ def silver_suite(spark: SparkSession, sf: str) -> DataFrame:
 
 def gold_suite(spark: SparkSession, sf: str) -> DataFrame:
     out = suites.gold_checks(spark, LazyLayers(spark, sf), F.lit(None).cast("timestamp"))
-    return out.select("check_type", "object_name", "status")
+    return out.select("check_type", "object_name", "expected_value", "actual_value", "status")
 
 
 def dashboards_query(name: str, view: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -533,24 +533,85 @@ _BRASIL_SQL = _select(
     CASE WHEN target IS NULL THEN 'SEM_META_DO_ANO' WHEN gap >= 0 THEN 'ATINGIU_OU_SUPEROU' ELSE 'ABAIXO_DA_META' END AS status_meta,
     {_PARTICIPATION_BAND} FROM kpi_br"""
 )
-_SILVER_SUITE_SQL = """
-WITH c AS (
-  SELECT 'RECONCILIATION' AS check_type, 'dicionario' AS object_name, 27 AS expected_value UNION ALL SELECT 'RECONCILIATION', 'alunos', count(*) FROM lineitem
-  UNION ALL SELECT 'RECONCILIATION', 'municipio', count(*) FROM (SELECT DISTINCT (year(l_shipdate) - 1995) % 3, l_suppkey, l_returnflag FROM lineitem)
-  UNION ALL SELECT 'RECONCILIATION', 'uf', count(*) FROM (SELECT DISTINCT (year(l_shipdate) - 1995) % 3, s_nationkey, l_returnflag FROM lineitem JOIN supplier ON s_suppkey = l_suppkey)
-  UNION ALL SELECT 'RECONCILIATION', 'meta_alfabetizacao_municipio', 21 * count(*) FROM supplier
-  UNION ALL SELECT 'RECONCILIATION', 'meta_alfabetizacao_uf', 21 * count(DISTINCT c_nationkey) FROM customer
-  UNION ALL SELECT 'RECONCILIATION', 'meta_alfabetizacao_brasil', 7 * count(DISTINCT (year(o_orderdate) - 1995) % 3) FROM orders
-  UNION ALL SELECT * FROM (VALUES ('UNIQUENESS', 'alunos', 0), ('UNIQUENESS', 'resultado_municipio', 0), ('UNIQUENESS', 'resultado_uf', 0),
-    ('VALIDITY', 'taxas_resultado_municipio', 0), ('VALIDITY', 'taxas_resultado_uf', 0), ('VALIDITY', 'metas', 0)))
-SELECT *, expected_value AS actual_value, 'OK' AS status FROM c"""
-_GOLD_SUITE_SQL = """
-SELECT * , 'OK' AS status FROM (VALUES ('RECONCILIATION', 'kpi_brasil'), ('RECONCILIATION', 'kpi_uf'), ('RECONCILIATION', 'kpi_municipio'),
-  ('RECONCILIATION', 'cobertura_integracao'), ('RECONCILIATION', 'distribuicao_niveis_uf'), ('RECONCILIATION', 'resumo_executivo'),
-  ('RECONCILIATION', 'features_modelo_municipio'), ('UNIQUENESS', 'kpi_brasil'), ('UNIQUENESS', 'kpi_uf'), ('UNIQUENESS', 'kpi_municipio'),
-  ('UNIQUENESS', 'cobertura_integracao'), ('VALIDITY', 'taxas_gold'), ('VALIDITY', 'participacao_gold'), ('VALIDITY', 'percentual_cobertura'),
-  ('CONSISTENCY', 'status_meta_brasil'), ('CONSISTENCY', 'status_meta_uf'), ('CONSISTENCY', 'status_meta_municipio'),
-  ('CONSISTENCY', 'soma_percentual_cobertura'), ('CONSISTENCY', 'features_target_ano')) AS c(check_type, object_name)"""
+
+
+def _suite_sql(rows: list[tuple[str, str, str, str]]) -> str:
+    """Check rows from (kind, name, expected, actual), where both sides are SQL over the chain's tables."""
+    checks = "\nUNION ALL ".join(f"SELECT '{kind}' AS check_type, '{name}' AS object_name, {e} AS expected_value, {a} AS actual_value" for kind, name, e, a in rows)
+    return _select(f"SELECT *, CASE WHEN expected_value = actual_value THEN 'OK' ELSE 'FAIL' END AS status FROM ({checks})")
+
+
+def _n(source: str, condition: str = "TRUE") -> str:
+    return f"(SELECT count(*) FROM {source} WHERE {condition})"
+
+
+def _repeated(source: str, keys: str) -> str:
+    return f"(SELECT count(*) FROM (SELECT 1 FROM {source} GROUP BY {keys} HAVING count(*) > 1))"
+
+
+def _contradicting(query: str) -> str:
+    return _n(
+        f"({query})",
+        """(status_meta = 'ATINGIU_OU_SUPEROU' AND gap_meta_pontos_percentuais < 0) OR (status_meta = 'ABAIXO_DA_META' AND gap_meta_pontos_percentuais >= 0)
+        OR (status_meta = 'SEM_RESULTADO' AND taxa_alfabetizacao_resultado IS NOT NULL) OR (status_meta = 'SEM_META_DO_ANO' AND meta_alfabetizacao IS NOT NULL)""",
+    )
+
+
+def _silver_suite_sql() -> str:
+    kinds = "(year(l_shipdate) - 1995) % 3"
+    sides = {
+        "dicionario": ("27", "27"),
+        "alunos": (_n("lineitem"), f"{_n('pupils')} + {_n('pupils_tagged', "critical <> ''")}"),
+        "municipio": (_n(f"(SELECT DISTINCT {kinds}, l_suppkey, l_returnflag FROM lineitem)"), f"{_n('city_results')} + {_n('city_results_tagged', 'rede_nome IS NULL')}"),
+        "uf": (
+            _n(f"(SELECT DISTINCT {kinds}, s_nationkey, l_returnflag FROM lineitem JOIN supplier ON s_suppkey = l_suppkey)"),
+            f"{_n('state_results')} + {_n('state_results_tagged', 'rede_nome IS NULL')}",
+        ),
+    }
+    expected = {
+        "municipio": ("city", _n("supplier")), "uf": ("state", "(SELECT count(DISTINCT c_nationkey) FROM customer)"),
+        "brasil": ("national", "(SELECT count(DISTINCT (year(o_orderdate) - 1995) % 3) FROM orders)"),
+    }
+    for name, (cte, places) in expected.items():
+        rejected = _n(f"{cte}_targets_tagged", "critical <> ''")
+        sides[f"meta_alfabetizacao_{name}"] = (f"{7 if name == 'brasil' else 21} * {places}", f"{_n(f'{cte}_targets')} + {rejected}")
+    rows = [("RECONCILIATION", name, *both) for name, both in sides.items()]
+    rows.append(("UNIQUENESS", "alunos", "0", _repeated("pupils", "ano, cidade, escola, id_aluno")))
+    for name, cte in (("resultado_municipio", "city_results"), ("resultado_uf", "state_results")):
+        rows.append(("UNIQUENESS", name, "0", _repeated(cte, "ano, place, rede_codigo")))
+        rows.append(("VALIDITY", f"taxas_{name}", "0", _n(cte, "NOT taxa_alfabetizacao BETWEEN 0 AND 100")))
+    targets = " + ".join(_n(f"{cte}_targets", "NOT meta_alfabetizacao BETWEEN 0 AND 100") for cte, _ in expected.values())
+    return _suite_sql([*rows, ("VALIDITY", "metas", "0", targets)])
+
+
+def _gold_suite_sql() -> str:
+    state, city = (_select(f"SELECT {columns} FROM {cte}") for columns, cte in ((_state_columns(), "kpi_state"), (_city_columns(), "kpi_city")))
+    kpis = {"brasil": _BRASIL_SQL, "uf": state, "municipio": city}
+    cells = f"({_COVERAGE_SQL})"
+    years = " UNION ".join(f"SELECT ano FROM ({q})" for q in kpis.values())
+    statuses = " + ".join(_n(f"(SELECT DISTINCT ano, integration_status FROM {cte})") for cte in ("city_int", "state_int"))
+    outside = {c: " + ".join(_n(f"({q})", f"NOT {c} BETWEEN 0 AND 100") for q in kpis.values()) for c in ("taxa_alfabetizacao_resultado", "percentual_participacao")}
+    uneven = f"(SELECT 1 FROM {cells} GROUP BY nivel_territorial, ano HAVING abs(sum(percentual_cobertura) - 100) > 0.0001)"
+    return _suite_sql([
+        ("RECONCILIATION", "kpi_brasil", _n("(SELECT DISTINCT ano, rede FROM national_targets)"), _n(f"({_BRASIL_SQL})")),
+        ("RECONCILIATION", "kpi_uf", _n("state_int"), _n(f"({state})")),
+        ("RECONCILIATION", "kpi_municipio", _n("city_int"), _n(f"({city})")),
+        ("RECONCILIATION", "cobertura_integracao", statuses, _n(cells)),
+        ("RECONCILIATION", "distribuicao_niveis_uf", f"{len(s.LEVEL_COLUMNS)} * {_n('public_results')}", _n(f"({_DISTRIBUTION_SQL})")),
+        ("RECONCILIATION", "resumo_executivo", _n(f"({years})"), _n(f"({_summary_sql(6)})")),
+        ("RECONCILIATION", "features_modelo_municipio", _n(f"({city})"), _n(f"({_FEATURES_SQL})")),
+        ("UNIQUENESS", "kpi_brasil", "0", _repeated(f"({_BRASIL_SQL})", "ano, rede_normalizada")),
+        ("UNIQUENESS", "kpi_uf", "0", _repeated(f"({state})", "ano, sigla_uf")),
+        ("UNIQUENESS", "kpi_municipio", "0", _repeated(f"({city})", "ano, id_municipio")),
+        ("UNIQUENESS", "cobertura_integracao", "0", _repeated(cells, "nivel_territorial, ano, integration_status")),
+        ("VALIDITY", "taxas_gold", "0", outside["taxa_alfabetizacao_resultado"]),
+        ("VALIDITY", "participacao_gold", "0", outside["percentual_participacao"]),
+        ("VALIDITY", "percentual_cobertura", "0", _n(cells, "NOT percentual_cobertura BETWEEN 0 AND 100")),
+        ("CONSISTENCY", "soma_percentual_cobertura", "0", _n(uneven)),
+        ("CONSISTENCY", "features_target_ano", "0", _n(f"({_FEATURES_SQL})", "possui_target_ano_seguinte AND target_ano <> ano + 1")),
+        *(("CONSISTENCY", f"status_meta_{name}", "0", _contradicting(q)) for name, q in kpis.items()),
+    ])
+
 
 QUERIES: dict[str, Query] = {
     "literacy_pupils": Query(_of("alunos"), _PUPILS_SQL),
@@ -586,6 +647,6 @@ QUERIES: dict[str, Query] = {
     "literacy_dashboard_city": Query(
         dashboards_query("kpi_municipio", city_view), _select(f"SELECT {_city_columns(2, '100 * percentile')} FROM kpi_city")
     ),
-    "literacy_silver_suite": Query(silver_suite, _SILVER_SUITE_SQL),
-    "literacy_gold_suite": Query(gold_suite, _GOLD_SUITE_SQL),
+    "literacy_silver_suite": Query(silver_suite, _silver_suite_sql()),
+    "literacy_gold_suite": Query(gold_suite, _gold_suite_sql()),
 }
