@@ -84,10 +84,10 @@ class Vocabulary:
         return out
 
     def segment(self, text: str) -> array:
-        """Ids of a stretch between forced borders; up to 200,000 short ones are remembered."""
+        """Ids of a stretch between forced borders; up to 400,000 short ones are remembered."""
         found = self.numbers(self.merge(text))
         if len(text) <= 48:
-            if len(self.known) >= 200_000:
+            if len(self.known) >= 400_000:
                 self.known.clear()
             self.known[text] = found
         return found
