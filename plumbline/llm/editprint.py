@@ -3,7 +3,8 @@
 One random walk, shared by all texts, runs over the characters: at step j it puts out the character it stands on, and
 a bit drawn for (j, character) says whether it moves on. Texts a few edits apart fall into step again after each edit,
 so their edit distance becomes a Hamming distance of the outputs. A fingerprint samples the output at places shared by
-all texts, on the two scales next to the text's length.
+all texts, on the scale next to the text's length and on the one above, so that it also compares with a text of up to
+twice the length over all of that text.
 
 The bits repeat every 64 steps, so the walk is an automaton with 64 states. A text is read by indexing state after
 state, which Python does in C, and steps and samples are array operations.
@@ -70,10 +71,10 @@ class Walk:
         return Walk(np.concatenate((self.codes[:keep], more)), np.concatenate((self.phases[:keep], tail)))
 
     def fingerprint(self) -> str:
-        """Two digits of scale, the samples on it, and those on the scale below."""
+        """Two digits of scale, the samples on the scale above, and those on it."""
         n = len(self.codes)
         scale = max(1, (max(1, n) - 1).bit_length())
-        return f"{scale:02d}" + "".join(self._sample(s) for s in (scale, scale - 1))
+        return f"{scale:02d}" + "".join(self._sample(s) for s in (scale + 1, scale))
 
     def _sample(self, scale: int) -> str:
         steps = (_AT * float(2 << scale)).astype(np.int64)
@@ -89,14 +90,14 @@ def _phases(codes: np.ndarray, start: int) -> np.ndarray:
 
 
 def likeness(a: str, b: str) -> float:
-    """Share of equal samples on the largest scale that both prints have; 1 for two empty texts, 0 without a scale."""
+    """Share of equal samples on the larger text's scale, its padding different; 1 for two empty texts, 0 without a scale."""
     if a == b:
         return 1.0
     p, q = int(a[:2]), int(b[:2])
     if abs(p - q) > 1:
         return 0.0
-    scale = min(p, q)
-    x, y = (np.frombuffer(f.encode(), np.uint8)[2 + SAMPLES * (own - scale) :][:SAMPLES] for f, own in ((a, p), (b, q)))
+    scale = max(p, q)
+    x, y = (np.frombuffer(f.encode(), np.uint8)[2 + SAMPLES * (own + 1 - scale) :][:SAMPLES] for f, own in ((a, p), (b, q)))
     any_ = (x != _PAD) | (y != _PAD)
     return float(((x == y) & any_).sum() / max(1, any_.sum()))
 
@@ -177,7 +178,7 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, prints = [], []
         for p in batch.column("print").to_pylist():
             top = int(p[:2])
-            for scale, at in ((top, 2), (top - 1, 2 + SAMPLES)):
+            for scale, at in ((top + 1, 2), (top, 2 + SAMPLES)):
                 for band in range(0, SAMPLES - BAND + 1, BAND):
                     found = p[at + band : at + band + BAND]
                     if found != "-" * BAND:
