@@ -31,7 +31,7 @@ PERIOD = 64
 SAMPLES = 128  # per scale
 BAND = 6  # samples in a band key
 ALIKE = 0.8
-# Prints that share a band key are all compared up to this many, then with one of each group found under the key.
+# Prints under a band key that are compared with another at once; those already in its group are then left out.
 BLOCK = 512
 
 _PAD = ord("-")
@@ -187,10 +187,45 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(prints, pa.string())], names=["key", "print"])
 
 
+class _Held:
+    """The prints of one key as rows, each with the number of its group so far."""
+
+    def __init__(self):
+        self.prints: list[str] = []
+        self.rows, self.tops, self.label = np.empty((4, 2 * SAMPLES), np.uint8), np.empty(4, np.int64), np.empty(4, np.int64)
+
+    def add(self, text: str, least: float, block: int) -> list[str]:
+        """Add a print; returns prints it is alike, one of each group that holds such a print."""
+        n = len(self.prints)
+        if n == len(self.rows):
+            self.rows, self.tops, self.label = (np.concatenate((x, np.empty_like(x))) for x in (self.rows, self.tops, self.label))
+        top, row = int(text[:2]), np.frombuffer(text.encode(), np.uint8)[2:]
+        out = []
+        for start in range(0, n, block):
+            at = np.arange(start, min(start + block, n))
+            # What is in its group already adds nothing.
+            at = at[self.label[at] != n]
+            for step in (-1, 0, 1):
+                same = at[self.tops[at] == top + step]
+                if not len(same):
+                    continue
+                x = row[SAMPLES:] if step < 1 else row[:SAMPLES]
+                y = self.rows[same, SAMPLES:] if step > -1 else self.rows[same, :SAMPLES]
+                any_ = (y != _PAD) | (x != _PAD)
+                near = ((y == x) & any_).sum(axis=1) / np.maximum(1, any_.sum(axis=1)) >= least
+                for j in same[near].tolist():
+                    if self.label[j] != n:
+                        self.label[:n][self.label[:n] == self.label[j]] = n
+                        out.append(self.prints[j])
+        self.prints.append(text)
+        self.rows[n], self.tops[n], self.label[n] = row, top, n
+        return out
+
+
 def _linker(least: float, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Verified links (a, b) between prints that share a key, as many as join them, not all pairs."""
-        key, tried, count = None, [], 0
+        """Verified links (a, b) that join the prints of a key as all its alike pairs do, not all pairs."""
+        key, held = None, _Held()
         for batch in batches:
             a, b = [], []
             keys = batch.column("key").to_numpy()
@@ -202,33 +237,16 @@ def _linker(least: float, block: int):
                 if skip:
                     continue
                 if k != key:
-                    key, tried, count = k, [], 0
-                linked = False
-                for other in tried:
-                    if likeness(other, p) >= least:
-                        a.append(other)
-                        b.append(p)
-                        linked = True
-                count += 1
-                if count <= block or not linked:
-                    tried.append(p)
-                elif count == block + 1:
-                    tried = _leaders(tried, least)
+                    key, held = k, _Held()
+                found = held.add(p, least, block)
+                a += found
+                b += [p] * len(found)
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
 
     return run
 
 
-def _leaders(prints: list[str], least: float) -> list[str]:
-    """One print of each group of alike ones."""
-    out: list[str] = []
-    for p in prints:
-        if not any(likeness(q, p) >= least for q in out):
-            out.append(p)
-    return out
-
-
 def near_groups(docs: DataFrame, least: float = ALIKE, block: int = BLOCK) -> DataFrame:
     """``docs`` as ``doc`` (struct of all their columns) with ``print`` and ``group``, equal for near duplicates.
 
