@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from plumbline.llm import contamination, editprint, exact, pages, pieces, simhash, substring, tokens, toxicity, warc
+from plumbline.llm import bytepairs, contamination, editprint, exact, manifest, pages, pieces, simhash, spelling, substring, tokens, toxicity, warc
 from plumbline.llm.common import table
 from plumbline.session import fresh_path, stage
 
@@ -96,6 +96,32 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of each document's byte-level BPE ids, and the digest of the bytes they decode to."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    out = bytepairs.decoded(bytepairs.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), path, keep_text=False), path)
+    return out.select(
+        "doc.doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of the documents, with one occurrence in 199 misspelled."""
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents"), damage=199))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of each document, and whether the proof holds for it, tampered with where 3 divides a checksum."""
+    docs = table(spark, sf_dir, "documents")
+    lower = F.translate("text", manifest.CAPITALS, manifest.CAPITALS.lower())
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, manifest.leaf({"text": lower}))
+    out = manifest.proved(docs, extra={"tampered": tampered})
+    folded = manifest.folded(F.coalesce("extra.tampered", "leaf"), F.col("steps"))
+    rows = out.select("doc_id", "leaf", "subroot", "root", manifest.proof_digest("steps").alias("proof_sha256"), folded.alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -107,12 +133,110 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_html_extraction": op9_html_extraction,
     "op10_warc": op10_warc,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PLAIN_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+# CRC-32 of a list of bytes b, by the usual table.
+_CRC_TABLE = """crc_table AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM range(256) AS r(i)
+)"""
+_CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295::BIGINT)"
+
+
+def _bytes_of(text: str) -> str:
+    """The UTF-8 bytes of a text of characters up to U+07FF."""
+    return (
+        f"flatten(list_transform(string_split({text}, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] "
+        "ELSE [(192 | (unicode(x) >> 6))::BIGINT, (128 | (unicode(x) & 63))::BIGINT] END))"
+    )
+
+
+def _levels(tree: str, count: int) -> str:
+    """CTEs of the levels above ``tree`` (g, i, h), ``{tree}_0`` and on, with the siblings of each node; the last has one node for each g."""
+    out = []
+    for k in range(count):
+        source = tree if k == 0 else f"(SELECT g, i, any_value(up) AS h FROM (SELECT g, more, CASE WHEN more THEN i // 8 ELSE i END AS i, up FROM {tree}_{k - 1}) GROUP BY g, i)"
+        out.append(f"""{tree}_{k} AS (
+    SELECT *, CASE WHEN more THEN sha256(lft || h || rgt) ELSE h END AS up FROM (
+        SELECT g, i, h, more, CASE WHEN more THEN coalesce(string_agg(h, '') OVER (PARTITION BY g, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') ELSE '' END AS lft,
+            CASE WHEN more THEN coalesce(string_agg(h, '') OVER (PARTITION BY g, i // 8 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') ELSE '' END AS rgt
+        FROM (SELECT *, count(*) OVER (PARTITION BY g) > 1 AS more FROM {source})
+    )
+)""")
+    return ",\n".join(out)
+
+
+def _ways(rows: str, tree: str, count: int) -> str:
+    """CTEs that lead ``rows`` (.., g, i, folded, proof) up the levels of ``tree``."""
+    out = []
+    for k in range(count):
+        out.append(f"""{rows}_{k + 1} AS (
+    SELECT a.* REPLACE (CASE WHEN more THEN a.i // 8 ELSE a.i END AS i, CASE WHEN more THEN sha256(lft || folded || rgt) ELSE folded END AS folded, proof || lft || rgt AS proof)
+    FROM {rows}_{k} a JOIN {tree}_{k} b ON a.g IS NOT DISTINCT FROM b.g AND a.i = b.i
+)""")
+    return ",\n".join(out)
+
+
+def _manifest_sql(levels: int = 8, above: int = 4) -> str:
+    """The manifest for groups of at most 8 to the power of ``levels`` rows and as many groups."""
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    names = ["doc_id", "source", "lang", "n_chars"]
+    whole = " || ".join(map(field, [*names, "text"]))
+    lower = " || ".join(map(field, [*names, "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"]))
+    return f"""
+WITH {_CRC_TABLE},
+leaves AS (
+    SELECT doc_id, lang AS g, sha256({whole}) AS h, CASE WHEN coalesce({_CRC} % 3 = 0, false) THEN sha256({lower}) ELSE sha256({whole}) END AS folded
+    FROM (SELECT *, {_bytes_of("doc_id::VARCHAR")} AS b FROM documents), crc_table
+), docs_0 AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i, '' AS proof FROM leaves),
+lang AS (SELECT g, i, h FROM docs_0),
+{_levels("lang", levels)},
+{_ways("docs", "lang", levels)},
+tops AS (SELECT g AS name, any_value(up) AS h FROM lang_{levels - 1} GROUP BY g),
+crown AS (SELECT 0 AS g, row_number() OVER (ORDER BY encode(name) NULLS FIRST) - 1 AS i, h, name FROM tops),
+{_levels("crown", above)},
+all_0 AS (SELECT d.* REPLACE (c.g AS g, c.i AS i), c.h AS subroot FROM docs_{levels} d JOIN crown c ON d.g IS NOT DISTINCT FROM c.name),
+{_ways("all", "crown", above)}
+SELECT doc_id, h AS leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM all_{above}, (SELECT any_value(up) AS root FROM crown_{above - 1})
+"""
+
+
 SQL: dict[str, str] = {
+    "op12_spelling_variants": f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS k
+    FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL
+), hashed AS (
+    SELECT w, k, {_CRC} AS h FROM (SELECT w, k, {_bytes_of("coalesce(doc_id::VARCHAR, '') || ':' || w")} AS b FROM runs), crc_table
+), words AS (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, sum(k)::BIGINT AS n
+    FROM hashed GROUP BY 1 HAVING sum(k) >= 5 AND length(word) >= 6
+), gaps AS (SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM words, unnest(range(1, length(word) + 1)) AS t(i)),
+shorter AS (SELECT DISTINCT gaps.word AS long, words.word AS short FROM gaps JOIN words ON a || b = words.word),
+near AS (
+    SELECT x.word, y.word AS near FROM gaps x JOIN gaps y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+    UNION ALL SELECT long, short FROM shorter UNION ALL SELECT short, long FROM shorter
+), best AS (
+    SELECT near.word, count(*) OVER (PARTITION BY near.word) AS n_near, near, w.n AS near_n
+    FROM near JOIN words w ON w.word = near QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY w.n DESC, encode(near)) = 1
+), forms AS (
+    SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form, CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+    FROM words LEFT JOIN best ON best.word = words.word
+), chain AS (
+    SELECT word, word AS root, form AS next FROM forms
+    UNION ALL SELECT chain.word, forms.word, forms.form FROM chain JOIN forms ON forms.word = chain.next
+)
+SELECT forms.*, root FROM forms JOIN chain ON chain.word = forms.word WHERE next IS NULL
+""",
+    "op13_merkle_manifest": _manifest_sql(),
     "op3_benchmark_decontamination": f"""
 WITH d AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {_PLAIN_WORDS} AS w FROM benchmark),
