@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import contamination, near, pieces, substring, toxicity
+from plumbline.llm import contamination, pieces, simhash, substring, toxicity
 from plumbline.session import fresh_path
 
 # Documents with at least this score are rejected.
@@ -24,8 +24,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word Jaccard similarity of 0.8 and more) the document with the smallest id."""
-    return near.representatives(docs)
+    """Of each group of documents linked by fingerprints of three-word shingles, at 3 or fewer differing bits, that with the smallest id."""
+    return simhash.representatives(docs)
 
 
 def trimmed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
