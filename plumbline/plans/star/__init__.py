@@ -6,10 +6,10 @@ from plumbline.plans.star.base import Query
 
 
 def all_queries() -> dict[str, Query]:
-    from plumbline.plans.star import events, indicators, literacy, operations, rows
+    from plumbline.plans.star import epochs, events, indicators, literacy, operations, rows
 
     out: dict[str, Query] = {}
-    for module in (rows, indicators, events, operations, literacy):
+    for module in (rows, indicators, events, epochs, operations, literacy):
         duplicate = out.keys() & module.QUERIES.keys()
         if duplicate:
             raise ValueError(f"query names used twice: {sorted(duplicate)}")

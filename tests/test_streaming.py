@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import json
 
@@ -9,9 +10,10 @@ from pyspark.sql import functions as F
 from plumbline.operators import observe
 from plumbline.plans.literacy import suites
 from plumbline.session import stage
+from plumbline.sources import files
 from plumbline.sources.messages import MESSAGE_SCHEMA, file_messages, from_kafka_layout
 from plumbline.streaming import contract as c
-from plumbline.streaming import router, views
+from plumbline.streaming import epochs, router, views
 from plumbline.streaming.alerts import AlertPolicy, sustained_breaches
 
 RUN = "blue-run-7"
@@ -240,6 +242,70 @@ def test_replayed_epoch_replaces_its_rows(spark, tmp_path):
     assert sinks.raw(spark).count() == VALID + BROKEN and sinks.dead_letters(spark).count() == BROKEN
 
 
+class Stopping(router.RouteSinks):
+    """Fails before one of the outputs is written."""
+
+    def write(self, name, epoch, rows):
+        if name == "quarantine":
+            raise OSError("no space left")
+        return super().write(name, epoch, rows)
+
+
+def test_epoch_that_stopped_between_sinks_counts_nowhere(spark, tmp_path):
+    sinks = router.RouteSinks(str(tmp_path))
+    batch = spark.createDataFrame(RUN_MESSAGES, MESSAGE_SCHEMA)
+    with pytest.raises(OSError):
+        router.route_batch(batch, 0, Stopping(str(tmp_path)))
+    assert len(files.listed(spark, f"{tmp_path}/typed/_epoch=0")) == 1
+    assert [sinks.committed(spark).read(n).count() for n in router.SCHEMAS] == [0, 0, 0, 0]
+    router.route_batch(batch, 0, sinks)
+    before = sinks.committed(spark)
+    router.route_batch(batch, 1, sinks)
+    assert sinks.raw(spark).count() == 2 * before.read("raw").count() == 2 * (VALID + BROKEN)
+    # The attempt that stopped goes, what counts stays.
+    assert sinks.vacuum(spark) == []
+    gone = sinks.vacuum(spark, older_than=dt.timedelta(0))
+    assert len(gone) == 3 and sinks.typed(spark).count() == 2 * VALID
+
+
+def test_compaction_retention_and_clearing(spark, tmp_path):
+    sinks = router.RouteSinks(str(tmp_path))
+    batch = spark.createDataFrame(RUN_MESSAGES, MESSAGE_SCHEMA)
+    for epoch in range(5):
+        router.route_batch(batch, epoch, sinks, dt.datetime(2024, 3, 1 + epoch // 2, 12, tzinfo=dt.timezone.utc))
+    opened, count = sinks.committed(spark), sinks.raw(spark).count()
+    new = sinks.compact(spark, before=dt.date(2024, 3, 2))
+    assert {(e.sink, e.first, e.last, e.day) for e in new} == {(n, 0, 1, "2024-03-01") for n in router.SCHEMAS}
+    assert len(sinks.compact(spark)) == 4 and sinks.compact(spark) == []
+    now = sinks.committed(spark)
+    assert len(now.manifest.folders("raw")) == 3 and now.read("raw").count() == count == opened.read("raw").count()
+    assert sorted(map(str, now.read("dead_letter").collect())) == sorted(map(str, opened.read("dead_letter").collect()))
+    # Another run's rewriting of the same folders comes too late.
+    gone = list(opened.manifest.entries[:8])
+    assert not sinks.log(spark).swap(gone, [epochs.Entry("raw", "raw/late", 0, 1, "2024-03-01")])
+    sinks.log(spark).expire(dt.date(2024, 3, 2))
+    assert sinks.raw(spark).count() == 3 * (VALID + BROKEN)
+    assert len(sinks.vacuum(spark, older_than=dt.timedelta(0), kept=1)) == 20
+    assert sinks.typed(spark).count() == 3 * VALID and len(files.listed(spark, f"{tmp_path}/_manifest")) == 1
+    router.route_batch(batch, 4, sinks)  # replayed after its commit
+    assert sinks.typed(spark).count() == 3 * VALID
+
+
+def test_of_two_writers_of_a_version_one_succeeds(spark, tmp_path):
+    log = epochs.EpochLog(spark, str(tmp_path))
+    assert log.current() == epochs.Manifest()
+    assert files.put_new(spark, f"{tmp_path}/_manifest/one", "a") and not files.put_new(spark, f"{tmp_path}/_manifest/one", "b")
+    assert files.read_text(spark, f"{tmp_path}/_manifest/one") == "a" and list(files.listed(spark, f"{tmp_path}/_manifest")) == ["one"]
+    first, other = [], epochs.EpochLog(spark, str(tmp_path))
+
+    def slowly(m):
+        if not first:  # the other writer commits between reading and writing
+            first.append(other.commit(0, dt.date(2024, 1, 1), {"raw": "raw/a"}))
+        return dataclasses.replace(m, entries=(*m.entries, epochs.Entry("raw", "raw/b", 1, 1, "2024-01-01")))
+
+    assert log.update(slowly).folders("raw") == ["raw/a", "raw/b"] and log.current().version == 2
+
+
 def test_latest_ties_and_batch_dedup(spark):
     rows = judged(spark, [message(event(IND, event_id=f"ev-{k}"), k) for k in range(3)])
     newest = views.latest_events(c.typed_rows(rows, at())).collect()
@@ -251,7 +317,7 @@ def test_latest_ties_and_batch_dedup(spark):
 
 def test_streaming_views_and_alert(spark, routed, tmp_path):
     base, _ = routed
-    typed = spark.readStream.schema(c.TYPED_SCHEMA + ", _epoch long").parquet(f"{base}/out/typed").drop("_epoch")
+    typed = spark.readStream.schema(c.TYPED_SCHEMA + ", _epoch long, _try string").parquet(f"{base}/out/typed").drop("_epoch", "_try")
     q = views.latest_events_stream(typed).writeStream.format("memory").queryName("latest").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("latest").count() == VALID + 1
