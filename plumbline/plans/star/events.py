@@ -14,7 +14,7 @@ from plumbline.plans.star.base import Query, rounded, stamp, table
 from plumbline.session import fresh_path, stage
 from plumbline.sources.messages import file_messages
 from plumbline.streaming import contract
-from plumbline.streaming.alerts import AlertPolicy, sustained_breaches
+from plumbline.streaming.alerts import AlertPolicy, alert_episodes, sustained_breaches
 from plumbline.streaming.router import RouteSinks, deduplicated_table, start_router
 from plumbline.streaming.views import event_summary, latest_events
 
@@ -294,13 +294,19 @@ FROM s LEFT JOIN l ON l.simulation_run_id = s.simulation_run_id AND l.event_type
 # --- alerts -----------------------------------------------------------------------------------------------------
 
 
-def threshold_alert(spark: SparkSession, sf: str) -> DataFrame:
-    """Sustained high values per event type, the month of events played sixty times faster."""
+def fast_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """The values of each event type as metric samples, the month of events played sixty times faster."""
     start = F.lit("2024-01-01 00:00:00").cast("timestamp")
     seconds = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 60_000_000) - F.floor(F.unix_micros(start) / 60_000_000)
-    samples = table(spark, sf, "events").select(
+    return table(spark, sf, "events").select(
         F.col("event_type").alias("series"), F.timestamp_seconds(F.unix_seconds(start) + seconds).alias("ts"), "value"
     )
+
+
+def threshold_alert(spark: SparkSession, sf: str) -> DataFrame:
+    """Sustained high values per event type."""
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    samples = fast_samples(spark, sf)
     breaches = sustained_breaches(samples, AlertPolicy("high_value", 20.0))
     origin = F.unix_seconds(start)
     return breaches.select(
@@ -318,6 +324,21 @@ FROM (SELECT DISTINCT series, unnest(range(minute - 4, minute + 1)) AS minute FR
 JOIN minutes b ON b.series = a.series AND b.minute BETWEEN a.minute AND a.minute + 4
 GROUP BY a.series, a.minute HAVING count(*) = 5 AND min(b.peak) > 20"""
 
+def alert_episode_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """High values per event type, one row for each time that they last."""
+    origin = F.unix_seconds(F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    episodes = alert_episodes(fast_samples(spark, sf), AlertPolicy("high_value", 20.0))
+    return episodes.withColumns({c: F.unix_seconds(c) - origin for c in ("opened_at", "closed_at")})
+
+
+EPISODES_SQL = """
+WITH minutes AS (
+  SELECT event_type AS series, floor(date_diff('second', TIMESTAMP '2024-01-01', ts) / 3600)::BIGINT AS minute, max(value) AS peak
+  FROM events GROUP BY 1, 2 HAVING max(value) > 20),
+islands AS (SELECT *, minute - row_number() OVER (PARTITION BY series ORDER BY minute) AS island FROM minutes)
+SELECT 'high_value' AS policy, series, min(minute) * 60 AS opened_at, (max(minute) + 1) * 60 AS closed_at, count(*) AS minutes, max(peak) AS peak
+FROM islands GROUP BY series, island HAVING count(*) >= 5"""
+
 # --- the stream itself ------------------------------------------------------------------------------------------
 
 
@@ -366,6 +387,7 @@ QUERIES: dict[str, Query] = {
     "event_latest": Query(event_latest, LATEST_SQL),
     "event_latency_p95": Query(event_latency_p95, LATENCY_SQL),
     "threshold_alert": Query(threshold_alert, ALERT_SQL),
+    "alert_episodes": Query(alert_episode_rows, EPISODES_SQL),
     "event_raw_rows": Query(event_raw_rows, RAW_SQL),
     "streaming_suite": Query(streaming_suite, STREAMING_SUITE_SQL),
     "dashboard_streaming": Query(dashboard_streaming, DASHBOARD_STREAMING_SQL),

@@ -43,3 +43,20 @@ def sustained_breaches(samples: DataFrame, policy: AlertPolicy, delay: str | Non
         F.lit(policy.name).alias("policy"), "series", F.col("span.start").alias("breach_start"),
         F.col("span.end").alias("breach_end"), "lowest_peak",
     )
+
+
+def alert_episodes(samples: DataFrame, policy: AlertPolicy, delay: str | None = None) -> DataFrame:
+    """One row for each stretch of minutes above the threshold, in a row and at least ``policy.minutes`` long.
+
+    ``opened_at`` is the start of its first minute, ``closed_at`` the end of its last, ``peak`` its highest value. A
+    minute without samples or at most at the threshold ends it. Minutes above it are joined by session windows, in
+    tables and streams alike; a stream gives an episode out once the watermark has passed its end.
+    """
+    above = aligned(samples, delay).filter(F.col("peak") > policy.threshold)
+    # Minutes in a row are sixty seconds apart, others at least twice that.
+    stretch = F.session_window(F.window_time("window"), "90 seconds").alias("stretch")
+    episodes = above.groupBy(stretch, "series").agg(
+        F.min("window.start").alias("opened_at"), F.max("window.end").alias("closed_at"), F.max("peak").alias("peak"), F.count(F.lit(1)).alias("minutes")
+    )
+    long_enough = episodes.filter(F.col("minutes") >= policy.minutes)
+    return long_enough.select(F.lit(policy.name).alias("policy"), "series", "opened_at", "closed_at", "minutes", "peak")

@@ -14,7 +14,7 @@ from plumbline.sources import files
 from plumbline.sources.messages import MESSAGE_SCHEMA, file_messages, from_kafka_layout
 from plumbline.streaming import contract as c
 from plumbline.streaming import epochs, router, views
-from plumbline.streaming.alerts import AlertPolicy, sustained_breaches
+from plumbline.streaming.alerts import AlertPolicy, alert_episodes, sustained_breaches
 
 RUN = "blue-run-7"
 T0 = dt.datetime(2027, 3, 4, 9, 30, 0)
@@ -331,3 +331,21 @@ def test_streaming_views_and_alert(spark, routed, tmp_path):
     q = sustained_breaches(source, AlertPolicy("backlog", 100), "1 minute").writeStream.format("memory").queryName("alerts").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("alerts").count() == 4
+
+
+def test_alert_episodes_of_tables_and_streams(spark, tmp_path):
+    """Two stretches with a minute between, one too short, another series; the last sample moves the watermark on."""
+    high = [*range(0, 6), *range(7, 13), *range(20, 24)]
+    samples = [("s", T0 + dt.timedelta(minutes=m, seconds=20), 150.0 + m) for m in high]
+    samples += [("s", T0 + dt.timedelta(minutes=m, seconds=40), 10.0) for m in (1, 6, 13)] + [("t", T0 + dt.timedelta(minutes=m), 101.0) for m in range(5)]
+    schema, policy, folder = "series string, ts timestamp, value double", AlertPolicy("backlog", 100), str(tmp_path / "samples")
+    for part in (samples[::2], samples[1::2], [("s", T0 + dt.timedelta(hours=3), 0.0)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+    minute = lambda m: T0 + dt.timedelta(minutes=m)
+    want = {("s", minute(0), minute(6), 6, 155.0), ("s", minute(7), minute(13), 6, 162.0), ("t", minute(0), minute(5), 5, 101.0)}
+    table = alert_episodes(spark.read.schema(schema).parquet(folder), policy)
+    assert {tuple(r)[1:] for r in table.collect()} == want
+    stream = alert_episodes(spark.readStream.schema(schema).parquet(folder), policy, "10 minutes")
+    q = stream.writeStream.format("memory").queryName("episodes").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert {tuple(r)[1:] for r in spark.table("episodes").collect()} == want
