@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import groups, small_batches, with_doc
 
 _TAG = re.compile(r"<(?:!--(?P<comment>.*?)(?:-->|$)|[!?][^>]*(?:>|$)|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)(?:>|$))", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|style|itemprop|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
+_ATTRIBUTE = re.compile(r"(class|id|role|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
 _NAME_PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
-# Elements whose content is never text of the page.
-_DROPPED = {"script", "style", "template", "noscript", "iframe", "object", "svg", "math", "select", "textarea", "button", "canvas", "audio", "video", "title", "datalist"}
-_RAW = {"script", "style", "textarea", "title", "iframe", "noscript", "template"}
+# Elements whose content is never text of the page: scripts, styles, inert markup, drawings, and the controls of forms.
+_DROPPED = {"script", "style", "template", "iframe", "svg", "select", "textarea", "button", "title", "datalist"}
+_RAW = {"script", "style", "textarea", "title", "iframe", "template"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _BLOCK = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption",
@@ -57,7 +57,6 @@ class Element:
     for_: float = 0.0
     against: float = 0.0
     article: bool = False
-    hidden: bool = False
 
 
 @dataclass
@@ -71,7 +70,7 @@ class Block:
 
 
 def _element(name: str, rest: str, number: int, parent: Element) -> Element:
-    e = Element(name, number, parent.for_, parent.against, parent.article, parent.hidden)
+    e = Element(name, number, parent.for_, parent.against, parent.article)
     attributes = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest)} if rest.strip(" /") else {}
     names = {p.lower() for k in ("class", "id") for p in _NAME_PART.findall(attributes.get(k, ""))}
     role = attributes.get("role", "").lower()
@@ -83,14 +82,41 @@ def _element(name: str, rest: str, number: int, parent: Element) -> Element:
         e.against = max(e.against, 3.0 if e.article else _STRONG)
     elif names & _FOR_NAMES:
         e.for_ = max(e.for_, 3.0)
-    style = attributes.get("style", "").replace(" ", "").lower()
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style:
-        e.hidden = True
     return e
 
 
+class _Skipper:
+    """Finds where a dropped element of a page ends."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.without: set[str] = set()  # names with no further end tag
+
+    def _end(self, name: str, at: int) -> re.Match | None:
+        found = None if name in self.without else re.compile(rf"</{name}\b[^>]*(?:>|$)", re.I).search(self.page, at)
+        if found is None:
+            self.without.add(name)
+        return found
+
+    def past(self, name: str, at: int, holder: str | None) -> int:
+        """Raw text runs to its end tag or the end of the page; other elements end with the block that holds them at the latest."""
+        end = self._end(name, at)
+        if name in _RAW:
+            return end.end() if end else len(self.page)
+        depth, close = 0, None
+        if holder and self._end(holder, at):
+            for m in re.compile(rf"<(/?){holder}\b", re.I).finditer(self.page, at, end.start() if end else len(self.page)):
+                depth += -1 if m[1] else 1
+                if depth < 0:
+                    close = m.start()
+                    break
+        # Of an element that nothing ends only the tag is left out.
+        return close if close is not None else end.end() if end else at
+
+
 def blocks(page: str) -> list[Block]:
-    """Text blocks in page order; comments, markup, scripts, styles and hidden elements are left out."""
+    """Text blocks in page order; comments, markup, scripts, styles and form controls are left out."""
+    skipper = _Skipper(page)
     root = Element("", 0)
     stack, out, at, numbered, links = [root], [], 0, 0, 0
     current = Block(root)
@@ -103,7 +129,7 @@ def blocks(page: str) -> list[Block]:
 
     def text(a: int, b: int) -> None:
         piece = page[a:b]
-        if piece and not stack[-1].hidden:
+        if piece:
             current.pieces.append(piece)
             if not piece.isspace():
                 n = len(piece)
@@ -138,8 +164,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in _DROPPED:
             if name in _RAW or not m["rest"].endswith("/"):
-                found = re.compile(rf"</{name}\b[^>]*(?:>|$)", re.I).search(page, at)
-                at = found.end() if found else len(page)
+                at = skipper.past(name, at, next((e.name for e in reversed(stack) if e.name in _BLOCK), None))
             continue
         if name in _BLOCK:
             if stack[-1].name == "p" or any(e.name == "p" for e in stack[-4:]):

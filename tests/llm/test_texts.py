@@ -232,7 +232,8 @@ def test_main_text_of_a_page_and_of_broken_ones():
     assert pages.main_text("") == "" and pages.main_text("<!-- only a comment") == "" and pages.main_text("plain words") == "plain words"
     assert pages.main_text("<article><p>Cut off in the middle of a wo") == "Cut off in the middle of a wo"
     assert pages.main_text("<nav>a</nav><footer>b</footer>") == ""
-    assert pages.main_text("<article><p>a < b & c > d</p><p hidden>gone</p></article>") == "a < b & c > d"
+    # The contract names what goes; hidden text is not in it.
+    assert pages.main_text("<article><p>a < b & c > d</p><p hidden>kept</p></article>") == "a < b & c > d\n\nkept"
     assert pages.main_text('<div class="menu">m</div><div class="content"><p>' + "Long text of a page. " * 9 + "</p></div>").startswith("Long text")
 
 
@@ -296,3 +297,28 @@ def test_archives_refuse_what_does_not_fit(spark, tmp_path):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write_archives(empty, str(tmp_path / "none"))
     assert warc.read_archives(spark, str(tmp_path / "none")).count() == 0
+
+
+LONG = "This paragraph belongs to the article and is long enough to be told from a line in a menu, with commas, and stops."
+
+
+@pytest.mark.parametrize(
+    "inside, want",
+    [
+        (f'<p aria-hidden="true">Hidden one. {LONG}</p><p style="display: none" hidden>Hidden two. {LONG}</p>', ["Hidden one. " + LONG, "Hidden two. " + LONG]),
+        ("<p>The value is <math><mi>x</mi></math> <object>42</object> <noscript>exactly</noscript>, as was said above by the authors.</p>", ["The value is x 42 exactly, as was said above by the authors."]),
+        (f"<p>Before <button>press</p><p>Second. {LONG}</p><p>Third. {LONG}</p>", ["Before", "Second. " + LONG, "Third. " + LONG]),
+        (f"<p>One <select><option>a</p><p>Two. {LONG}</p><p>x<button>gone</button> y</p>", ["One", "Two. " + LONG, "x y"]),
+        (f"<p>First. {LONG}</p><script>never(<p>closed)</p><p>Lost in the script.</p>", ["First. " + LONG]),
+    ],
+)
+def test_nothing_but_the_named_kinds_is_dropped(inside, want):
+    page = f"<html><body><nav><a href=x>Home</a></nav><article><h1>Heading of it</h1><p>{LONG}</p>{inside}<p>{LONG}</p></article></body></html>"
+    got = pages.main_text(page).split("\n\n")
+    tail = [] if "never(" in inside else [LONG]
+    assert got == ["Heading of it", LONG, *want, *tail]
+
+
+def test_many_unclosed_elements_take_no_square_of_time():
+    page = "<div>" + "<button>text " * 100_000
+    assert pages.main_text(page).startswith("text text")
