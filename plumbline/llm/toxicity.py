@@ -7,6 +7,7 @@ whether they stand inside quotation marks (quoting) or bare (abuse).
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter
@@ -19,15 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import groups, small_batches, with_doc
+from plumbline.session import stage
 
 # The classifier is fitted on at most this many labelled rows, taken in hash order of their ids.
 SAMPLE = 20_000
-# At most this many terms in the lexicon.
-TERMS = 64
+# The chance that a lexicon holds any term which marks toxic rows by accident only.
+ERROR = 0.05
 
 _TOKEN = re.compile(r"[^\W_]+")
 _PREFIX = range(4, 8)
-_LONGEST = 32  # letters of a word that take part in a match
 _OPEN, _CLOSE = "“„«‹", "”»›"
 _REACH = 160  # characters around a hit searched for quotation marks
 _NOTHING = (-1, 0)
@@ -155,11 +156,10 @@ class Reader:
         """(term, 1 exact or 2 misspelt), or (-1, 0)."""
         if len(self.known) >= 200_000:
             self.known.clear()
-        short = word[:_LONGEST]
-        number, kind = self.trie.exact(short), 1
+        number, kind = self.trie.exact(word), 1
         if number < 0:
-            speller = self.spellers.get(allowance(len(short)))
-            number, kind = speller.near(short) if speller else -1, 2
+            speller = self.spellers.get(allowance(len(word)))
+            number, kind = speller.near(word) if speller else -1, 2
         self.known[word] = out = (number, kind) if number >= 0 else _NOTHING
         return out
 
@@ -204,7 +204,6 @@ def units(text: str) -> Counter:
     """Words and word beginnings of a text with their counts."""
     out: Counter = Counter()
     for word, n in Counter(_TOKEN.findall(text.lower())).items():
-        word = word[:_LONGEST]
         if len(word) >= 4:
             out[word] += n
         for size in _PREFIX:
@@ -230,6 +229,36 @@ def _unit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def evidence(toxic_rows: F.Column, clean_rows: F.Column, share: float) -> F.Column:
+    """A bound on how unlikely a unit is in so many toxic rows if it does not mark them, as a negative logarithm.
+
+    Of the rows with the unit, each is toxic with the probability ``share``; the bound is Chernoff's, which holds for
+    counts of any size. Units at or below that share get zero.
+    """
+
+    def part(k: F.Column, of: F.Column, p: float) -> F.Column:
+        return F.when(k > 0, k * F.log(k / (of * F.lit(p)))).otherwise(0.0)
+
+    both = toxic_rows + clean_rows
+    return F.when(toxic_rows > both * F.lit(share), part(toxic_rows, both, share) + part(clean_rows, both, 1 - share)).otherwise(0.0)
+
+
+def unlike(marks: list) -> list:
+    """Units, best first, without those that add nothing beside a better one: one begins with the other."""
+    kept: list = []
+    stems: list[str] = []  # in order
+    sizes: set[int] = set()
+    for r in marks:
+        stem = r.unit.rstrip("*")
+        at = bisect.bisect_left(stems, stem)
+        if at < len(stems) and stems[at].startswith(stem) or any(stem[:n] == stems[i] for n in sizes if (i := bisect.bisect_left(stems, stem[:n])) < len(stems)):
+            continue
+        kept.append(r)
+        stems.insert(at, stem)
+        sizes.add(len(stem))
+    return kept
+
+
 def _reader(model: Model) -> Reader:
     return Reader(model.terms, model.weights, model.rates)
 
@@ -248,7 +277,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: F.Column, sample: int = SAMP
     """Learn lexicon and weights from labelled rows whose ``doc_id`` satisfies ``usable``.
 
     At most ``sample`` label rows are used and sent to the executors; repeated labels of a row count once (toxic if
-    any says so), null labels not at all. Without a toxic and a clean row every score is the share of toxic rows.
+    any says so), null labels not at all. Every unit of theirs whose :func:`evidence` stands against the number of
+    units tried becomes a term, so the lexicon is bounded by the words of the sample alone. Without a toxic and a clean row every score is the share of toxic rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -262,22 +292,12 @@ def fit(docs: DataFrame, labels: DataFrame, usable: F.Column, sample: int = SAMP
     clean = total - toxic
     if not toxic or not clean:
         return Model([], [], [], [], [], [math.log((toxic + 0.5) / (clean + 0.5))])
-    share = (F.col("toxic_rows") + F.col("clean_rows")) / F.lit(float(total))
-    gap = F.col("toxic_rows") / F.lit(float(toxic)) - F.col("clean_rows") / F.lit(float(clean))
-    z = gap / F.sqrt(share * (1 - share) * F.lit(1 / toxic + 1 / clean) + F.lit(1e-9))
-    best = (
-        sums.where(F.col("toxic_rows") >= max(3, toxic // 200)).withColumn("z", z).where(F.col("z") > 4.0)
-        # A word is preferred to a beginning that marks hardly more.
-        .orderBy(F.desc(F.col("z") * F.when(F.col("unit").endswith("*"), 0.97).otherwise(1.0)), F.desc(F.length("unit")), "unit").limit(16 * TERMS).collect()
-    )
-    terms: list = []
-    for r in best:
-        stem = r.unit.rstrip("*")
-        # A term adds nothing beside one that it begins with or that begins with it and was the better mark.
-        if not any(stem.startswith(t.unit.rstrip("*")) or t.unit.startswith(stem) for t in terms):
-            terms.append(r)
-        if len(terms) == TERMS:
-            break
+    sums = stage(sums, "toxicity-units")
+    found = evidence(F.col("toxic_rows"), F.col("clean_rows"), toxic / total)
+    marks = sums.withColumn("found", found).where(F.col("found") > math.log(max(1, sums.count()) / ERROR))
+    # A word is preferred to a beginning that marks hardly more.
+    rank = F.desc(F.col("found") * F.when(F.col("unit").endswith("*"), 0.94).otherwise(1.0))
+    terms = unlike(marks.orderBy(rank, F.desc(F.length("unit")), "unit").collect())
     words = 250.0 * clean  # only the scale of the rates depends on it, and the regression takes that up
     model = Model(
         [r.unit for r in terms],

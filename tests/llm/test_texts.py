@@ -5,9 +5,11 @@ from __future__ import annotations
 import gzip
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -192,6 +194,36 @@ def labelled(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, toxic int")
 
 
+def test_lexicon_takes_every_mark_and_whole_words(spark):
+    """Ninety marks, one of them forty letters long, whose first 39 letters alone mark nothing."""
+    rng = random.Random(4)
+    marks = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}" + "".join(rng.choices("nopqrstuvwxyz", k=8)) for i in range(90)]
+    long = "abcdefghijklm" * 3
+    rows = [(i, f"plain words stand here {long}a and {marks[i // 4 % 90]} {marks[i // 4 * 7 % 90]} {long}z" if i % 4 == 0 else f"plain words stand here {long}a and there", i % 4 == 0) for i in range(4000)]
+    frame_ = spark.createDataFrame([(i, t, int(x)) for i, t, x in rows], "doc_id long, text string, toxic int")
+    model = toxicity.fit(frame_.select("doc_id", "text"), frame_.select("doc_id", "toxic"), F.lit(True))
+    assert {m[:4] for m in marks} <= {t[:4] for t in model.terms}
+    assert f"{long}z" in model.terms
+    reader = toxicity.Reader(model.terms, model.weights, model.rates)
+    number = model.terms.index(f"{long}z")
+    assert reader.verdict(f"{long}z") == (number, 1) and reader.verdict(f"{long}{long}z") == (-1, 0) and reader.verdict(f"{long}xz") == (number, 2)
+
+
+def test_evidence_bounds_the_binomial_tail(spark):
+    counts = [(k, n - k) for n in (3, 10, 40) for k in range(n + 1)]
+    frame_ = spark.createDataFrame(counts, "t long, c long")
+    for share in (0.05, 0.4):
+        for r in frame_.withColumn("e", toxicity.evidence(F.col("t"), F.col("c"), share)).collect():
+            n = r.t + r.c
+            tail = sum(math.comb(n, k) * share**k * (1 - share) ** (n - k) for k in range(r.t, n + 1))
+            assert tail <= math.exp(-r.e) * (1 + 1e-9) and (r.e > 0) == (r.t > n * share)
+
+
+def test_unlike_keeps_the_better_of_two_that_begin_alike():
+    marks = [SimpleNamespace(unit=u) for u in ("rogue*", "rogues", "rog", "fool", "fo*", "foolish", "a", "able", "rage")]
+    assert [m.unit for m in toxicity.unlike(marks)] == ["rogue*", "fool", "a", "rage"]
+
+
 def test_toxicity_learns_from_the_given_rows_only(spark, odd, none):
     rows = labelled(spark).cache()
     labels = rows.select("doc_id", "toxic")
