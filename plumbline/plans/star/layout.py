@@ -11,6 +11,7 @@ from plumbline.operators.content import content_summary, partition_differences,
 from plumbline.operators.quality import union_all
 from plumbline.plans.star.base import Query, table
 from plumbline.session import fresh_path, stage
+from plumbline.sources.buckets import attach_bucketed, match_bucketed, write_bucketed
 from plumbline.sources.snapshots import read_snapshot, write_snapshot
 from plumbline.sources.tables import Store
 
@@ -80,7 +81,51 @@ UNION ALL SELECT 'row', changed, 1, 1, 'CHANGED' FROM odd
 UNION ALL SELECT 'row', missing, 1, 0, 'MISSING' FROM odd
 UNION ALL SELECT 'row', doubled, 1, 2, 'REPEATED' FROM odd"""
 
+BUCKETS = 16
+SIDES = ("MATCH", "ONLY_ORDERED", "ONLY_SHIPPED")
+
+
+def exchanges(df: DataFrame) -> int:
+    """Steps of the plan that move rows between tasks."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def bucketed_products(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and shipped lines of each customer and year, with lines that came back, matched by their common buckets.
+
+    Three tables are joined; ``moved`` says whether the plan moves any row between tasks after they are written.
+    """
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("customer"), F.year("o_orderdate").alias("ordered"), "o_totalprice")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", F.year("l_shipdate").alias("year"), "l_quantity", "l_returnflag")
+    ordered = orders.groupBy(F.col("ordered").alias("year"), "customer").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("value"))
+    shipped = stage(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("year", "customer", "l_quantity", "l_returnflag"), "shipped")
+    quantity = shipped.groupBy("year", "customer").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("quantity"))
+    returned = shipped.where("l_returnflag = 'R'").groupBy("year", "customer").agg(F.count(F.lit(1)).alias("n_returned"))
+    folder, keys = fresh_path(spark, "buckets"), ["year", "customer"]
+    run = folder.rpartition("-")[2]
+    a, b, c = (
+        write_bucketed(rows, f"{name}_{run}", f"{folder}/{name}", keys, BUCKETS)
+        for name, rows in (("ordered", ordered), ("quantity", quantity), ("returned", returned))
+    )
+    shipments = attach_bucketed(b, c, {"n_returned": "n_returned"})
+    values = {n: n for n in ("n_lines", "quantity", "n_returned")}
+    matched = match_bucketed(a, shipments, {"n_orders": "n_orders", "value": "value"}, values, SIDES, "match_status")
+    out = matched.withColumns({"value": F.round("value", 2), "n_returned": F.coalesce("n_returned", F.lit(0))})
+    return out.withColumn("moved", F.lit(exchanges(out) > 0))
+
+
+BUCKETED_SQL = """
+WITH o AS (SELECT year(o_orderdate) AS year, o_custkey AS customer, count(*) AS n_orders, sum(o_totalprice) AS value FROM orders GROUP BY ALL),
+l AS (SELECT year(l_shipdate) AS year, o_custkey AS customer, count(*) AS n_lines, sum(l_quantity) AS quantity,
+        count(*) FILTER (l_returnflag = 'R') AS n_returned
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)
+SELECT coalesce(o.year, l.year) AS year, coalesce(o.customer, l.customer) AS customer, n_orders, round(value, 2) AS value, n_lines, quantity,
+       coalesce(n_returned, 0) AS n_returned,
+       CASE WHEN l.year IS NULL THEN 'ONLY_ORDERED' WHEN o.year IS NULL THEN 'ONLY_SHIPPED' ELSE 'MATCH' END AS match_status, false AS moved
+FROM o FULL JOIN l ON o.year = l.year AND o.customer = l.customer"""
+
 QUERIES: dict[str, Query] = {
     "clustered_layout": Query(clustered_layout, LAYOUT_SQL),
+    "bucketed_products": Query(bucketed_products, BUCKETED_SQL),
     "content_reconciliation": Query(content_reconciliation, CONTENT_SQL),
 }
