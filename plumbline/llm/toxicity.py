@@ -28,6 +28,8 @@ SAMPLE = 20_000
 ERROR = 0.05
 
 _TOKEN = re.compile(r"[^\W_]+")
+_GAP = re.compile(r"[\W_]")
+_STRETCH = 1 << 16  # characters of a text whose words are held at once
 _PREFIX = range(4, 8)
 _OPEN, _CLOSE = "“„«‹", "”»›"
 _REACH = 160  # characters around a hit searched for quotation marks
@@ -35,6 +37,16 @@ _NOTHING = (-1, 0)
 _WINDOW = 12  # words around a hit in which further hits count as a cluster
 
 
+def _stretches(lower: str, size: int | None = None) -> Iterator[list[str]]:
+    """The words of a text in order, some of them at a time, so that a long text never becomes one long list."""
+    at, size = 0, size or _STRETCH
+    while at < len(lower):
+        gap = _GAP.search(lower, min(at + size, len(lower)))
+        end = gap.start() if gap else len(lower)
+        yield _TOKEN.findall(lower, at, end)
+        at = end
+
+
 class Trie:
     """Lexicon terms by letter; a term ending in ``*`` matches every word that begins with it."""
 
@@ -165,14 +177,14 @@ class Reader:
 
     def features(self, text: str) -> list[float]:
         lower = text.lower()
-        words = _TOKEN.findall(lower)
         get = self.known.get
-        hits = []
-        for i, w in enumerate(words):
-            v = get(w) or self.verdict(w)
-            if v[1]:
-                hits.append((i, *v))
-        n = len(words)
+        hits, n = [], 0
+        for words in _stretches(lower):
+            for i, w in enumerate(words, n):
+                v = get(w) or self.verdict(w)
+                if v[1]:
+                    hits.append((i, *v))
+            n += len(words)
         exact = Counter(t for _, t, kind in hits if kind == 1)
         total = sum(c * self.weights[t] for t, c in exact.items())
         # How far the best term's count exceeds what clean text of this length would give (a log-likelihood ratio).
@@ -188,10 +200,9 @@ class Reader:
 
     def quoted(self, lower: str, hits: list) -> int:
         """Hits with an opening mark before and a closing one behind within reach."""
-        at = [m.span() for m in _TOKEN.finditer(lower)]
+        wanted = {i for i, _, _ in hits}
         count = 0
-        for i, _, _ in hits:
-            a, b = at[i]
+        for a, b in (m.span() for i, m in enumerate(_TOKEN.finditer(lower)) if i in wanted):
             before, after = lower[max(0, a - _REACH) : a], lower[b : b + _REACH]
             line = before.rpartition("\n")[2]
             plain = line.count('"') % 2 == 1 and '"' in after.partition("\n")[0]
@@ -203,7 +214,10 @@ class Reader:
 def units(text: str) -> Counter:
     """Words and word beginnings of a text with their counts."""
     out: Counter = Counter()
-    for word, n in Counter(_TOKEN.findall(text.lower())).items():
+    words: Counter = Counter()
+    for some in _stretches(text.lower()):
+        words.update(some)
+    for word, n in words.items():
         if len(word) >= 4:
             out[word] += n
         for size in _PREFIX:

@@ -209,6 +209,15 @@ def test_lexicon_takes_every_mark_and_whole_words(spark):
     assert reader.verdict(f"{long}z") == (number, 1) and reader.verdict(f"{long}{long}z") == (-1, 0) and reader.verdict(f"{long}xz") == (number, 2)
 
 
+def test_stretches_hold_all_words_in_order():
+    rng = random.Random(5)
+    for text in ["", "word", "___", "a" * 50, *("".join(rng.choices("abß1_ .\né", k=rng.randrange(200))) for _ in range(200))]:
+        for size in (1, 3, 40):
+            some = list(toxicity._stretches(text, size))
+            assert [w for s in some for w in s] == toxicity._TOKEN.findall(text)
+            assert all(sum(map(len, s)) <= size + max(map(len, s), default=0) for s in some)
+
+
 def test_evidence_bounds_the_binomial_tail(spark):
     counts = [(k, n - k) for n in (3, 10, 40) for k in range(n + 1)]
     frame_ = spark.createDataFrame(counts, "t long, c long")
