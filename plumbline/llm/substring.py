@@ -209,10 +209,10 @@ def _judge(pieces: list[tuple[int, bytes]]) -> pa.RecordBatch | None:
     n = size[order]
     record = np.repeat(order, n)
     step = np.arange(len(record)) - np.repeat(np.cumsum(n) - n, n)
-    key = mix(anchor[record] ^ (window[begin[record] + step] * _BASE))
+    near, own_hash = anchor[record], window[begin[record] + step]
     doc, ver, pos = ids[record], version[record], first[record] + step.astype(np.int32)
-    by = np.argsort(key, kind="stable")  # stable: earlier occurrences first
-    head = cut(key[by])
+    by = np.lexsort((own_hash, near))  # stable: earlier occurrences first
+    head = np.union1d(cut(near[by]), cut(own_hash[by]))
     lead = np.empty(len(by), np.int64)
     lead[by] = np.repeat(by[head], np.diff(np.append(head, len(by))))
     own = (doc == doc[lead]) & (ver == ver[lead]) & (pos == pos[lead])
