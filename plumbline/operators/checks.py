@@ -8,20 +8,31 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.operators.bitmaps import bitmaps
+
 OK, FAIL = "OK", "FAIL"
 
 
 @dataclass(frozen=True, eq=False)
 class Measure:
-    """A number of a table: an aggregate over all its rows. Measures of one DataFrame share one pass over it."""
+    """A number of a table: an aggregate over all its rows. Measures of one DataFrame share one pass over it.
+
+    ``distinct`` names the column whose distinct values are counted, if any. With ``bits`` it is counted by bitmaps: ``value``
+    is then an aggregate over (n, bits), the rows and bits of one bucket, and its sum over the buckets is the number.
+    """
 
     df: DataFrame
     value: Column
-    distinct: bool = False
+    distinct: str | None = None
+    bits: bool = False
+
+    def rows(self) -> DataFrame:
+        """What ``value`` is an aggregate of."""
+        return bitmaps(self.df, [], [self.distinct]) if self.bits else self.df
 
     def frame(self) -> DataFrame:
         """The number as a table of one row."""
-        return self.df.agg(self.value.cast("long").alias("n"))
+        return self.rows().agg(F.coalesce(self.value, F.lit(0)).cast("long").alias("n"))
 
 
 @dataclass(frozen=True)
@@ -47,7 +58,12 @@ def count_where(df: DataFrame, condition: Column) -> Measure:
 
 
 def distinct_count(df: DataFrame, column: str) -> Measure:
-    return Measure(df, F.countDistinct(column), distinct=True)
+    return Measure(df, F.countDistinct(column), distinct=column)
+
+
+def distinct_ids(df: DataFrame, column: str) -> Measure:
+    """Distinct values of a whole-number key given out in sequence, by bitmaps: exact, and no row of the table is shuffled."""
+    return Measure(df, F.sum(F.bitmap_count("bits")), distinct=column, bits=True)
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> Measure:
@@ -57,7 +73,12 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> Measure:
 
 def surplus_rows(df: DataFrame, key: str) -> Measure:
     """Rows beyond one per distinct key, in one pass. NULL keys are surplus."""
-    return Measure(df, F.count(F.lit(1)) - F.countDistinct(key), distinct=True)
+    return Measure(df, F.count(F.lit(1)) - F.countDistinct(key), distinct=key)
+
+
+def surplus_ids(df: DataFrame, key: str) -> Measure:
+    """As :func:`surplus_rows` for a whole-number key given out in sequence, by bitmaps."""
+    return Measure(df, F.sum(F.col("n") - F.bitmap_count("bits")), distinct=key, bits=True)
 
 
 def has_rows(df: DataFrame) -> Measure:
@@ -72,12 +93,14 @@ def suite(
 ) -> DataFrame:
     """All checks as rows. Each part becomes one long row, so sides are summed by a tiny aggregate, never joined.
 
-    All measures of one DataFrame come from one aggregate over it, those that count distinct values from another: a
-    distinct count multiplies the rows it shuffles, and plain counts should not pay for that.
+    All plain measures of one DataFrame come from one aggregate over it. Those that count distinct values have one for
+    each column counted: several of them in one aggregate would multiply the rows it shuffles. Those counted by bitmaps
+    share one pass again, which shuffles bits.
     """
     parts: DataFrame | None = None
     literals: list[tuple[str, str, int, int]] = []
-    by_pass: dict[tuple[int, bool], list[tuple[Check, str, Measure]]] = {}
+    by_pass: dict[tuple[int, str | None], list[tuple[Check, str, Measure]]] = {}
+    by_bits: dict[int, list[tuple[Check, str, Measure]]] = {}
 
     def add(rows: DataFrame) -> None:
         nonlocal parts
@@ -97,6 +120,8 @@ def suite(
             for part in values:
                 if isinstance(part, int):
                     literals.append((check.kind, check.name, part if side == "e" else 0, part if side == "a" else 0))
+                elif isinstance(part, Measure) and part.bits:
+                    by_bits.setdefault(id(part.df), []).append((check, side, part))
                 elif isinstance(part, Measure):
                     by_pass.setdefault((id(part.df), part.distinct), []).append((check, side, part))
                 else:
@@ -106,6 +131,15 @@ def suite(
         wide = measures[0][2].df.agg(*numbers)
         rows = [F.struct(*as_row(check, side, F.col(f"n{i}"))) for i, (check, side, _) in enumerate(measures)]
         add(wide.select(F.inline(F.array(*rows))))
+    for measures in by_bits.values():
+        columns = sorted({m.distinct for _, _, m in measures})
+        # One row for each column, so that numbers of the other columns are null there and count as nothing.
+        each = bitmaps(measures[0][2].df, [], columns).groupBy("counted")
+        own = [F.sum(F.when(F.col("counted") == m.distinct, 0)) + m.value for _, _, m in measures]
+        wide = each.agg(*(F.coalesce(v, F.lit(0)).cast("long").alias(f"n{i}") for i, v in enumerate(own)))
+        rows = [F.struct(*as_row(check, side, F.col(f"n{i}"))) for i, (check, side, _) in enumerate(measures)]
+        add(wide.select(F.inline(F.array(*rows))))
+        literals += [(check.kind, check.name, 0, 0) for check, _, _ in measures]  # a table without rows has no buckets
     if literals:
         rows = F.inline(
             F.array(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators import observe, profile
-from plumbline.operators.checks import Check, count_where, has_rows, repeated_keys, row_count, suite, surplus_rows
+from plumbline.operators.checks import Check, count_where, has_rows, repeated_keys, row_count, suite, surplus_ids
 from plumbline.operators.quality import union_all
 from plumbline.plans.star.base import Query, rounded, stamp, table
 from plumbline.plans.star.indicators import G2_SQL, MATCHED_SQL, matched_documents, nation_kpi, nation_years_check
@@ -28,7 +28,7 @@ def check_suite(spark: SparkSession, sf: str) -> DataFrame:
               [count_where(matched, F.col("match_status") != "ONLY_DOCUMENT")]),
         Check("UNIQUENESS", "orders", [0], [repeated_keys(orders, ["o_orderkey"])]),
         Check("UNIQUENESS", "lines", [0], [repeated_keys(lines, ["l_orderkey", "l_linenumber"])]),
-        Check("UNIQUENESS", "order_surplus", [0], [surplus_rows(orders, "o_orderkey")]),
+        Check("UNIQUENESS", "order_surplus", [0], [surplus_ids(orders, "o_orderkey")]),
         Check("VALIDITY", "prices", [0], [count_where(orders, F.col("o_totalprice") < 2000),
                                           count_where(lines, F.col("l_extendedprice") < 1000)]),
         Check("CONSISTENCY", "nation_status", [0], [count_where(kpi, contradicting)]),

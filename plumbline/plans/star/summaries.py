@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.operators.bitmaps import bitmaps, distinct_from_bitmaps
 from plumbline.operators.observe import millis_between
 from plumbline.operators.quality import union_all
 from plumbline.operators.sketches import summarised, united
-from plumbline.plans.star.base import Query
+from plumbline.plans.star.base import Query, table
 from plumbline.plans.star.events import VERDICT_SQL, judged_events, typed_events
 from plumbline.session import stage
 
@@ -62,7 +63,27 @@ def latency_from_hours(spark: SparkSession, sf: str) -> DataFrame:
 HOURS_SQL = f"""WITH {VERDICT_SQL}
 SELECT kind AS event_type, count(*) AS n, true AS p50_within, true AS p95_within, true AS p99_within FROM valid GROUP BY 1"""
 
+COUNTED = ("l_orderkey", "l_partkey", "l_suppkey")
+
+
+def ids_by_period(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct orders, parts and suppliers of the line items per quarter and year, from one set of monthly bitmaps; exact."""
+    month = F.trunc("l_shipdate", "month").alias("month")
+    monthly = stage(bitmaps(table(spark, sf, "lineitem"), [month], COUNTED), "monthly-bitmaps")
+    out = []
+    for period in ("quarter", "year"):
+        start = F.date_format(F.date_trunc(period, "month"), "yyyy-MM-dd").alias("start")
+        out.append(distinct_from_bitmaps(monthly, [start]).select(F.lit(period).alias("period"), "start", "counted", "n", "n_distinct"))
+    return union_all(out)
+
+
+IDS_SQL = "\nUNION ALL ".join(
+    f"""SELECT '{p}' AS period, strftime(date_trunc('{p}', l_shipdate), '%Y-%m-%d') AS start, '{c}' AS counted, count(*) AS n, count(DISTINCT {c}) AS n_distinct
+FROM lineitem GROUP BY ALL""" for p in ("quarter", "year") for c in COUNTED
+)
+
 QUERIES: dict[str, Query] = {
+    "ids_by_period": Query(ids_by_period, IDS_SQL),
     "entities_by_period": Query(entities_by_period, PERIODS_SQL),
     "latency_from_hours": Query(latency_from_hours, HOURS_SQL),
 }
