@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +47,22 @@ def with_doc(docs: DataFrame, more: str) -> StructType:
     return StructType([StructField("doc", docs.schema), *StructType.fromDDL(more).fields])
 
 
+def own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches with the text inside ``doc`` as a column ``text`` too, so that it crosses to Python once."""
+    for batch in batches:
+        yield batch.append_column("text", batch.column("doc").field("text"))
+
+
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give back to the system what this worker has freed: it lives on for other tasks and stages, beside other workers."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     x = (x ^ (x >> _SHIFT)) * _M1
@@ -55,6 +72,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def groups(batches: Iterator[pa.RecordBatch], column: str, limit: int, rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """Cut record batches into slices of at most about ``limit`` bytes of ``column`` (one row at least), nulls as empty."""
+    release()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -66,6 +84,8 @@ def groups(batches: Iterator[pa.RecordBatch], column: str, limit: int, rows: int
                 start, held = i, 0
             held += size
         yield batch.slice(start)
+        del batch
+    release()
 
 
 def offsets(array: pa.Array) -> np.ndarray:

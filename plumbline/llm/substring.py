@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import NULL_ID, as_bytes, cut, from_planes, groups, id_key, mix, parts, planes, small_batches, with_doc
+from plumbline.llm.common import NULL_ID, as_bytes, cut, from_planes, groups, id_key, mix, own_text, parts, planes, small_batches, with_doc
 
 WINDOW = 20
 CONTEXT = 10  # words around an anchor that choose it
@@ -259,7 +259,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
 
 
 def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in groups(batches, "text", 4 << 20):
+    for batch in groups(own_text(batches), "text", 4 << 20):
         texts = batch.column("text").to_pylist()
         marks = batch.column("marks").to_pylist()
         kept, total, removed = [], [], []
@@ -300,7 +300,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     runs = repeated_windows(docs).groupBy(F.col("doc").alias("mark_id"), F.col("version").alias("mark_version"))
     marks = runs.agg(F.collect_list(F.struct("first", "windows")).alias("marks"))
     version = F.xxhash64("text").bitwiseAND(F.lit(_LOW))
-    base = docs.select(F.struct("*").alias("doc"), id_key().alias("own_id"), version.alias("own_version"), "text")
+    base = docs.select(F.struct("*").alias("doc"), id_key().alias("own_id"), version.alias("own_version"))
     same = (F.col("own_id") == F.col("mark_id")) & (F.col("own_version") == F.col("mark_version"))
-    joined = base.join(marks, same, "left").select("doc", "text", "marks")
+    joined = base.join(marks, same, "left").select("doc", "marks")
     return joined.mapInArrow(_cutter, with_doc(docs, "kept string, n_words long, n_removed long"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import groups, small_batches, with_doc
+from plumbline.llm.common import groups, own_text, release, small_batches, with_doc
 from plumbline.session import stage
 
 # The classifier is fitted on at most this many labelled rows, taken in hash order of their ids.
@@ -346,13 +346,17 @@ def probability(model: Model, found: list[float]) -> float:
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, value))))
 
 
-def _scorer(model: Model):
+def _scorer(model: Model, separate: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         reader = _reader(model)
-        for batch in batches:
+        for batch in batches if separate else own_text(batches):
             scores = [probability(model, reader.features(t or "") if model.terms else []) for t in batch.column("text").to_pylist()]
             names = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(scores, pa.float64())], names=[*names, "score"])
+            del batch
+        del reader
+        release()
 
     return run
 
@@ -370,5 +374,5 @@ def scored(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     kept = docs if keep_text else docs.select("doc_id")
-    source = docs.select((F.struct("*") if keep_text else F.struct("doc_id")).alias("doc"), "text")
-    return source.mapInArrow(_scorer(model), with_doc(kept, "score double"))
+    source = docs.select(F.struct("*").alias("doc")) if keep_text else docs.select(F.struct("doc_id").alias("doc"), "text")
+    return source.mapInArrow(_scorer(model, not keep_text), with_doc(kept, "score double"))
