@@ -21,6 +21,19 @@ def safe_percent(numerator: Column | str, denominator: Column | str) -> Column:
     return safe_ratio(numerator, denominator) * 100
 
 
+def exact_sum(value: Column | str) -> Column:
+    """Sum of doubles that the order of the rows does not change, so that equal groups have equal sums and tie in a ranking.
+
+    Values of up to eight decimals are added as decimals and the sum is rounded once. A group that holds any other (more
+    decimals, NaN, beyond the decimal type) is added as doubles.
+    """
+    c = col(value)
+    decimal = c.try_cast("decimal(28,8)")
+    decimal = F.when(decimal.cast("double") == c, decimal)
+    exact = F.when(F.count(decimal) == F.count(c), F.try_sum(decimal).cast("double"))
+    return F.coalesce(exact, F.sum(c))
+
+
 def mean_where(condition: Column, value: Column | str) -> Column:
     """Average of ``value`` over the rows where ``condition`` holds."""
     return F.avg(F.when(condition, col(value)))

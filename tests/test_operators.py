@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.functions.numeric import banded, safe_percent
+from plumbline.functions.numeric import banded, exact_sum, safe_percent
 from plumbline.functions.text import full_match, row_json, sorted_map_json, spaced_json, strip
 from plumbline.operators import observe, profile
 from plumbline.operators.checks import Check, CheckFailure, gate, has_rows, repeated_keys, row_count, suite, surplus_rows
@@ -124,6 +124,31 @@ def test_rank_block_agrees_with_spark_ntile(spark):
     assert got == want
 
 
+def test_exact_sum_is_the_same_in_any_order_and_takes_every_double(spark):
+    odd = [float("nan"), 1e300, 1e-300, None]
+    rows = [("a", v) for v in (0.1, 0.2, 0.3)] + [("b", v) for v in (0.3, 0.2, 0.1)] + [("c", 1e300), ("c", -1e300), ("c", 0.1)]
+    rows += [(f"odd {v}", v) for v in odd] + [("big", 9e19), ("big", 9e19)]
+    got = {r.k: r.s for r in spark.createDataFrame(rows, "k string, v double").coalesce(1).groupBy("k").agg(exact_sum("v").alias("s")).collect()}
+    assert got["a"] == got["b"] == 0.6 and got["c"] == 0.1 and got["big"] == 1.8e20
+    assert str(got["odd nan"]) == "nan" and [got[f"odd {v}"] for v in odd[1:]] == odd[1:]
+
+
+def test_customers_of_equal_orders_share_a_position(spark, tmp_path):
+    from plumbline.plans.star.indicators import customer_kpi
+
+    prices = {1: (0.1, 0.2, 0.3), 2: (0.3, 0.2, 0.1), 3: (0.5,)}
+    orders = [(10 * c + i, c, p, dt.datetime(1996, 1, 1)) for c, ps in prices.items() for i, p in enumerate(ps)]
+    tables = {
+        "customer": ([(c, "BUILDING") for c in prices], "c_custkey long, c_mktsegment string"),
+        "orders": (orders, "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp"),
+        "lineitem": ([(o[0], "R", 1.0) for o in orders], "l_orderkey long, l_returnflag string, l_extendedprice double"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {r.custkey: (r.position, r.percentile) for r in customer_kpi(spark, str(tmp_path)).collect()}
+    assert got == {1: (1, 0.5), 2: (1, 0.5), 3: (3, 0.0)}
+
+
 def test_match_outer_null_keys_never_match(spark):
     left = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c")], "k int, l string")
     right = spark.createDataFrame([(1, "x"), (None, "y"), (3, "z")], "k int, r string")
