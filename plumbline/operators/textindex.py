@@ -84,7 +84,8 @@ class TextIndex:
     run that dies in between leaves postings nobody relies on. Searching is exact at any time: files without postings are
     read, files that are gone are not. Files must not be rewritten under their old name, and Spark never does so.
     Postings are sorted by trigram, so a lookup reads the row groups of the pattern's trigrams only; what comes to the
-    driver are names of the table's own files, whose list it holds for every scan.
+    driver are names of the table's own files, whose list it holds for every scan. Postings name a file by its hash, which is
+    shorter; files of one hash would share their postings and be read together.
     """
 
     def __init__(self, spark: SparkSession, table: str, folder: str):
@@ -120,7 +121,7 @@ class TextIndex:
         if not new:
             return 0
         rows = self._read(new)
-        text = rows.select(F.input_file_name().alias("file"), F.split(F.lower(frame_row_json(rows)), "").alias("c"))
+        text = rows.select(F.xxhash64(F.input_file_name()).alias("file"), F.split(F.lower(frame_row_json(rows)), "").alias("c"))
         grams = F.transform(F.sequence(F.lit(1), F.size("c") - 2), lambda i: F.concat(F.get("c", i - 1), F.get("c", i), F.get("c", i + 1)))
         # A row names each trigram once and a task each pair once, so the shuffle carries files times trigrams, not text.
         pairs = text.where(F.size("c") >= 3).select("file", F.explode(F.array_distinct(grams)).alias("trigram")).distinct()
@@ -131,15 +132,16 @@ class TextIndex:
 
     def candidates(self, pattern: str) -> list[str]:
         """Files that may hold a match: those with all trigrams of one way to match it, and those not indexed."""
-        files, known, ways = self.files(), self.indexed(), ways_to_match(pattern)
+        files, ways = self.files(), ways_to_match(pattern)
         if not all(ways):
             return files
         wanted = sorted(frozenset.union(*ways))
-        postings = self._part("postings", "file string, trigram string").where(F.col("trigram").isin(wanted))
+        postings = self._part("postings", "file long, trigram string").where(F.col("trigram").isin(wanted))
         found = postings.groupBy("file").agg(F.collect_set("trigram").alias("has"))  # the pattern's trigrams at most
         met = [F.size(F.array_intersect("has", F.array(*map(F.lit, sorted(way))))) == len(way) for way in ways]
         hits = {r.file for r in found.where(reduce(or_, met)).select("file").collect()}
-        return [f for f in files if f in hits or f not in known]
+        known = {r.file: r.h for r in self._part("files", "file string").select("file", F.xxhash64("file").alias("h")).collect()}
+        return [f for f in files if f not in known or known[f] in hits]
 
     def search(self, pattern: str, out: str = "registro", keep: Sequence[str] = ()) -> DataFrame:
         """As :func:`search_rows` on the whole table."""

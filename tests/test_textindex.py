@@ -94,3 +94,13 @@ def test_partition_columns_and_empty_table(spark, tmp_path):
     index = TextIndex(spark, empty, f"{tmp_path}/index2")
     index.refresh()
     assert index.search("needle").count() == 0
+
+
+def test_a_grown_table_still_has_files_to_spare(spark, tmp_path):
+    from plumbline.plans.star.search import text_search_indexed
+
+    said = "if(id % 150 = 0, 'a secret', 'nothing') AS text"
+    spark.range(20_000).selectExpr("id AS doc_id", said, "'en' AS lang", "'s' AS source", "8 AS n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(10).selectExpr("id AS conv_id", "1 AS turn", "'user' AS role", said).write.parquet(f"{tmp_path}/conversations.parquet")
+    whole = {r.tabela: (r.hits, r.files_spared) for r in text_search_indexed(spark, str(tmp_path)).where("id IS NULL").collect()}
+    assert whole == {"documents": (134, True), "conversations": (1, True)}
