@@ -349,3 +349,22 @@ def test_alert_episodes_of_tables_and_streams(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("episodes").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert {tuple(r)[1:] for r in spark.table("episodes").collect()} == want
+
+
+def test_outputs_by_the_columns_that_are_read(spark):
+    from plumbline.plans.star.events import event_messages, judged_events, typed_events
+
+    sf, now = "/root/testdata/sf0.001", F.lit("2024-02-01").cast("timestamp")
+    whole = c.judge(event_messages(spark, sf)).cache()
+    only = {"raw": ["event_id", "pubsub_publish_time"], "typed": ["entity_id", "event_time", "quality_status"], "rejected": ["event_id", "error_code", "error_message"]}
+    rows = {"raw": c.raw_rows, "typed": c.typed_rows, "rejected": c.rejected_rows}
+    for name, names in only.items():
+        narrow = rows[name](whole.select(*c.columns_read(**{name: names})), now, names)
+        full = rows[name](whole, now)
+        assert set(narrow.columns) == set(names) and narrow.schema == full.select(*narrow.columns).schema
+        assert narrow.count() > 0 and narrow.exceptAll(full.select(*narrow.columns)).isEmpty() and full.select(*narrow.columns).exceptAll(narrow).isEmpty()
+    typed = ["event_id", "event_time", "processing_timestamp"]
+    stored = judged_events(spark, sf, typed=typed)
+    assert stored.columns == ["__event_id", "__event_time", "error_code"]  # no bodies
+    assert typed_events(stored, typed).count() == c.typed_rows(whole, now).count()
+    whole.unpersist()
