@@ -17,7 +17,12 @@ from plumbline.sources.tables import Store
 
 # Filters on the three cluster columns of line items, each of which meets a small share of the rows.
 FILTERS = {"l_shipdate": ("1995-01-01", "1995-01-31"), "l_extendedprice": (20000.0, 21000.0), "l_quantity": (7.0, 7.0)}
-FILES = 128
+# A task sorts one file's rows, so files hold few rows however large the table is.
+FILES, ROWS_PER_FILE = 128, 100_000
+
+
+def layout_files(rows: DataFrame) -> int:
+    return max(FILES, -(-rows.count() // ROWS_PER_FILE))
 
 
 def clustered_layout(spark: SparkSession, sf: str) -> DataFrame:
@@ -27,12 +32,12 @@ def clustered_layout(spark: SparkSession, sf: str) -> DataFrame:
     files; the sorted one does for its first column only.
     """
     rows = table(spark, sf, "lineitem").withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
-    store, out = Store(spark, fresh_path(spark, "layout"), "run"), []
+    store, files, out = Store(spark, fresh_path(spark, "layout"), "run"), layout_files(rows), []
     for name, interleave in (("sorted", False), ("interleaved", True)):
-        store.replace(name, rows, cluster_by=list(FILTERS), interleave=interleave, files=FILES)
+        store.replace(name, rows, cluster_by=list(FILTERS), interleave=interleave, files=files)
     for column, (low, high) in FILTERS.items():
         found = {n: store.read(n).where(F.col(column).between(low, high)).agg(F.count(F.lit(1)).alias(f"n_{n}")) for n in ("sorted", "interleaved")}
-        half = {n: store.files_touched(n, column, low, high) <= FILES // 2 for n in found}
+        half = {n: store.files_touched(n, column, low, high) <= files // 2 for n in found}
         counts = [F.lit(f.first()[0]).alias(f"n_{n}") for n, f in found.items()]
         flags = [F.lit(v).alias(f"{n}_skips_half") for n, v in half.items()]
         out.append(spark.range(1).select(F.lit(column).alias("filtered"), *counts, *flags))

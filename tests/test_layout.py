@@ -44,3 +44,28 @@ def test_layouts_keep_all_rows_and_interleaving_skips_files(spark, tmp_path):
     assert touched["sorted"][1] > 0.8 * files and max(touched["interleaved"]) < 0.7 * files
     empty = store.replace("none", rows.where("false"), ["part"], ["k", "v"], True)
     assert empty.count() == 0 and empty.columns == rows.columns
+
+
+def test_files_hold_few_rows_however_large_the_table(spark):
+    from plumbline.plans.star.layout import FILES, ROWS_PER_FILE, layout_files
+
+    assert layout_files(spark.range(10)) == FILES
+    assert layout_files(spark.range(1000 * ROWS_PER_FILE + 1)) == 1001
+
+
+def test_files_touched_goes_by_least_and_greatest_value_and_sorts_nothing(spark, tmp_path, monkeypatch):
+    from plumbline.sources.tables import Store
+
+    frame = type(spark.range(1))
+    store, plans, count = Store(spark, str(tmp_path), "run"), [], frame.count
+
+    def counted(df):
+        plans.append(df._jdf.queryExecution().toString())
+        return count(df)
+
+    for rows in ([("a",), ("c",)], [("m",), (None,)], [("x",), ("z",)], [(None,)]):
+        spark.createDataFrame(rows, "s string").coalesce(1).write.mode("append").parquet(store.path("t"))
+    monkeypatch.setattr(frame, "count", counted)
+    # A range between a file's values touches it too.
+    assert [store.files_touched("t", "s", *r) for r in (("b", "b"), ("d", "l"), ("c", "m"), ("n", "zz"), ("a", "z"))] == [1, 0, 2, 1, 3]
+    assert plans and not any("SortAggregate" in p for p in plans)
