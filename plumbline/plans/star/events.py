@@ -13,7 +13,7 @@ from plumbline.plans.literacy import suites
 from plumbline.plans.literacy.dashboards import streaming_view
 from plumbline.plans.literacy.schemas import STATES
 from plumbline.plans.star.base import Query, rounded, stamp, table
-from plumbline.session import fresh_path, stage
+from plumbline.session import fresh_path, spread, stage
 from plumbline.sources.messages import file_messages
 from plumbline.streaming import contract
 from plumbline.streaming.alerts import AlertPolicy, alert_episodes, sustained_breaches
@@ -40,8 +40,10 @@ def _pick(subject: Column, options: dict[str, Column | str]) -> Column:
 
 def event_messages(spark: SparkSession, sf: str) -> DataFrame:
     """Every event as a contract message. Some are corrupted, by event id: cut JSON, no entity id, another
-    version, a time without zone, a year out of range. Values above 100 break the percentage rule by themselves."""
-    e = table(spark, sf, "events")
+    version, a time without zone, a year out of range. Values above 100 break the percentage rule by themselves.
+
+    A message takes far longer to make and judge than its event to read, so events are dealt to all cores first."""
+    e = spread(table(spark, sf, "events"), "event_id", "ts")
     kind, user, number = F.col("event_type"), F.col("user_id"), F.col("event_id")
     city = F.format_string("%07d", user + 1_000_000)
     state = F.element_at(F.array(*[F.lit(s) for s in STATES]), (user % len(STATES) + 1).cast("int"))
