@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SPREAD, _LOCAL = "__spread", "__local"
+_SPREAD, _LOCAL, _HASH = "__spread", "__local", "__hash"
 
 
 def orderable(df: DataFrame, names: Sequence[str]) -> list[str]:
@@ -40,25 +40,33 @@ def mark_repeats(
     as there are shuffle partitions by default). Only the first row of each piece can still win; round two ranks those
     together while the certain repeats stay in their own pieces. No group sees more than its share of the hot key plus
     ``spread`` candidates, the input is read once, and nothing is counted first or joined back; the price is a second
-    shuffle of the rows.
+    shuffle of the rows. A hash of the key leads each sort: rows are told apart by its 8 bytes, where a first key
+    column of a few values, such as a year, would leave every comparison to the whole row.
     """
     ties = [F.col(c) for c in orderable(df, [c for c in df.columns if c not in keys])]
     ranking = [*order, *ties]
     pieces = spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = df.withColumn(_SPREAD, F.pmod(F.spark_partition_id(), F.lit(pieces)))
+    first = df.withColumns({_HASH: F.xxhash64(*keys), _SPREAD: F.pmod(F.spark_partition_id(), F.lit(pieces))})
     first = first.withColumn(
-        _LOCAL, F.row_number().over(Window.partitionBy(*keys, _SPREAD).orderBy(*ranking))
+        _LOCAL, F.row_number().over(Window.partitionBy(_HASH, *keys, _SPREAD).orderBy(*ranking))
     )
     # Candidates meet in piece -1; a row already beaten keeps its piece and can never rank first again.
     first = first.withColumn(_SPREAD, F.when(F.col(_LOCAL) == 1, F.lit(-1)).otherwise(F.col(_SPREAD)))
-    second = Window.partitionBy(*keys, _SPREAD).orderBy(*ranking)
+    second = Window.partitionBy(_HASH, *keys, _SPREAD).orderBy(*ranking)
     return first.withColumn(
         flag, (F.col(_SPREAD) != -1) | (F.row_number().over(second) > 1)
-    ).drop(_SPREAD, _LOCAL)
+    ).drop(_HASH, _SPREAD, _LOCAL)
 
 
 def drop_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    return mark_repeats(df, keys, order, "__repeat").filter(~F.col("__repeat")).drop("__repeat")
+    """The rows that :func:`mark_repeats` leaves unflagged, by one shuffle.
+
+    Spark limits each key to its first row before the shuffle as well, so a hot key sends one row per task.
+    """
+    ties = [F.col(c) for c in orderable(df, [c for c in df.columns if c not in keys])]
+    first = Window.partitionBy(_HASH, *keys).orderBy(*order, *ties)
+    placed = df.withColumn(_HASH, F.xxhash64(*keys)).withColumn(_LOCAL, F.row_number().over(first))
+    return placed.filter(F.col(_LOCAL) == 1).drop(_HASH, _LOCAL)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], recency: Sequence[str]) -> DataFrame:

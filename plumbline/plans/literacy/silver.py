@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.numeric import mean_where, present_count, present_sum, safe_percent, weighted_mean_where
 from plumbline.functions.text import joined_key, strip
 from plumbline.operators.decode import decode_columns, grouped_label
-from plumbline.operators.dedup import mark_repeats
+from plumbline.operators.dedup import drop_repeats, mark_repeats
 from plumbline.operators.indicators import value_label
 from plumbline.operators.quality import ALERT_STATUS, RuleBook, clean_rows, quarantine_rows, union_all
 from plumbline.operators.reconcile import match_outer
@@ -53,8 +53,9 @@ def staged_dictionary(source: DataFrame, codes: DataFrame | None = None) -> Data
     return source.select(*_stripped(**{n: n for n in names}), *_lineage())
 
 
-def staged_pupils(source: DataFrame, codes: DataFrame) -> DataFrame:
-    base = source.select(
+def staged_pupils(source: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+    """Pupils by their codes alone: names follow from codes, and are added once repeats are marked on narrower rows."""
+    return source.select(
         *_year(),
         *_stripped(
             id_municipio="id_municipio", id_escola="id_escola", id_aluno="id_aluno", caderno_codigo="caderno",
@@ -65,6 +66,9 @@ def staged_pupils(source: DataFrame, codes: DataFrame) -> DataFrame:
         "peso_aluno",
         *_lineage(),
     )
+
+
+def named_pupils(base: DataFrame, codes: DataFrame) -> DataFrame:
     coded = ["serie", "rede", "presenca", "preenchimento_caderno", "alfabetizado"]
     decoded = decode_columns(base, codes, "alunos", {f"{n}_nome": (f"{n}_codigo", n) for n in coded})
     decoded = decoded.withColumn("rede_agrupada", grouped_label("rede_nome", s.PUPIL_NETWORK_GROUPS))
@@ -72,7 +76,7 @@ def staged_pupils(source: DataFrame, codes: DataFrame) -> DataFrame:
         "ano", "ano_referencia", "id_municipio", "id_escola", "id_aluno", "caderno_codigo", "serie_codigo",
         "serie_nome", "rede_codigo", "rede_nome", "rede_agrupada", "presenca_codigo", "presenca_nome",
         "preenchimento_caderno_codigo", "preenchimento_caderno_nome", "alfabetizado_codigo", "alfabetizado_nome",
-        "proficiencia", "peso_aluno", *LINEAGE,
+        "proficiencia", "peso_aluno", *LINEAGE, "is_repeat",
     )
 
 
@@ -146,11 +150,17 @@ class SourcePlan:
     expansion: int = 1
     nullable_head: bool = True  # a NULL first part makes the quarantine key NULL
     fixed_tail: tuple[str, ...] = field(default=())  # key parts that are never NULL
+    named: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None  # columns that follow from others, added last
 
-    def tagged(self, source: DataFrame, codes: DataFrame | None) -> DataFrame:
+    def tagged(self, source: DataFrame, codes: DataFrame | None, repeats: bool = True) -> DataFrame:
+        """Rows with the rules they break; without ``repeats`` those that repeat a key, which are never clean, are left out."""
         staged = self.stage(source, codes)
         order = [F.desc("source_ingestion_timestamp"), *[F.asc(o) for o in self.order]]
-        return self.rules().tag(mark_repeats(staged, self.key, order))
+        if repeats:
+            marked = mark_repeats(staged, self.key, order)
+        else:
+            marked = drop_repeats(staged, self.key, order).withColumn("is_repeat", F.lit(False))
+        return self.rules().tag(self.named(marked, codes) if self.named else marked)
 
     def clean(self, tagged: DataFrame, as_of: Column) -> DataFrame:
         out = clean_rows(tagged, ["is_repeat"])
@@ -175,7 +185,7 @@ SOURCE_PLANS: dict[str, SourcePlan] = {
     ),
     "alunos": SourcePlan(
         "alunos", staged_pupils, ("ano", "id_aluno"), rules.pupil_rules, ("ano", "id_aluno"),
-        ("id_municipio", "rede_nome", "id_escola"), order=("id_escola",),
+        ("id_municipio", "rede_nome", "id_escola"), order=("id_escola",), named=named_pupils,
     ),
     "municipio": SourcePlan(
         "resultado_municipio", staged_city_results, ("ano", "id_municipio", "serie_codigo", "rede_codigo"),

@@ -142,7 +142,8 @@ class LazyLayers(Mapping[str, DataFrame]):
     """Sources, cleaned tables, integrations and products by name, each planned on first use.
 
     ``result`` names the table that is asked for in the end: it is never staged, and what it reads only once is
-    not either. With ``both_sides`` the tagged rows are staged, as both the clean rows and the quarantine read them.
+    not either. With ``both_sides`` the tagged rows are staged, as both the clean rows and the quarantine read them; what is
+    only filtered from them is then not staged again. Otherwise only the quarantine needs the rows that repeat a key.
     """
 
     def __init__(self, spark: SparkSession, sf: str, result: str | None = None, both_sides: bool = False):
@@ -160,11 +161,12 @@ class LazyLayers(Mapping[str, DataFrame]):
             }
         )
 
-    def tagged(self, name: str) -> DataFrame:
-        key = f"tagged-{name}"
+    def tagged(self, name: str, repeats: bool = True) -> DataFrame:
+        repeats = repeats or self._both_sides
+        key = f"tagged-{name}" if repeats else f"kept-{name}"
         if key not in self._built:
             codes = None if name == "dicionario" or name.startswith("meta") else self["dim_dicionario"]
-            tagged = SOURCE_PLANS[name].tagged(self.source(name), codes)
+            tagged = SOURCE_PLANS[name].tagged(self.source(name), codes, repeats)
             self._built[key] = stage(tagged, key) if self._both_sides else tagged
         return self._built[key]
 
@@ -172,12 +174,13 @@ class LazyLayers(Mapping[str, DataFrame]):
         if name not in self._built:
             if name in self._by_table:
                 source = self._by_table[name]
-                df = SOURCE_PLANS[source].clean(self.tagged(source), self._as_of)
+                df = SOURCE_PLANS[source].clean(self.tagged(source, repeats=False), self._as_of)
             elif name == QUARANTINE:
                 df = quarantine({n: self.tagged(n) for n in SOURCE_PLANS}, self._as_of)
             else:
                 df = {**INTEGRATIONS, **PRODUCTS}[name].build(self, self._as_of)
-            shared = self._result is None or name in REUSED
+            filtered = self._both_sides and (name == QUARANTINE or name in self._by_table)
+            shared = name in REUSED or (self._result is None and not filtered)
             self._built[name] = stage(df, name) if shared and name != self._result else df
         return self._built[name]
 
