@@ -39,7 +39,8 @@ def match_outer(
         scatter = F.when(has_null, F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("long"))
         return df.select(*[F.col(c).alias(prefix + c) for c in df.columns], scatter.alias(prefix + "__scatter"))
 
-    a, b = prepare(left, _L), prepare(right, _R)
+    # The hash would keep every column of a side alive; the left one needs no others than these.
+    a, b = prepare(left.select(*dict.fromkeys([*keys, presence, *left_values.values()])), _L), prepare(right, _R)
     on = reduce(lambda x, y: x & y, (F.col(_L + k) == F.col(_R + k) for k in keys))
     on = on & (F.col(_L + "__scatter") == F.col(_R + "__scatter"))
     if residual is not None:
