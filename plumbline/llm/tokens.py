@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
 import zlib
@@ -10,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,54 +35,82 @@ _JOINED = 512  # pieces handed to the tokenizer as one text
 # Texts of characters whose case, normal form and class are beyond doubt, and without the "<" of special tokens.
 _PLAIN = re.compile("[\t\n\r\x20-\x3b\x3d-\x7e\xa1-\u012f\u0131-\u0232]*")
 # The tokenizer's own way to cut a text; what it encodes are these pieces, one by one.
-_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size says."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class PieceTokenizer:
     """A tokenizer that drops white space and encodes each piece of a text by itself, with a memory for pieces.
 
-    New pieces are encoded many at a time as one text, in which each ends with the only id that stands for an end.
-    Texts with unusual characters go to the tokenizer whole.
+    Texts are split at white space, the different words of a batch are cut into pieces, and the different pieces looked
+    up; ids then go back to the words, and from there to the texts. New pieces are encoded many at a time as one text,
+    in which each ends with the only id that stands for an end; they are in the tokenizer's normal form already, so its
+    merges alone are applied. Texts with unusual characters go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to Spark's tasks
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {"": b""}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str]) -> list[bytes]:
+        out = []
         groups = [new[i : i + _JOINED] for i in range(0, len(new), _JOINED)]
-        for pieces, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+        for pieces, found in zip(groups, self.merges.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
-            edges = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
-            if len(edges) == len(pieces) + 1:
-                raw = ids.tobytes()
-                self.pieces.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(pieces, edges, edges[1:]))
-            else:
-                self.pieces.update(zip(pieces, self._raw(pieces)))
+            edges = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip(edges, edges[1:])] if len(edges) == len(pieces) + 1 else self._raw(pieces)
+        return out
+
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        """The ids of different pieces."""
+        out = list(map(self.pieces.get, pieces))
+        places = [i for i, ids in enumerate(out) if ids is None]
+        if len(self.pieces) + len(places) > _REMEMBER:
+            self.pieces = {"": b""}
+        new = [pieces[i] for i in places]
+        found = self._learn(new)
+        for i, ids in zip(places, found):
+            out[i] = ids
+        self.pieces.update((p, ids) for p, ids in zip(new, found) if len(p) <= _LONG)
+        return out
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different words, one after the other, and where each word's end."""
+        pieces = pc.split_pattern(pc.ascii_rtrim_whitespace(pc.replace_substring_regex(words, _CUT, r"\0 ")), " ")
+        named = pieces.values.dictionary_encode()
+        ids = self._known(named.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        of = named.indices.to_numpy()
+        flat = np.frombuffer(b"".join(ids), "<u4")[_ranges((np.cumsum(sizes) - sizes)[of], sizes[of])]
+        return flat, np.concatenate(([0], np.cumsum(sizes[of])))[offsets(pieces)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text and the end id, as little-endian 32-bit integers."""
-        cut = {i: _CUT.findall(t.lower()) for i, t in enumerate(texts) if _PLAIN.fullmatch(t)}
-        seen = set(itertools.chain.from_iterable(cut.values()))
-        new = seen.difference(self.pieces)
-        if len(self.pieces) + len(new) > _REMEMBER:
-            self.pieces, new = {}, seen
-        self._learn(list(new))
-        get = self.pieces.__getitem__
-        out = [b"".join(map(get, cut[i])) if i in cut else self._raw([t])[0] for i, t in enumerate(texts)]
-        for p in new:
-            if len(p) > _LONG:
-                del self.pieces[p]
-        return [ids + _END for ids in out]
+        plain = [_PLAIN.fullmatch(t) is not None for t in texts]
+        words = pc.ascii_split_whitespace(pa.array([t.lower() if p else "" for t, p in zip(texts, plain)], pa.string()))
+        named = words.values.dictionary_encode()
+        flat, at = self._words(named.dictionary)
+        of, sizes = named.indices.to_numpy(), np.diff(at)
+        raw = flat[_ranges(at[of], sizes[of])].tobytes()
+        ends = (4 * np.concatenate(([0], np.cumsum(sizes[of])))[offsets(words)]).tolist()
+        return [(raw[a:b] if p else self._raw([t])[0]) + _END for t, p, a, b in zip(texts, plain, ends, ends[1:])]
 
 
 _LOADED: dict[str, PieceTokenizer] = {}
@@ -94,8 +121,8 @@ def _encoder(path: str):
         if path not in _LOADED:
             _LOADED[path] = PieceTokenizer(path)
         for batch in batches:
-            for start in range(0, batch.num_rows, 128):
-                some = batch.slice(start, 128)
+            for start in range(0, batch.num_rows, 2048):
+                some = batch.slice(start, 2048)
                 ids = _LOADED[path].encode([t or "" for t in some.column("text").to_pylist()])
                 at = np.concatenate(([0], np.cumsum([len(i) // 4 for i in ids]))).astype(np.int32)
                 flat = np.frombuffer(b"".join(ids), "<i4")
@@ -147,7 +174,7 @@ def token_spans(spark: SparkSession, path: str) -> DataFrame:
     """
     small_batches(spark)
     rows = read_tokens(spark, path).mapInArrow(_digest, "doc_id long, version long, part int, n_tokens long, ids_crc32 long")
-    sums = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
+    sums = read_tokens(spark, path).groupBy("part").agg(F.sum(F.size("ids").cast("long")).alias("total"))
     before = sums.select(F.col("part").alias("of"), (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))
     inside = Window.partitionBy("part").orderBy(id_key(), "version", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.join(F.broadcast(before), F.col("part") == F.col("of"))

@@ -143,6 +143,26 @@ def test_token_files_of_odd_rows(spark, odd, none, tmp_path):
     assert tokens.token_spans(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_a_piece_is_looked_up_once_in_a_batch():
+    class Counted(dict):
+        looked = 0
+
+        def __getitem__(self, key):
+            Counted.looked += 1
+            return super().__getitem__(key)
+
+        def get(self, key, default=None):
+            Counted.looked += 1
+            return super().get(key, default)
+
+    words = tokens.PieceTokenizer(WORDS)
+    words.pieces = Counted(words.pieces)
+    texts = ["It's 12 of them, of\tThem.\r\n" * 500, "", " \n", "of ÉTÉ été ÿ'll  "] * 3
+    library = Tokenizer.from_file(WORDS)
+    assert words.encode(texts) == [np.array([*library.encode(t, add_special_tokens=False).ids, tokens.END], "<u4").tobytes() for t in texts]
+    assert Counted.looked < 20
+
+
 # --- toxicity -----------------------------------------------------------------------------------------------------
 
 
