@@ -14,21 +14,23 @@ import heapq
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import id_key, offsets, small_batches, with_doc
+from plumbline.llm.common import id_key, ids_of_lists, offsets, small_batches, with_doc
 
 # Texts of more code points are split into chunks of this many.
 CHUNK = 32_768
 
 _SPACE = "▁"
-_SEGMENT = re.compile(f"{_SPACE}*[^{_SPACE}\n]+|{_SPACE}+|\n")
+_SEGMENT = f"{_SPACE}*[^{_SPACE}\n]+|{_SPACE}+|\n"
+_JOINED = 512  # segments handed to the library as one text
 _FREE = ""  # the state at the text's beginning and after a forced border
 
 
@@ -36,7 +38,7 @@ class Vocabulary:
     """The pieces of a model file, its merges, and which pieces may stand side by side."""
 
     def __init__(self, path: str):
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
         special = [model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i) for i in range(len(self.pieces))]
         self.ids = {p: i for i, p in enumerate(self.pieces) if not special[i]}
@@ -45,7 +47,8 @@ class Vocabulary:
         self.raw = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else b"" if special[i] else p.encode() for i, p in enumerate(self.pieces)]
         self.longest = max(map(len, self.ids))
         self.beside: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, array] = {}
+        self.line = self.numbers(["\n"])
+        self.known: dict[str, bytes] = self._own()
         if any("\n" in p or re.search(f"[^{_SPACE}]{_SPACE}", p) for p in self.ids):
             raise ValueError("pieces across a space or a line break are not supported")
 
@@ -83,28 +86,48 @@ class Vocabulary:
                 out.extend(self.byte_ids[b] for b in p.encode())
         return out
 
-    def segment(self, text: str) -> array:
-        """Ids of a stretch between forced borders; up to 400,000 short ones are remembered."""
-        found = self.numbers(self.merge(text))
-        if len(text) <= 48:
-            if len(self.known) >= 400_000:
-                self.known.clear()
-            self.known[text] = found
-        return found
+    def _own(self) -> dict[str, bytes]:
+        """What is known before: the end of a split line, and the line break."""
+        return {"": b"", "\n": self.line.tobytes()}
 
-    def stretch(self, text: str) -> array:
-        """Ids of a text that begins and ends at forced borders."""
-        out = array("i")
-        get = self.known.get
-        for s in _SEGMENT.findall(text):
-            found = get(s)
-            out.extend(found if found is not None else self.segment(s))
+    def learn(self, segments: list[str]) -> list[bytes]:
+        """Ids of stretches between forced borders, as 32-bit integers.
+
+        Many are encoded by the library as one text, each on a line of its own: no piece crosses a line break.
+        """
+        out = []
+        for start in range(0, len(segments), _JOINED):
+            some = segments[start : start + _JOINED]
+            ids = np.array(self.model.encode("\n".join(["", *some, ""])), np.int32)
+            edges = (4 * np.flatnonzero(ids == self.line[0])).tolist()
+            raw = ids.tobytes()
+            whole = len(edges) == len(some) + 1
+            out += [raw[a + 4 : b] for a, b in zip(edges, edges[1:])] if whole else [self.numbers(self.merge(s)).tobytes() for s in some]
+        return out
+
+    def segments(self, different: list[str]) -> list[bytes]:
+        """Ids of different stretches between forced borders; up to 400,000 short ones are remembered."""
+        out = list(map(self.known.get, different))
+        places = [i for i, ids in enumerate(out) if ids is None]
+        if len(self.known) + len(places) > 400_000:
+            self.known = self._own()
+        new = [different[i] for i in places]
+        found = self.learn(new)
+        for i, ids in zip(places, found):
+            out[i] = ids
+        self.known.update((s, ids) for s, ids in zip(new, found) if len(s) <= 48)
         return out
 
-    def encode(self, text: str) -> array:
-        return self.stretch(normal(text))
+    def stretches(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of normalised texts that begin and end at forced borders, and the offsets of the texts."""
+        # A normalised text has no space, so that one may stand between its segments.
+        spaced = pc.replace_substring_regex(pa.array(texts, pa.string()), _SEGMENT, r"\0 ")
+        return ids_of_lists(pc.split_pattern(spaced, " "), self.segments)
+
+    def stretch(self, text: str) -> array:
+        return array("i", self.stretches([text])[0].tobytes())
 
-    def decode(self, ids: array) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         raw = self.raw
         text = b"".join([raw[i] for i in ids]).decode("utf-8", "replace").replace(_SPACE, " ")
         return text[1:] if text.startswith(" ") else text
@@ -272,12 +295,14 @@ def _short(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                some = batch.slice(start, 512)
-                texts = [t or "" for t in some.column("text").to_pylist()]
-                ids = [words.encode(t) for t in texts]
+            for start in range(0, batch.num_rows, 2048):
+                some = batch.slice(start, 2048)
+                flat, at = words.stretches([normal(t or "") for t in some.column("text").to_pylist()])
+                ends, ids = at.tolist(), flat.tolist()
+                decoded = [words.decode(ids[a:b]) for a, b in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("doc"), _lists(ids), pa.array([words.decode(i) for i in ids], pa.string())], names=["doc", "ids", "decoded"]
+                    [some.column("doc"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat)), pa.array(decoded, pa.string())],
+                    names=["doc", "ids", "decoded"],
                 )
 
     return run

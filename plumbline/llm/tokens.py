@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import id_key, offsets, parts, small_batches
+from plumbline.llm.common import id_key, ids_of_lists, offsets, parts, ranges, small_batches
 
 END = 1  # id appended to every document
 
@@ -38,12 +38,6 @@ _PLAIN = re.compile("[\t\n\r\x20-\x3b\x3d-\x7e\xa1-\u012f\u0131-\u0232]*")
 _CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers from each start on, as many as its size says."""
-    ends = np.cumsum(sizes)
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-
-
 class PieceTokenizer:
     """A tokenizer that drops white space and encodes each piece of a text by itself, with a memory for pieces.
 
@@ -94,12 +88,7 @@ class PieceTokenizer:
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of different words, one after the other, and where each word's end."""
         pieces = pc.split_pattern(pc.ascii_rtrim_whitespace(pc.replace_substring_regex(words, _CUT, r"\0 ")), " ")
-        named = pieces.values.dictionary_encode()
-        ids = self._known(named.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        of = named.indices.to_numpy()
-        flat = np.frombuffer(b"".join(ids), "<u4")[_ranges((np.cumsum(sizes) - sizes)[of], sizes[of])]
-        return flat, np.concatenate(([0], np.cumsum(sizes[of])))[offsets(pieces)]
+        return ids_of_lists(pieces, self._known)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text and the end id, as little-endian 32-bit integers."""
@@ -108,7 +97,7 @@ class PieceTokenizer:
         named = words.values.dictionary_encode()
         flat, at = self._words(named.dictionary)
         of, sizes = named.indices.to_numpy(), np.diff(at)
-        raw = flat[_ranges(at[of], sizes[of])].tobytes()
+        raw = flat[ranges(at[of], sizes[of])].tobytes()
         ends = (4 * np.concatenate(([0], np.cumsum(sizes[of])))[offsets(words)]).tolist()
         return [(raw[a:b] if p else self._raw([t])[0]) + _END for t, p, a, b in zip(texts, plain, ends, ends[1:])]
 

@@ -91,6 +91,24 @@ def test_pieces_equal_the_library_for_any_chunk(spark, chunk):
         assert r.decoded == library.decode(r.ids) and ("▁" in r.doc.text or r.decoded == r.doc.text)
 
 
+def test_unseen_segments_are_encoded_together(monkeypatch):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = [*piece_texts(5), "", "\n", " \n\n ", "<s>\x00</s>\r\n <0x0A>"]
+    words, merged = pieces.Vocabulary(PIECES), []
+    merge = words.merge
+    monkeypatch.setattr(words, "merge", lambda s: merged.append(s) or merge(s))
+    ids, at = words.stretches([pieces.normal(t) for t in texts])
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == library.encode(texts)
+    assert not merged and len(words.known) > 100
+
+
+def test_batches_of_many_rows_keep_every_row(spark):
+    texts = [f"row {i % 97}\n" for i in range(5000)]
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    got = {r.doc.doc_id: r for r in pieces.encoded(frame(spark, texts).coalesce(1), PIECES).collect()}
+    assert len(got) == len(texts) and all(got[i].ids == library.encode(t) and got[i].decoded == t for i, t in enumerate(texts))
+
+
 def test_matrix_products_are_associative_and_find_the_path():
     words = pieces.vocabulary(PIECES)
     text = pieces.normal("internationalisation of  unbelievable\nthings")
