@@ -23,7 +23,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import id_key, ids_of_lists, offsets, small_batches, with_doc
+from plumbline.llm.common import id_key, ids_of_lists, offsets, release, small_batches, with_doc
 
 # Texts of more code points are split into chunks of this many.
 CHUNK = 32_768
@@ -31,6 +31,7 @@ CHUNK = 32_768
 _SPACE = "▁"
 _SEGMENT = f"{_SPACE}*[^{_SPACE}\n]+|{_SPACE}+|\n"
 _JOINED = 512  # segments handed to the library as one text
+_ROWS = 512  # texts whose segments are looked up together
 _FREE = ""  # the state at the text's beginning and after a forced border
 
 
@@ -294,16 +295,18 @@ def _lists(values: list[array]) -> pa.Array:
 def _short(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
+        release()
         for batch in batches:
-            for start in range(0, batch.num_rows, 2048):
-                some = batch.slice(start, 2048)
+            for start in range(0, batch.num_rows, _ROWS):
+                some = batch.slice(start, _ROWS)
                 flat, at = words.stretches([normal(t or "") for t in some.column("text").to_pylist()])
-                ends, ids = at.tolist(), flat.tolist()
-                decoded = [words.decode(ids[a:b]) for a, b in zip(ends, ends[1:])]
+                ends = at.tolist()
+                decoded = [words.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [some.column("doc"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat)), pa.array(decoded, pa.string())],
                     names=["doc", "ids", "decoded"],
                 )
+        release()
 
     return run
 
