@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import as_bytes, groups, small_batches, with_doc
+from plumbline.llm.common import as_bytes, groups, held, small_batches, with_doc
 from plumbline.session import stage
 
 WINDOW = 10
@@ -78,7 +78,7 @@ class Matcher:
 def _scanner(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _matcher(shared)
-        for batch in groups(batches, "text", 4 << 20):
+        for batch in groups(batches, "text", 4 << 20, keep=_OWN):
             counts, spans, items = [], [], []
             for text, before, found in zip(as_bytes(batch.column("text")), batch.column("spans").to_pylist(), batch.column("items").to_pylist()):
                 own = _split(text)
@@ -112,15 +112,13 @@ def _merged(before: list[dict], more: list[dict], at: list[tuple[int, int]]) ->
     return out
 
 
-_BUILT: dict = {}
+_OWN = "contamination"
 
 
 def _matcher(shared) -> Matcher:
-    """The automaton of a broadcast shard, built once in each Python worker."""
+    """The automaton of a broadcast shard, kept in a Python worker from task to task."""
     items = shared.value
-    if _BUILT.get("of") is not items:
-        _BUILT.update(of=items, matcher=Matcher(items))
-    return _BUILT["matcher"]
+    return held(_OWN, items, lambda: Matcher(items))
 
 
 def _shards(benchmark: DataFrame, shard_words: int) -> list[DataFrame]:

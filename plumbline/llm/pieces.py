@@ -23,7 +23,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import id_key, ids_of_lists, offsets, release, small_batches, with_doc
+from plumbline.llm.common import held, id_key, ids_of_lists, offsets, release, small_batches, with_doc
 
 # Texts of more code points are split into chunks of this many.
 CHUNK = 32_768
@@ -274,14 +274,12 @@ def states(matrices: list[dict]) -> list[tuple]:
     return cuts
 
 
-_LOADED: dict[str, Vocabulary] = {}
+_OWN = "pieces"
 
 
 def vocabulary(path: str) -> Vocabulary:
-    """The model of a file, loaded once in each Python worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Vocabulary(path)
-    return _LOADED[path]
+    """The model of a file and the segments it remembers, kept in a Python worker from task to task."""
+    return held(_OWN, path, lambda: Vocabulary(path))
 
 
 def _lists(values: list[array]) -> pa.Array:
@@ -295,7 +293,7 @@ def _lists(values: list[array]) -> pa.Array:
 def _short(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
-        release()
+        release(_OWN)
         for batch in batches:
             for start in range(0, batch.num_rows, _ROWS):
                 some = batch.slice(start, _ROWS)
@@ -306,7 +304,7 @@ def _short(path: str):
                     [some.column("doc"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat)), pa.array(decoded, pa.string())],
                     names=["doc", "ids", "decoded"],
                 )
-        release()
+        release(_OWN)
 
     return run
 
