@@ -19,6 +19,13 @@ def strip(c: Column | str) -> Column:
     return F.btrim(col(c), F.lit(WHITE_SPACE))
 
 
+def strip_column(name: str) -> Column:
+    """``strip`` of a column of texts that mostly have nothing to trim: those that begin and end visibly in ASCII stay as they are."""
+    text = F.col(name)
+    plain = F.substring(text, 1, 1).between("!", "~") & F.substring(text, -1, 1).between("!", "~")
+    return F.when(plain, text).otherwise(strip(text))
+
+
 def blank(c: Column | str) -> Column:
     """NULL or empty."""
     return col(c).isNull() | (col(c) == "")
@@ -50,7 +57,7 @@ def frame_row_json(df: DataFrame) -> Column:
 
 def spaced_json(c: Column) -> Column:
     """Compact JSON text re-spaced to ``{"a": 1, "b": 2}``; separators inside strings are left alone."""
-    return F.regexp_replace(c, r'\G((?:"(?:[^"\\]|\\.)*"|[^",:])*+)([,:])', "$1$2 ")
+    return F.regexp_replace(c, r'\G((?:"(?:[^"\\]++|\\.)*+"|[^",:]++)*+)([,:])', "$1$2 ")
 
 
 def sorted_map_json(c: Column | str) -> Column:

@@ -23,17 +23,26 @@ def members_of(text: Column, names: Sequence[str]) -> Column:
     return F.from_json(text, ", ".join(f"{n} variant" for n in names))
 
 
-def member_columns(holder: str, names: Mapping[str, str]) -> dict[str, Column]:
+def texts_of(text: Column, names: Sequence[str]) -> Column:
+    """A JSON object's members as a struct of texts, for ``member_columns``."""
+    return F.from_json(text, ", ".join(f"{n} string" for n in names))
+
+
+def member_columns(holder: str, names: Mapping[str, str], texts: str | None = None) -> dict[str, Column]:
     """Kind and text columns of members of a ``members_of`` struct, for ``withColumns``: ``{prefix: member}``.
 
+    ``texts`` names a ``texts_of`` struct of the same members, if there is one. Casting a variant costs more than reading
+    the text again, so it gives the text of strings; only other kinds are cast.
+
     They become columns of their own so that the many conditions on a member read an attribute instead of
     repeating the extraction (repeated extractions outgrow what generated code can hold).
     """
     out = {}
     for prefix, name in names.items():
         value = F.col(f"{holder}.{name}")
-        out[f"{prefix}__kind"] = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
-        out[f"{prefix}__text"] = value.cast("string")
+        out[f"{prefix}__kind"] = kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+        cast = value.cast("string")
+        out[f"{prefix}__text"] = cast if texts is None else F.coalesce(F.when(kind == "STRING", F.col(f"{texts}.{name}")), cast)
     return out
 
 

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.text import full_match, sorted_map_json, spaced_json, strip
-from plumbline.functions.variants import JsonValue, member_columns, members_of
+from plumbline.functions.text import full_match, sorted_map_json, spaced_json, strip, strip_column
+from plumbline.functions.variants import JsonValue, member_columns, members_of, texts_of
 
 # Accepted event types and the entity type each one describes.
 EVENT_TYPES = {
@@ -177,10 +177,11 @@ def _parsed_columns() -> list[Column]:
         text.alias("raw_message"),
         # Strict parsing decides whether it is JSON at all; an object is told by its first character.
         F.when(F.try_parse_json(text).isNull(), "NONE")
-        .when(strip(text).startswith("{"), "OBJECT")
+        .when(text.startswith("{") | strip(text).startswith("{"), "OBJECT")
         .otherwise("OTHER")
         .alias("__kind"),
         members_of(text, [*ID_FIELDS, *TEXT_FIELDS, "event_time", "payload"]).alias("__envelope"),
+        texts_of(text, [*ID_FIELDS, *TEXT_FIELDS, "event_time"]).alias("__texts"),
         sorted_map_json("attributes").alias("attributes_json"),
         *[F.col("attributes").getItem(n).alias(f"__attribute_{n}") for n in ID_FIELDS],
         F.col("message_id"),
@@ -191,7 +192,7 @@ def _parsed_columns() -> list[Column]:
 @cache
 def _envelope_columns() -> dict[str, Column]:
     names = {f"m_{n}": n for n in [*ID_FIELDS, *TEXT_FIELDS, "event_time"]}
-    return member_columns("__envelope", names) | {"__payload_text": F.to_json(F.col("__envelope.payload"))}
+    return member_columns("__envelope", names, "__texts") | {"__payload_text": F.to_json(F.col("__envelope.payload"))}
 
 
 @cache
@@ -219,7 +220,7 @@ def _converted_columns() -> tuple[list[Column | str], dict[str, Column]]:
         return F.when(unusable, F.col(f"__attribute_{name}")).otherwise(m[name].as_text())
 
     def trimmed(name: str) -> Column:
-        return F.when(m[name].falsy(), "").otherwise(strip(m[name].as_text()))
+        return F.when(m[name].is_string(), strip_column(f"m_{name}__text")).when(m[name].falsy(), "").otherwise(strip(m[name].as_text()))
 
     # A scalar column cannot take an object or array: noticed here instead of failing the write.
     nested = [F.when(m[n].is_nested(), n) for n in [*ID_FIELDS, *TEXT_FIELDS]]
@@ -242,8 +243,8 @@ def _converted_columns() -> tuple[list[Column | str], dict[str, Column]]:
     entity_type = F.lower("__entity_type")
     instant, time_error = _time_parts(F.col("__time_text"))
     second = {
-        "__event_id": strip(F.coalesce("__any_event_id", F.lit(""))),
-        "__run_id": strip(F.coalesce("__any_run_id", F.lit(""))),
+        "__event_id": F.coalesce(strip_column("__any_event_id"), F.lit("")),
+        "__run_id": F.coalesce(strip_column("__any_run_id"), F.lit("")),
         "__entity_type": entity_type,
         "__entity_id": F.when(entity_type == "uf", F.upper("__entity_id")).otherwise(F.col("__entity_id")),
         "__event_time": instant,
@@ -273,7 +274,7 @@ def _verdict_columns() -> tuple[dict[str, Column], list[Column | str]]:
         entity_error,
         F.when(F.col("__source") == "", NO_SOURCE),
         F.when(~F.col("__payload_ok"), BAD_PAYLOAD),
-        F.when(F.coalesce(strip("__time_text"), F.lit("")) == "", TIME_NOT_TEXT),
+        F.when(F.coalesce(strip_column("__time_text"), F.lit("")) == "", TIME_NOT_TEXT),
         F.col("__time_error"),
     )
     indicator_error = F.coalesce(

@@ -190,11 +190,17 @@ def start_router(
     horizon: str = DEDUP_HORIZON,
 ) -> StreamingQuery:
     """Start the job. ``drain`` processes what is queued and stops; otherwise it runs on a fixed trigger."""
+
+    def route(batch: DataFrame, epoch: int) -> None:
+        # The session is the stream's own. Bodies and ids hardly repeat: trying to compress them costs a third of a batch.
+        batch.sparkSession.conf.set("spark.sql.inMemoryColumnarStorage.compressed", "false")
+        route_batch(batch, epoch, sinks)
+
     writer = (
         deduplicated_stream(messages, horizon)
         .writeStream.queryName("event-router")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, epoch: route_batch(batch, epoch, sinks))
+        .foreachBatch(route)
     )
     writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=interval)
     return writer.start()
