@@ -192,7 +192,7 @@ def start_router(
     """Start the job. ``drain`` processes what is queued and stops; otherwise it runs on a fixed trigger."""
 
     def route(batch: DataFrame, epoch: int) -> None:
-        # The session is the stream's own. Bodies and ids hardly repeat: trying to compress them costs a third of a batch.
+        # The session is the stream's own. Bodies and ids hardly repeat: trying to compress them costs a quarter of judging and caching.
         batch.sparkSession.conf.set("spark.sql.inMemoryColumnarStorage.compressed", "false")
         route_batch(batch, epoch, sinks)
 
